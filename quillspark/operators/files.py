@@ -131,15 +131,22 @@ def normalise_structured(
 def csv_rows_to_json(header: Column, row: Column) -> Column:
     """A split row as one JSON object keyed by the header; null when widths differ.
 
-    Of repeated header names the last value wins.
+    Of repeated header names the last value wins, at the first name's place.
     """
-    keep = F.transform(
-        header,
-        lambda h, i: ~F.array_contains(F.slice(header, i + 2, F.size(header)), h),
-    )
-    pairs = F.filter(F.arrays_zip(header.alias("k"), row.alias("v"), keep.alias("u")), lambda p: p["u"])
-    as_map = F.map_from_entries(F.transform(pairs, lambda p: F.struct(p["k"], p["v"])))
-    return F.when(F.size(header) == F.size(row), F.to_json(as_map))
+    def quoted(x: Column) -> Column:
+        listed = F.to_json(F.array(x))
+        return F.substr(listed, F.lit(2), F.length(listed) - 2)
+
+    backwards = F.reverse(header)
+
+    def member(name: Column) -> Column:
+        last = F.size(header) - F.array_position(backwards, name) + 1
+        value = F.try_element_at(row, last.cast("int"))
+        return F.concat(quoted(name), F.lit(": "), quoted(value))
+
+    members = F.transform(F.array_distinct(header), member)
+    whole = F.concat(F.lit("{"), F.array_join(members, ", "), F.lit("}"))
+    return F.when(F.size(header) == F.size(row), whole)
 
 
 def normalise_file(
