@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 from functools import reduce
 
@@ -22,6 +21,9 @@ WS = r"[\s\x1c-\x1f]"
 RELEVANCE_KEYWORDS = ("grateful", "dead", "setlist", "song", "show", "date", "venue")
 
 
+PARAGRAPH = "\n\n"
+
+
 def strip(c: Column) -> Column:
     """Remove Unicode white space from both ends."""
     return F.btrim(c, F.lit(WHITE_SPACE))
@@ -76,15 +78,15 @@ def keyword_relevant(
     return reduce(lambda a, b: a | b, (F.contains(scope, F.lit(k)) for k in keywords))
 
 
-def chunk_text(c: Column, max_length: int = 1500, sep: str = "\n\n") -> Column:
+def chunk_text(c: Column, max_length: int = 1500) -> Column:
     """Greedy paragraph packing into chunks of up to ``max_length`` characters.
 
     The fold runs over paragraph lengths and carries only cut positions, so no
     text is copied until the chunks are sliced out. A paragraph above the limit
     stays whole. Empty leading paragraphs of a chunk are replaced, not joined.
     """
-    paragraphs = F.split(c, re.escape(sep) if sep.strip() else sep)
-    gap = len(sep)
+    paragraphs = F.split(c, PARAGRAPH)
+    gap = len(PARAGRAPH)
     start = F.struct(
         F.expr("cast(array() as array<struct<a:int,b:int>>)").alias("cuts"),
         F.lit(1).alias("first"),
@@ -117,7 +119,7 @@ def chunk_text(c: Column, max_length: int = 1500, sep: str = "\n\n") -> Column:
     cuts = F.aggregate(paragraphs, start, step, finish)
     pieces = F.transform(
         cuts,
-        lambda k: strip(F.array_join(F.slice(paragraphs, k["a"], k["b"] - k["a"] + 1), sep)),
+        lambda k: strip(F.array_join(F.slice(paragraphs, k["a"], k["b"] - k["a"] + 1), PARAGRAPH)),
     )
     return F.filter(pieces, lambda x: x != "")
 

@@ -24,11 +24,11 @@ def file_prompt(repo: Column, path: Column, part: Column, parts: Column) -> Colu
 
 
 def to_training(
-    entries: DataFrame, max_length: int = 1500, shortest: int = 100, sep: str = "\n\n"
+    entries: DataFrame, max_length: int = 1500, shortest: int = 100
 ) -> DataFrame:
     """(repo, path, part, parts, text) from (repo, path, content); no shuffle."""
     chunked = entries.where(F.length("content") >= shortest).withColumn(
-        "_chunks", chunk_text(F.col("content"), max_length, sep)
+        "_chunks", chunk_text(F.col("content"), max_length)
     )
     rows = chunked.select(
         "repo", "path", F.size("_chunks").alias("parts"), F.posexplode("_chunks").alias("_i", "_c")

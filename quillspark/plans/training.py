@@ -17,11 +17,12 @@ from quillspark.sources.text import read_separated
 from quillspark.sources.trees import read_text_files
 
 
-def page_entries(pages: DataFrame) -> DataFrame:
+def page_entries(pages: DataFrame, *keep: str) -> DataFrame:
     """Pages as corpus entries: host and URL for provenance, paragraphs as text."""
     body = F.array_join(html.paragraphs_of(F.col("html")), "\n\n")
     url = F.col("url")
     return pages.select(
+        *keep,
         F.regexp_extract(url, r"^[^:]+://([^/?#]*)", 1).alias("repo"),
         normalize_url(url).alias("path"),
         clean_text(body).alias("content"),
