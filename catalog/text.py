@@ -216,7 +216,7 @@ def chunk_documents(spark, sf_dir):
     "chunk_pages",
     rf"""WITH e AS ({PAGE_ENTRIES_SQL}),
     c AS (SELECT page_id, {sql_chunks('content', 400)} AS chunks FROM e)
-    SELECT page_id, len(chunks)::BIGINT AS parts, list_sum(list_transform(chunks, lambda c: length(c)))::BIGINT
+    SELECT page_id, len(chunks)::BIGINT AS parts, coalesce(list_sum(list_transform(chunks, lambda c: length(c))), 0)::BIGINT
       AS chars, md5(array_to_string(chunks, '|')) AS digest FROM c""",
 )
 def chunk_pages(spark, sf_dir):

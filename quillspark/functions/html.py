@@ -12,7 +12,7 @@ from html.entities import html5
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quillspark.functions.text import WS, blank_to_null, strip
+from quillspark.functions.text import WS, blank_to_null, let, strip
 
 # One opening, closing or declaration tag; quoted attribute values may hold '>'.
 TAG = r"""<[a-zA-Z/!?][^>"']*+(?:"[^"]*+"[^>"']*+|'[^']*+'[^>"']*+)*+>"""
@@ -21,7 +21,6 @@ HIDDEN = r"(?is)<!--.*?-->|<(script|style|template)\b[^>]*>.*?(?:</\1\s*>|\z)"
 LINK = rf"(?is)<a\b{OPENING}.*?(?:</a\s*>|(?=<a\b)|\z)"
 MARK = "\x01"
 
-LINK_TYPE = "array<struct<pos:int,href:string,title:string,text:string>>"
 
 
 def _entity_map() -> Column:
@@ -32,31 +31,49 @@ def _entity_map() -> Column:
     return F.from_json(F.lit(json.dumps(ordered)), "map<string,string>")
 
 
+REFERENCE = r"^(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]*);?"
+
+
 def unescape(c: Column) -> Column:
     """Decode named and numeric character references in one pass."""
     table = _entity_map()
 
-    def piece(x: Column) -> Column:
-        name = F.regexp_extract(x, r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]*);?", 1)
-        whole = F.regexp_extract(x, r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]*);?", 0)
+    def numeric(name: Column) -> Column:
         code = F.when(
             name.rlike("^#[xX]"), F.conv(F.substr(name, F.lit(3)), 16, 10).try_cast("int")
-        ).when(F.startswith(name, F.lit("#")), F.substr(name, F.lit(2)).try_cast("int"))
-        valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
-        char = F.when(
-            valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-        ).otherwise(F.try_element_at(table, name))
-        tail = F.substr(x, F.length(whole) + 1)
-        return F.when((name == "") | char.isNull(), F.concat(F.lit("&"), x)).otherwise(
-            F.concat(char, tail)
+        ).otherwise(F.substr(name, F.lit(2)).try_cast("int"))
+        return let(
+            code,
+            lambda n: F.when(
+                n.between(1, 0xD7FF) | n.between(0xE000, 0x10FFFF),
+                F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32"),
+            ),
         )
 
-    parts = F.split(c, "&")
-    decoded = F.concat(
-        F.element_at(parts, 1),
-        F.array_join(F.transform(F.slice(parts, 2, F.size(parts)), piece), ""),
+    def character(name: Column) -> Column:
+        return F.when(F.startswith(name, F.lit("#")), numeric(name)).otherwise(
+            F.try_element_at(table, name)
+        )
+
+    def piece(x: Column) -> Column:
+        def replaced(whole: Column) -> Column:
+            return let(
+                let(F.rtrim(whole, F.lit(";")), character),
+                lambda char: F.when(char.isNull(), F.concat(F.lit("&"), x)).otherwise(
+                    F.concat(char, F.substr(x, F.length(whole) + 1))
+                ),
+            )
+
+        return let(F.regexp_extract(x, REFERENCE, 0), replaced)
+
+    def decoded(parts: Column) -> Column:
+        rest = F.transform(F.slice(parts, 2, F.size(parts)), piece)
+        return F.concat(F.element_at(parts, 1), F.array_join(rest, ""))
+
+    return let(
+        c,
+        lambda x: F.when(F.contains(x, F.lit("&")), let(F.split(x, "&"), decoded)).otherwise(x),
     )
-    return F.when(F.contains(c, F.lit("&")), decoded).otherwise(c)
 
 
 def visible(c: Column) -> Column:
@@ -64,7 +81,7 @@ def visible(c: Column) -> Column:
     return F.regexp_replace(c, HIDDEN, MARK)
 
 
-def _text_of(markup: Column, sep: str | None) -> Column:
+def text_of(markup: Column, sep: str | None) -> Column:
     """Text of markup whose hidden parts are already gone."""
     marked = unescape(F.regexp_replace(markup, TAG, MARK))
     if sep is None:
@@ -82,7 +99,7 @@ def html_text(c: Column, sep: str | None = " ") -> Column:
     ``' '``: pieces stripped, joined by a space, white space collapsed.
     ``''``: stripped pieces glued together. ``None``: raw pieces, outer strip only.
     """
-    return _text_of(visible(F.replace(c, F.lit(MARK))), sep)
+    return text_of(visible(F.replace(c, F.lit(MARK))), sep)
 
 
 def attribute(tag: Column, name: str) -> Column:
@@ -94,15 +111,21 @@ def attribute(tag: Column, name: str) -> Column:
 
 def links_of(c: Column) -> Column:
     """Links with a target, in page order: array of (pos, href, title, text)."""
-    found = F.regexp_extract_all(visible(c), F.lit(LINK), F.lit(0))
+    return visible_links(visible(c))
+
+
+def visible_links(v: Column) -> Column:
+    found = F.regexp_extract_all(v, F.lit(LINK), F.lit(0))
 
     def link(m: Column, i: Column) -> Column:
-        tag = F.regexp_extract(m, rf"(?is)^<a\b{OPENING}", 0)
-        return F.struct(
-            i.cast("int").alias("pos"),
-            attribute(tag, "href").alias("href"),
-            F.coalesce(attribute(tag, "title"), F.lit("")).alias("title"),
-            _text_of(m, "").alias("text"),
+        return let(
+            F.regexp_extract(m, rf"(?is)^<a\b{OPENING}", 0),
+            lambda tag: F.struct(
+                i.cast("int").alias("pos"),
+                attribute(tag, "href").alias("href"),
+                F.coalesce(attribute(tag, "title"), F.lit("")).alias("title"),
+                text_of(m, "").alias("text"),
+            ),
         )
 
     return F.filter(F.transform(found, link), lambda x: x["href"].isNotNull())
@@ -110,20 +133,27 @@ def links_of(c: Column) -> Column:
 
 def element_text(c: Column, tag: str, sep: str = "") -> Column:
     """Text of the first ``tag`` element, null when there is none."""
-    body = F.regexp_extract(visible(c), rf"(?is)<{tag}\b{OPENING}(.*?)</{tag}\s*>", 1)
-    found = visible(c).rlike(rf"(?is)<{tag}\b{OPENING}.*?</{tag}\s*>")
-    return F.when(found, _text_of(body, sep))
+    return let(visible(c), lambda v: visible_element(v, tag, sep))
+
+
+def visible_element(v: Column, tag: str, sep: str = "") -> Column:
+    whole = F.regexp_extract(v, rf"(?is)<{tag}\b{OPENING}.*?</{tag}\s*>", 0)
+    return let(whole, lambda w: F.when(w != "", text_of(w, sep)))
 
 
 def paragraphs_of(c: Column) -> Column:
     """Texts of all ``p`` elements, in page order."""
     bodies = F.regexp_extract_all(visible(c), F.lit(r"(?is)<p\b[^>]*>(.*?)</p\s*>"), F.lit(1))
-    return F.transform(bodies, lambda m: _text_of(m, " "))
+    return F.transform(bodies, lambda m: text_of(m, " "))
 
 
 def page_title(c: Column, default: str = "Unknown Title") -> Column:
     """Text of the first heading, else of the title element, else the default."""
-    return F.coalesce(element_text(c, "h1"), element_text(c, "title"), F.lit(default))
+    return let(visible(c), lambda v: visible_title(v, default))
+
+
+def visible_title(v: Column, default: str) -> Column:
+    return F.coalesce(visible_element(v, "h1"), visible_element(v, "title"), F.lit(default))
 
 
 def clean_title(c: Column, suffix: str | None = None) -> Column:
@@ -145,51 +175,61 @@ def json_ld(c: Column) -> Column:
     A field that the block does not have is null, so callers can fall through.
     """
     pattern = r"""(?is)<script\b[^>]*type\s*=\s*["']?application/ld\+json["']?[^>]*>(.*?)</script"""
-    block = F.try_parse_json(blank_to_null(F.regexp_extract(c, pattern, 1)))
-
-    def field(path: str) -> Column:
-        return F.try_variant_get(block, path, "string")
-
-    def kind(path: str) -> Column:
-        return F.schema_of_variant(F.try_variant_get(block, path, "variant"))
-
-    creator = F.when(
-        F.startswith(kind("$.creator"), F.lit("OBJECT")), field("$.creator.name")
-    ).when(kind("$.creator") == "STRING", field("$.creator"))
-    keywords = F.when(
-        F.startswith(kind("$.keywords"), F.lit("ARRAY")),
-        F.try_variant_get(block, "$.keywords", "array<string>"),
-    ).when(field("$.keywords").isNotNull(), F.array(field("$.keywords")))
-    return F.struct(
-        field("$.name").alias("name"),
-        field("$.description").alias("description"),
-        creator.alias("creator"),
-        F.coalesce(field("$.datePublished"), field("$.dateCreated")).alias("date"),
-        field("$.genre").alias("type"),
-        keywords.alias("keywords"),
-    )
+    def fields(block: Column) -> Column:
+        def field(path: str) -> Column:
+            return F.try_variant_get(block, path, "string")
+
+        def kind(path: str) -> Column:
+            return F.schema_of_variant(F.try_variant_get(block, path, "variant"))
+
+        creator = F.when(
+            F.startswith(kind("$.creator"), F.lit("OBJECT")), field("$.creator.name")
+        ).when(kind("$.creator") == "STRING", field("$.creator"))
+        keywords = F.when(
+            F.startswith(kind("$.keywords"), F.lit("ARRAY")),
+            F.try_variant_get(block, "$.keywords", "array<string>"),
+        ).when(field("$.keywords").isNotNull(), F.array(field("$.keywords")))
+        return F.struct(
+            field("$.name").alias("name"),
+            field("$.description").alias("description"),
+            creator.alias("creator"),
+            F.coalesce(field("$.datePublished"), field("$.dateCreated")).alias("date"),
+            field("$.genre").alias("type"),
+            keywords.alias("keywords"),
+        )
+
+    return let(F.try_parse_json(blank_to_null(F.regexp_extract(c, pattern, 1))), fields)
+
+
+CELL = r"(?is)<d[td]\b[^>]*>.*?(?:</d[td]\s*>|(?=<d[td]\b)|</dl\s*>|\z)"
 
 
 def definition_pairs(c: Column, sep: str = "") -> Column:
     """(key, value) of every ``dt`` and the next ``dd``, in page order; keys lower-cased."""
-    cells = F.regexp_extract_all(
-        visible(c), F.lit(r"(?is)<d[td]\b[^>]*>.*?(?:</d[td]\s*>|(?=<d[td]\b)|</dl\s*>|\z)"), F.lit(0)
-    )
+    return visible_pairs(visible(c), sep)
+
 
+def visible_pairs(v: Column, sep: str) -> Column:
     def is_term(x: Column) -> Column:
         return x.rlike(r"(?i)^<dt\b")
 
-    def pair(x: Column, i: Column) -> Column:
-        later = F.filter(F.slice(cells, i + 2, F.size(cells)), lambda y: ~is_term(y))
-        return F.when(
-            is_term(x) & (F.size(later) > 0),
-            F.struct(
-                F.lower(_text_of(x, sep)).alias("key"),
-                _text_of(F.try_element_at(later, F.lit(1)), sep).alias("value"),
-            ),
-        )
-
-    return F.filter(F.transform(cells, pair), lambda x: x.isNotNull())
+    def pairs(cells: Column) -> Column:
+        def pair(x: Column, i: Column) -> Column:
+            later = F.filter(F.slice(cells, i + 2, F.size(cells)), lambda y: ~is_term(y))
+            value = F.when(is_term(x), F.try_element_at(later, F.lit(1)))
+            return let(
+                value,
+                lambda dd: F.when(
+                    dd.isNotNull(),
+                    F.struct(
+                        F.lower(text_of(x, sep)).alias("key"), text_of(dd, sep).alias("value")
+                    ),
+                ),
+            )
+
+        return F.filter(F.transform(cells, pair), lambda p: p.isNotNull())
+
+    return let(F.regexp_extract_all(v, F.lit(CELL), F.lit(0)), pairs)
 
 
 def definition_slot(key: Column) -> Column:

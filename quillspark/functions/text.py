@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column
@@ -24,6 +24,15 @@ RELEVANCE_KEYWORDS = ("grateful", "dead", "setlist", "song", "show", "date", "ve
 PARAGRAPH = "\n\n"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once and use it several times in ``body``.
+
+    Spark repeats a column expression at every use inside a lambda; a one-element
+    array binds it to a variable instead.
+    """
+    return F.transform(F.array(value), body)[0]
+
+
 def strip(c: Column) -> Column:
     """Remove Unicode white space from both ends."""
     return F.btrim(c, F.lit(WHITE_SPACE))
@@ -85,7 +94,6 @@ def chunk_text(c: Column, max_length: int = 1500) -> Column:
     text is copied until the chunks are sliced out. A paragraph above the limit
     stays whole. Empty leading paragraphs of a chunk are replaced, not joined.
     """
-    paragraphs = F.split(c, PARAGRAPH)
     gap = len(PARAGRAPH)
     start = F.struct(
         F.expr("cast(array() as array<struct<a:int,b:int>>)").alias("cuts"),
@@ -116,12 +124,15 @@ def chunk_text(c: Column, max_length: int = 1500) -> Column:
             acc["cuts"], F.struct(acc["first"].alias("a"), acc["at"].alias("b"))
         )
 
-    cuts = F.aggregate(paragraphs, start, step, finish)
-    pieces = F.transform(
-        cuts,
-        lambda k: strip(F.array_join(F.slice(paragraphs, k["a"], k["b"] - k["a"] + 1), PARAGRAPH)),
-    )
-    return F.filter(pieces, lambda x: x != "")
+    def packed(paragraphs: Column) -> Column:
+        return F.transform(
+            F.aggregate(paragraphs, start, step, finish),
+            lambda k: strip(
+                F.array_join(F.slice(paragraphs, k["a"], k["b"] - k["a"] + 1), PARAGRAPH)
+            ),
+        )
+
+    return F.filter(let(F.split(c, PARAGRAPH), packed), lambda x: x != "")
 
 
 def first_date(c: Column) -> Column:

@@ -5,30 +5,30 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quillspark.functions.text import blank_to_null
+from quillspark.functions.text import blank_to_null, let
 
 # Schemes against which a relative reference is resolved.
 RELATIVE_SCHEMES = ("", "http", "https", "ftp", "file")
 
 
-def url_parts(u: Column) -> Column:
-    """struct(scheme, authority, path, query, fragment); missing parts are ''."""
-    no_fragment = F.substring_index(u, "#", 1)
-    hier = F.substring_index(no_fragment, "?", 1)
-    scheme = F.regexp_extract(hier, r"^([A-Za-z][A-Za-z0-9+.\-]*):", 1)
-    rest = F.when(scheme == "", hier).otherwise(F.substr(hier, F.length(scheme) + 2))
-    has_authority = F.startswith(rest, F.lit("//"))
-    authority = F.when(
-        has_authority, F.substring_index(F.substr(rest, F.lit(3)), "/", 1)
-    ).otherwise(F.lit(""))
-    path = F.when(has_authority, F.substr(rest, F.length(authority) + 3)).otherwise(rest)
-    return F.struct(
-        F.lower(scheme).alias("scheme"),
-        authority.alias("authority"),
-        path.alias("path"),
-        F.substr(no_fragment, F.length(hier) + 2).alias("query"),
-        F.substr(u, F.length(no_fragment) + 2).alias("fragment"),
-    )
+# scheme (2), authority (4), path (5), query (7) and fragment (9) of a URL.
+PARTS = r"(?s)^(([A-Za-z][A-Za-z0-9+.\-]*):)?(//([^/?#]*))?([^?#]*)(\?([^#]*))?(#(.*))?"
+
+
+def url_part(u: Column, group: int) -> Column:
+    return F.regexp_extract(u, PARTS, group)
+
+
+def scheme_of(u: Column) -> Column:
+    return F.lower(url_part(u, 2))
+
+
+def authority_of(u: Column) -> Column:
+    return url_part(u, 4)
+
+
+def path_of(u: Column) -> Column:
+    return url_part(u, 5)
 
 
 def path_name(path: Column) -> Column:
@@ -41,86 +41,93 @@ def path_suffix(path: Column) -> Column:
     return F.lower(F.regexp_extract(path_name(path), r"^.+(\.[^.]+)$", 1))
 
 
-def _assemble(scheme, authority, path, query, fragment) -> Column:
-    rooted = F.when(
-        (authority != "") & (path != "") & ~F.startswith(path, F.lit("/")),
-        F.concat(F.lit("/"), path),
-    ).otherwise(path)
-    return F.concat(
-        F.when(scheme != "", F.concat(scheme, F.lit(":"))).otherwise(F.lit("")),
-        F.when(authority != "", F.concat(F.lit("//"), authority)).otherwise(F.lit("")),
-        rooted,
-        F.when(query != "", F.concat(F.lit("?"), query)).otherwise(F.lit("")),
-        F.when(fragment != "", F.concat(F.lit("#"), fragment)).otherwise(F.lit("")),
-    )
-
-
 def _without_dots(path: Column) -> Column:
     """Resolve '.' and '..' segments; paths without them skip the fold."""
-    segments = F.split(path, "/")
-    kept = F.aggregate(
-        segments,
-        F.expr("cast(array() as array<string>)"),
-        lambda acc, s: F.when(s == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))))
-        .when(s == ".", acc)
-        .otherwise(F.array_append(acc, s)),
+    def fold(segments: Column) -> Column:
+        kept = F.aggregate(
+            segments,
+            F.expr("cast(array() as array<string>)"),
+            lambda acc, s: F.when(
+                s == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0)))
+            )
+            .when(s == ".", acc)
+            .otherwise(F.array_append(acc, s)),
+        )
+        open_end = F.element_at(segments, -1).isin(".", "..")
+        return F.array_join(
+            F.concat(kept, F.when(open_end, F.array(F.lit(""))).otherwise(F.array_repeat(F.lit(""), 0))),
+            "/",
+        )
+
+    def rooted(p: Column) -> Column:
+        return F.concat(F.lit("/"), F.ltrim(fold_once(p), F.lit("/")))
+
+    def fold_once(p: Column) -> Column:
+        return let(F.split(p, "/"), fold)
+
+    return let(
+        path, lambda p: F.when(p.rlike(r"(^|/)\.\.?(/|$)"), rooted(p)).otherwise(p)
     )
-    open_end = F.element_at(segments, -1).isin(".", "..")
-    joined = F.array_join(
-        F.when(open_end, F.array_append(kept, F.lit(""))).otherwise(kept), "/"
+
+
+def _tail(u: Column) -> Column:
+    """Query and fragment with their marks, empty ones dropped."""
+    return F.concat(
+        F.regexp_extract(u, r"(?s)^[^#?]*(\?[^#]+)", 1), F.regexp_extract(u, r"(?s)(#.+)$", 1)
     )
-    resolved = F.when(joined == "", F.lit("/")).otherwise(joined)
-    return F.when(path.rlike(r"(^|/)\.\.?(/|$)"), resolved).otherwise(path)
 
 
 def url_join(base: Column, ref: Column) -> Column:
     """Absolute URL of ``ref`` found on the page ``base``."""
-    b, r = url_parts(base), url_parts(ref)
-    same_scheme = (r["scheme"] == "") | (r["scheme"] == b["scheme"])
-    folder = F.regexp_replace(b["path"], r"[^/]*$", "")
-    merged = F.concat(F.when(folder == "", F.lit("/")).otherwise(folder), r["path"])
-    # Empty inner segments of a merged path vanish, those of a rooted path stay.
-    merged = F.regexp_replace(merged, "/{2,}", "/")
-    target = F.when(F.startswith(r["path"], F.lit("/")), r["path"]).otherwise(merged)
-    return (
-        F.when(ref == "", base)
-        .when(~same_scheme | ~b["scheme"].isin(*RELATIVE_SCHEMES), ref)
-        .when(
-            r["authority"] != "",
-            _assemble(b["scheme"], r["authority"], r["path"], r["query"], r["fragment"]),
+    def joined(b: Column, r: Column) -> Column:
+        scheme, own = scheme_of(b), scheme_of(r)
+        site = F.concat(scheme, F.lit("://"), authority_of(b))
+        path = path_of(r)
+        # Empty inner segments of a merged path vanish, those of a rooted path stay.
+        merged = F.regexp_replace(
+            F.concat(F.lit("/"), F.regexp_replace(path_of(b), r"[^/]*$", ""), path), "/{2,}", "/"
         )
-        .when(
-            r["path"] == "",
-            _assemble(
-                b["scheme"],
-                b["authority"],
-                b["path"],
-                F.when(r["query"] == "", b["query"]).otherwise(r["query"]),
-                r["fragment"],
-            ),
+        same_path = F.concat(
+            site,
+            path_of(b),
+            F.when(
+                F.startswith(_tail(r), F.lit("?")), _tail(r)
+            ).otherwise(F.concat(F.regexp_extract(b, r"(?s)^[^#?]*(\?[^#]+)", 1), _tail(r))),
         )
-        .otherwise(
-            _assemble(
-                b["scheme"], b["authority"], _without_dots(target), r["query"], r["fragment"]
+        return (
+            F.when(r == "", b)
+            .when(((own != "") & (own != scheme)) | ~scheme.isin(*RELATIVE_SCHEMES), r)
+            .when(
+                authority_of(r) != "",
+                F.concat(scheme, F.lit("://"), authority_of(r), path, _tail(r)),
+            )
+            .when(path == "", same_path)
+            .when(
+                F.startswith(path, F.lit("/")), F.concat(site, _without_dots(path), _tail(r))
             )
+            .otherwise(F.concat(site, _without_dots(merged), _tail(r)))
         )
-    )
+
+    return let(base, lambda b: let(ref, lambda r: joined(b, r)))
 
 
 def normalize_url(u: Column) -> Column:
     """Scheme, authority and path only: query, fragment and parameters dropped."""
-    p = url_parts(u)
-    path = F.regexp_replace(p["path"], r";[^/]*$", "")
-    return F.concat(p["scheme"], F.lit("://"), p["authority"], path)
+    return let(
+        u,
+        lambda x: F.concat(
+            scheme_of(x), F.lit("://"), authority_of(x),
+            F.regexp_replace(path_of(x), r";[^/]*$", ""),
+        ),
+    )
 
 
 def is_internal(u: Column, authority: Column | str, compat: bool = False) -> Column:
     """Predicate: same authority. ``compat`` also lets URLs without authority through."""
     own = F.lit(authority) if isinstance(authority, str) else authority
-    p = url_parts(u)
     if compat:
-        return (p["authority"] == own) | (p["authority"] == "")
-    return p["scheme"].isin("http", "https") & (p["authority"] == own)
+        return (authority_of(u) == own) | (authority_of(u) == "")
+    return scheme_of(u).isin("http", "https") & (authority_of(u) == own)
 
 
 def item_id(u: Column, pattern: str = r"/items/show/(\d+)") -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.functions.text import blank_to_null, strip, thousands
+from quillspark.functions.text import blank_to_null, let, strip, thousands
 from quillspark.operators.ordering import number_rows
 
 # The entry header line and the episode rule.
@@ -101,9 +101,6 @@ def parse_episode_block(block: Column, compat: bool = False) -> Column:
     The body starts after the first blank line and keeps every line. ``compat``
     starts at the seventh line and drops body lines that look like header lines.
     """
-    text = strip(block)
-    lines = F.split(text, "\n")
-
     def is_header(x: Column) -> Column:
         return (
             F.startswith(x, F.lit("EPISODE "))
@@ -111,26 +108,34 @@ def parse_episode_block(block: Column, compat: bool = False) -> Column:
             | F.startswith(x, F.lit("Word Count: "))
         )
 
-    if compat:
-        header = lines
+    def record(header: Column, body: Column) -> Column:
+        def last(prefix: str) -> Column:
+            return F.try_element_at(
+                F.filter(header, lambda x: F.startswith(x, F.lit(prefix))), F.lit(-1)
+            )
+
+        words = F.replace(last("Word Count: "), F.lit("Word Count: "))
+        return F.struct(
+            strip(last("EPISODE ")).alias("title"),
+            F.replace(last("URL: "), F.lit("URL: ")).alias("url"),
+            words.try_cast("bigint").alias("word_count"),
+            body.alias("content"),
+        )
+
+    def from_lines(lines: Column) -> Column:
         kept = F.filter(lines, lambda x, i: (i > 5) & ~is_header(x))
-        body = F.when(F.size(kept) > 0, strip(F.array_join(kept, "\n")))
-    else:
+        return record(lines, F.when(F.size(kept) > 0, strip(F.array_join(kept, "\n"))))
+
+    def from_text(text: Column) -> Column:
+        # Without a blank line the whole block is header and the body is null.
         at = F.instr(text, "\n\n")
-        header = F.split(F.when(at > 0, F.substr(text, F.lit(1), at - 1)).otherwise(text), "\n")
+        head = F.substring_index(text, "\n\n", 1)
         body = F.when(at > 0, strip(F.substr(text, at + 2)))
+        return let(F.split(head, "\n"), lambda header: record(header, body))
 
-    def last(prefix: str) -> Column:
-        return F.try_element_at(
-            F.filter(header, lambda x: F.startswith(x, F.lit(prefix))), F.lit(-1)
-        )
-
-    return F.struct(
-        strip(last("EPISODE ")).alias("title"),
-        F.replace(last("URL: "), F.lit("URL: ")).alias("url"),
-        F.replace(last("Word Count: "), F.lit("Word Count: ")).try_cast("bigint").alias("word_count"),
-        body.alias("content"),
-    )
+    if compat:
+        return let(F.split(strip(block), "\n"), from_lines)
+    return let(strip(block), from_text)
 
 
 def parse_episodes(

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.functions.text import RELEVANCE_KEYWORDS, clean_text, min_length
+from quillspark.functions.text import RELEVANCE_KEYWORDS, clean_text, let, min_length
 from quillspark.functions.urls import path_name, path_suffix
 
 try:
@@ -134,19 +134,19 @@ def csv_rows_to_json(header: Column, row: Column) -> Column:
     Of repeated header names the last value wins, at the first name's place.
     """
     def quoted(x: Column) -> Column:
-        listed = F.to_json(F.array(x))
-        return F.substr(listed, F.lit(2), F.length(listed) - 2)
+        return let(F.to_json(F.array(x)), lambda j: F.substr(j, F.lit(2), F.length(j) - 2))
 
-    backwards = F.reverse(header)
+    def members(names: Column, cells: Column) -> Column:
+        def member(name: Column) -> Column:
+            last = F.size(names) - F.array_position(F.reverse(names), name) + 1
+            value = F.try_element_at(cells, last.cast("int"))
+            return F.concat(quoted(name), F.lit(": "), quoted(value))
 
-    def member(name: Column) -> Column:
-        last = F.size(header) - F.array_position(backwards, name) + 1
-        value = F.try_element_at(row, last.cast("int"))
-        return F.concat(quoted(name), F.lit(": "), quoted(value))
+        listed = F.array_join(F.transform(F.array_distinct(names), member), ", ")
+        whole = F.concat(F.lit("{"), listed, F.lit("}"))
+        return F.when(F.size(names) == F.size(cells), whole)
 
-    members = F.transform(F.array_distinct(header), member)
-    whole = F.concat(F.lit("{"), F.array_join(members, ", "), F.lit("}"))
-    return F.when(F.size(header) == F.size(row), whole)
+    return let(header, lambda names: let(row, lambda cells: members(names, cells)))
 
 
 def normalise_file(

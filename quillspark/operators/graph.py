@@ -22,7 +22,7 @@ def link_edges(pages: DataFrame, compat: bool = False) -> DataFrame:
     Repeats inside a page are dropped in the row; only pages that normalise to
     the same URL still need the aggregate.
     """
-    own = urls.url_parts(F.col("url"))["authority"]
+    own = urls.authority_of(F.col("url"))
     targets = F.transform(
         html.links_of(F.col("html")),
         lambda x: F.struct(

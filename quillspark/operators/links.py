@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.functions import html, markup, urls
+from quillspark.functions.text import let
 from quillspark.operators.firstwins import dedup_first
 
 # Generic link titles that name no episode.
@@ -149,15 +150,17 @@ def attachment_array(
 ) -> Column:
     """array of (url, filename, extension, type) for links to downloadable files."""
     def described(link: Column) -> Column:
-        url = urls.url_join(base, link["href"])
-        path = F.regexp_replace(urls.url_parts(url)["path"], r";[^/]*$", "")
-        extension = urls.path_suffix(path)
-        return F.struct(
-            url.alias("url"),
-            urls.path_name(path).alias("filename"),
-            extension.alias("extension"),
-            F.when(extension.isin(*images), "image").otherwise("document").alias("type"),
-        )
+        def named(url: Column) -> Column:
+            path = F.regexp_replace(urls.path_of(url), r";[^/]*$", "")
+            return F.struct(
+                url.alias("url"),
+                urls.path_name(path).alias("filename"),
+                urls.path_suffix(path).alias("extension"),
+                F.when(urls.path_suffix(path).isin(*images), "image")
+                .otherwise("document").alias("type"),
+            )
+
+        return let(urls.url_join(base, link["href"]), named)
 
     found = F.transform(
         F.filter(html.links_of(markup_column), lambda x: x["href"] != ""), described

@@ -12,6 +12,7 @@ from quillspark.functions.text import (
     blank_to_null,
     concat_fields,
     first_date,
+    let,
     venue_of,
     word_count,
 )
@@ -59,15 +60,15 @@ def extract_item(
     embedded JSON; metadata blocks, title and page text only fill gaps.
     ``creator_phrase`` names the creator assumed when the page mentions it.
     """
-    h = F.col("html")
-    base = pages.select(
+    h, v = F.col("html"), F.col("_v")
+    base = pages.select("url", "html", html.visible(h).alias("_v")).select(
         "url",
-        html.clean_title(html.page_title(h, ""), title_suffix).alias("_heading"),
+        html.clean_title(html.visible_title(v, ""), title_suffix).alias("_heading"),
         html.json_ld(h).alias("_ld"),
-        html.definition_pairs(h, sep).alias("_dl"),
+        html.visible_pairs(v, sep).alias("_dl"),
         markup.nested_texts(h, "metadata", ["span", "div", "p"], sep).alias("_meta"),
-        html.html_text(h, None).alias("_text"),
-        attachment_array(h, F.col("url")).alias("attachments"),
+        html.text_of(v, None).alias("_text"),
+        attachment_array(v, F.col("url")).alias("attachments"),
     )
 
     def last(slot: str) -> Column:
@@ -176,10 +177,9 @@ def variant_text(v: Column, path: str) -> Column:
     """A scalar field as text, a list as its JSON text; null when empty, zero or absent."""
     kind = F.schema_of_variant(F.try_variant_get(v, path, "variant"))
     text = F.when(
-        F.startswith(kind, F.lit("ARRAY")) | F.startswith(kind, F.lit("OBJECT")),
-        F.to_json(F.try_variant_get(v, path, "variant")),
+        kind.rlike("^(ARRAY|OBJECT)"), F.to_json(F.try_variant_get(v, path, "variant"))
     ).otherwise(F.try_variant_get(v, path, "string"))
-    return F.when(~text.isin("", "0", "0.0", "false", "[]", "{}"), text)
+    return let(text, lambda t: F.when(~t.isin("", "0", "0.0", "false", "[]", "{}"), t))
 
 
 def variant_words(v: Column, path: str) -> Column:
