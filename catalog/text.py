@@ -204,12 +204,15 @@ def corpus_split_roundtrip(spark, sf_dir):
     SELECT doc_id, part::BIGINT AS part, parts::BIGINT AS parts, chunk FROM r""",
 )
 def chunk_documents(spark, sf_dir):
-    chunks = doc_files(spark, sf_dir).select(
-        "doc_id", T.chunk_text(F.col("content")).alias("_c")
-    )
-    return chunks.select(
-        "doc_id", F.size("_c").cast("bigint").alias("parts"), F.posexplode("_c").alias("_i", "chunk")
-    ).select("doc_id", (F.col("_i") + 1).cast("bigint").alias("part"), "parts", "chunk")
+    def counted(chunks):
+        return F.transform(
+            chunks, lambda x: F.struct(F.size(chunks).cast("bigint").alias("parts"), x.alias("chunk"))
+        )
+
+    rows = T.let(T.chunk_text(F.col("content")), counted)
+    return doc_files(spark, sf_dir).select(
+        "doc_id", F.posexplode(rows).alias("_i", "_r")
+    ).select("doc_id", (F.col("_i") + 1).cast("bigint").alias("part"), "_r.parts", "_r.chunk")
 
 
 @query(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The code points Python's str.strip() and str.split() treat as white space.
@@ -33,6 +33,15 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def compute_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a costly column that later filters and projections will not repeat.
+
+    Filters and projections are merged through a plain projection, with the
+    expression copied into each; a one-element generator keeps it in place.
+    """
+    return df.withColumn(name, F.explode(F.array(value)))
+
+
 def strip(c: Column) -> Column:
     """Remove Unicode white space from both ends."""
     return F.btrim(c, F.lit(WHITE_SPACE))

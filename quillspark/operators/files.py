@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.functions.text import RELEVANCE_KEYWORDS, clean_text, let, min_length
+from quillspark.functions.text import RELEVANCE_KEYWORDS, clean_text, compute_once, let, min_length
 from quillspark.functions.urls import path_name, path_suffix
 
 try:
@@ -185,7 +185,7 @@ def extract_files(
     else:
         routed = gated.withColumn("_suffix", path_suffix(path))
     cleaned = clean_text(F.col("content"), F.col("_suffix") == ".md")
-    done = routed.withColumn("_clean", cleaned)
+    done = compute_once(routed, "_clean", cleaned)
     ok = F.coalesce(min_length(F.col("_clean"), shortest), F.lit(False))
     return done.select(
         "repo",

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.functions import html, urls
-from quillspark.operators.ordering import number_rows, write_in_order
+from quillspark.operators.ordering import number_and_count, write_in_order
 from quillspark.runtime import cut_lineage
 
 # Node colours by depth.
@@ -44,6 +44,8 @@ def link_edges(pages: DataFrame, compat: bool = False) -> DataFrame:
 
 
 SALTS = 8
+# A level of at most this many URLs, a few megabytes, is sent to every task.
+BROADCAST_ROWS = 20_000
 
 
 def salted(rows: DataFrame, spread: str) -> DataFrame:
@@ -81,21 +83,25 @@ def bfs(edges: DataFrame, root: str, max_depth: int = 3) -> DataFrame:
     spark = edges.sparkSession
     slots = int(spark.conf.get("spark.sql.shuffle.partitions"))
     placed = cut_lineage(
-        salted(edges.select("source", "target", "pos"), "target").repartition(
-            slots, "source", "_salt"
-        )
+        salted(edges.select("source", "target", "pos"), "target")
+        .repartition(slots, "source", "_salt")
+        .sortWithinPartitions("source", "_salt")
     )
     levels = [
         spark.createDataFrame(
             [(root, 0, 1, None)], "url string, depth int, rank long, parent string"
         )
     ]
-    visited_rows = 1
+    visited_rows = found = 1
     for depth in range(1, max_depth + 1):
         frontier = levels[-1].select(
             F.col("url").alias("source"), F.col("rank").alias("parent_rank")
         )
-        reached = placed.join(per_salt(frontier), ["source", "_salt"])
+        if found <= BROADCAST_ROWS:
+            reached = placed.join(F.broadcast(frontier), "source")
+        else:
+            # A merge join keeps the placed edges where they are, already sorted.
+            reached = placed.hint("merge").join(per_salt(frontier), ["source", "_salt"])
         best = reached.groupBy(F.col("target").alias("url")).agg(
             F.min(F.struct("parent_rank", "pos", F.col("source").alias("parent"))).alias("_by")
         )
@@ -103,17 +109,17 @@ def bfs(edges: DataFrame, root: str, max_depth: int = 3) -> DataFrame:
         for level in levels[1:]:
             visited = visited.unionByName(level.select("url"))
         fresh = best.join(visited, "url", "left_anti")
-        numbered = number_rows(
+        numbered, found = number_and_count(
             fresh.select("url", "_by.*"), ["parent_rank", "pos"], "_n"
-        ).select(
+        )
+        if found == 0:
+            break
+        numbered = numbered.select(
             "url",
             F.lit(depth).alias("depth"),
             (F.col("_n") + visited_rows).alias("rank"),
             "parent",
         )
-        found = numbered.count()
-        if found == 0:
-            break
         visited_rows += found
         levels.append(numbered)
     out = levels[0]

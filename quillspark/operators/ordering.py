@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,26 +12,26 @@ from quillspark.runtime import cut_lineage
 _IN_PARTITION = (1 << 33) - 1
 
 
-def with_offsets(placed: DataFrame, slot: str, name: str) -> DataFrame:
-    """Dense 1-based numbers from materialised ``monotonically_increasing_id`` slots.
+def number_and_count(df: DataFrame, order: list, name: str = "n") -> tuple[DataFrame, int]:
+    """``number_rows`` and the number of rows.
 
-    The offsets table has one row per partition, which bounds the broadcast and
-    the window below.
+    Only the partition sizes reach the driver: one number per partition.
     """
-    part = F.shiftright(F.col(slot), 33)
-    sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_size"))
-    before = F.sum("_size").over(
-        Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    offsets = sizes.select("_part", F.coalesce(before, F.lit(0)).alias("_before"))
-    return (
-        placed.withColumn("_part", part)
-        .join(F.broadcast(offsets), "_part")
-        .withColumn(
-            name, F.col("_before") + F.col(slot).bitwiseAND(F.lit(_IN_PARTITION)) + 1
-        )
-        .drop("_part", "_before", slot)
+    order = [F.col(o) if isinstance(o, str) else o for o in order]
+    placed = cut_lineage(
+        df.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .withColumn("_slot", F.monotonically_increasing_id())
     )
+    part = F.shiftright(F.col("_slot"), 33).cast("int")
+    sizes = dict(placed.groupBy(part.alias("_part")).count().collect())
+    before, total = [], 0
+    for k in range(max(sizes, default=-1) + 1):
+        before.append(total)
+        total += sizes.get(k, 0)
+    offsets = F.from_json(F.lit(json.dumps(before)), "array<bigint>")
+    number = F.get(offsets, part) + F.col("_slot").bitwiseAND(F.lit(_IN_PARTITION)) + 1
+    return placed.withColumn(name, number).drop("_slot"), total
 
 
 def number_rows(df: DataFrame, order: list, name: str = "n") -> DataFrame:
@@ -39,13 +41,7 @@ def number_rows(df: DataFrame, order: list, name: str = "n") -> DataFrame:
     once, so that numbers and partition sizes come from the same copy. ``order``
     should end with a unique column, which also splits long runs of equal keys.
     """
-    order = [F.col(o) if isinstance(o, str) else o for o in order]
-    placed = cut_lineage(
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .withColumn("_slot", F.monotonically_increasing_id())
-    )
-    return with_offsets(placed, "_slot", name)
+    return number_and_count(df, order, name)[0]
 
 
 def running_max(

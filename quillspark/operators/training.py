@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.functions.text import chunk_text, word_count
+from quillspark.functions.text import chunk_text, let, word_count
 
 
 def file_prompt(repo: Column, path: Column, part: Column, parts: Column) -> Column:
@@ -26,22 +26,26 @@ def file_prompt(repo: Column, path: Column, part: Column, parts: Column) -> Colu
 def to_training(
     entries: DataFrame, max_length: int = 1500, shortest: int = 100
 ) -> DataFrame:
-    """(repo, path, part, parts, text) from (repo, path, content); no shuffle."""
-    chunked = entries.where(F.length("content") >= shortest).withColumn(
-        "_chunks", chunk_text(F.col("content"), max_length)
-    )
-    rows = chunked.select(
-        "repo", "path", F.size("_chunks").alias("parts"), F.posexplode("_chunks").alias("_i", "_c")
+    """(repo, path, part, parts, text) from (repo, path, content); no shuffle.
+
+    The length gate and the part count sit inside the exploded expression: a
+    filter, given or inferred, would be pushed below and chunk the text again there.
+    """
+    def numbered(chunks: Column) -> Column:
+        return F.transform(
+            chunks,
+            lambda x, i: F.struct(
+                (i + 1).cast("int").alias("part"), F.size(chunks).alias("parts"), x.alias("chunk")
+            ),
+        )
+
+    rows = let(
+        F.col("content"),
+        lambda c: F.when(F.length(c) >= shortest, let(chunk_text(c, max_length), numbered)),
     )
-    part = F.col("_i") + 1
-    return rows.select(
-        "repo",
-        "path",
-        part.alias("part"),
-        "parts",
-        F.concat(
-            file_prompt(F.col("repo"), F.col("path"), part, F.col("parts")), F.col("_c")
-        ).alias("text"),
+    prompt = file_prompt(F.col("repo"), F.col("path"), F.col("_r.part"), F.col("_r.parts"))
+    return entries.select("repo", "path", F.explode(rows).alias("_r")).select(
+        "repo", "path", "_r.part", "_r.parts", F.concat(prompt, F.col("_r.chunk")).alias("text")
     )
 
 
@@ -84,8 +88,10 @@ def union_delta(combined: DataFrame) -> DataFrame:
 
 def conversion_stats(entries: DataFrame, max_length: int = 1500, shortest: int = 100) -> DataFrame:
     """One row: raw entries against produced examples, in one pass."""
-    long_enough = F.length("content") >= shortest
-    made = F.when(long_enough, F.size(chunk_text(F.col("content"), max_length))).otherwise(0)
+    made = let(
+        F.col("content"),
+        lambda c: F.when(F.length(c) >= shortest, F.size(chunk_text(c, max_length))),
+    )
     return entries.agg(
         F.count(F.lit(1)).alias("total_entries"),
         F.coalesce(F.sum(made), F.lit(0)).alias("processed_entries"),
