@@ -2,10 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
+
+import pandas as pd
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-TREE_GLOB = "*.{md,txt,csv,json,yaml,yml,MD,TXT,CSV,JSON,YAML,YML,Md,Txt,Csv,Json,Yaml,Yml}"
+TREE_SUFFIXES = (".md", ".txt", ".csv", ".json", ".yaml", ".yml")
+FILE_SCHEMA = "repo string, path string, length long, content binary"
+
+
+def _any_case(suffix: str) -> str:
+    return "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in suffix)
+
+
+def _glob(suffixes) -> str:
+    return "*{" + ",".join(_any_case(s) for s in suffixes) + "}"
 
 
 def decode_text(content: Column) -> Column:
@@ -18,23 +31,26 @@ def decode_text(content: Column) -> Column:
     return F.regexp_replace(marked, r"\r\n?", "\n")
 
 
-def read_file_tree(spark: SparkSession, root: str, glob: str | None = TREE_GLOB) -> DataFrame:
+def read_file_tree(
+    spark: SparkSession, root: str, suffixes: Sequence[str] | None = TREE_SUFFIXES
+) -> DataFrame:
     """(repo, path, length, content) of the files below ``root``.
 
-    The first folder is the repository. ``glob`` prunes by name before a file is
-    opened; None reads every file, so that skipped ones can be counted.
+    The first folder is the repository. ``suffixes`` prunes by name before a file
+    is opened; None reads every file, so that skipped ones can be counted. Spark's
+    own listing leaves out names that start with ``_`` or ``.``; those files are
+    listed and read by tasks of their own.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    # _metadata.file_path is URL-encoded, so its relative part is decoded.
+    if suffixes:
+        reader = reader.option("pathGlobFilter", _glob(suffixes))
+    # file_path is URL-encoded, but for the plus sign.
     full = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    below = F.regexp_replace(
-        F.substr(full, F.instr(full, _tail(root)) + len(_tail(root))), "^/+", ""
-    )
-    return (
+    mark = "/" + root.split("://")[-1].strip("/") + "/"
+    seen = (
         reader.load(root)
-        .withColumn("_rel", below)
+        .withColumn("_rel", F.substr(full, F.instr(full, mark) + len(mark)))
+        .where(F.contains("_rel", F.lit("/")))
         .select(
             F.substring_index("_rel", "/", 1).alias("repo"),
             F.regexp_replace("_rel", "^[^/]*/", "").alias("path"),
@@ -42,15 +58,64 @@ def read_file_tree(spark: SparkSession, root: str, glob: str | None = TREE_GLOB)
             "content",
         )
     )
+    return seen.unionByName(_read_left_out(spark, root, suffixes))
+
+
+def _left_out(name: str) -> bool:
+    """Whether Spark's file listing drops a file or folder of this name."""
+    if name.startswith(("_common_metadata", "_metadata")):
+        return False
+    return name.startswith(".") or name.endswith("._COPYING_") or (
+        name.startswith("_") and "=" not in name
+    )
+
+
+def _read_left_out(spark: SparkSession, root: str, suffixes: Sequence[str] | None) -> DataFrame:
+    """The files that ``binaryFile`` does not list.
+
+    The driver sees only the names of the repositories. Tasks list one repository
+    each; the found paths are then spread evenly, whichever repository they are in.
+    """
+    wanted = tuple(suffixes) if suffixes else None
+    uri = root if "://" in root else f"file://{root}"
+    system, base = fs.FileSystem.from_uri(uri)
+    repos = [
+        (f.base_name,)
+        for f in system.get_file_info(fs.FileSelector(base))
+        if f.type == fs.FileType.Directory
+    ]
+
+    def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        files, top = fs.FileSystem.from_uri(uri)
+        for batch in batches:
+            for repo in batch["repo"]:
+                below = f"{top.rstrip('/')}/{repo}/"
+                rows = [
+                    (repo, f.path[len(below):], f.size)
+                    for f in files.get_file_info(fs.FileSelector(below, recursive=True))
+                    if f.type == fs.FileType.File
+                    and (wanted is None or f.path.lower().endswith(wanted))
+                    and any(map(_left_out, [repo, *f.path[len(below):].split("/")]))
+                ]
+                yield pd.DataFrame(rows, columns=["repo", "path", "length"])
 
+    def opened(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        files, top = fs.FileSystem.from_uri(uri)
+        for batch in batches:
+            for row in batch.itertuples(index=False):
+                with files.open_input_stream(f"{top.rstrip('/')}/{row.repo}/{row.path}") as f:
+                    yield pd.DataFrame([(*row, f.read())], columns=[*batch.columns, "content"])
 
-def _tail(root: str) -> str:
-    return "/" + root.split("://")[-1].strip("/") + "/"
+    names = spark.createDataFrame(repos, "repo string")
+    paths = names.repartition("repo").mapInPandas(found, "repo string, path string, length long")
+    return paths.repartition("repo", "path").mapInPandas(opened, FILE_SCHEMA)
 
 
-def read_text_files(spark: SparkSession, root: str, glob: str | None = TREE_GLOB) -> DataFrame:
+def read_text_files(
+    spark: SparkSession, root: str, suffixes: Sequence[str] | None = TREE_SUFFIXES
+) -> DataFrame:
     """(repo, path, content) with decoded text."""
-    return read_file_tree(spark, root, glob).select(
+    return read_file_tree(spark, root, suffixes).select(
         "repo", "path", decode_text(F.col("content")).alias("content")
     )
 

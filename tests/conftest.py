@@ -5,12 +5,15 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from bench import session  # noqa: E402
+
+# Started on import: test modules hold column expressions, which need a session.
+SESSION = session("4")
+
 
 @pytest.fixture(scope="session")
 def spark():
-    from bench import session
-
-    return session("4")
+    return SESSION
 
 
 @pytest.fixture

@@ -76,7 +76,7 @@ def tree(tmp_path):
     root = tmp_path / "repos"
     for path, body in {
         "r1/a.md": "# T\n[![b](x)](y)\n" + LONG, "r1/sub dir/b+c.json": '{"venue": "%s"}' % LONG,
-        "r1/LICENSE.md": LONG, "r2/d.csv": f"date,n\n1,{LONG}\n2\n", "r2/e.yaml": f"song: {LONG}\n",
+        "r1/LICENSE.md": LONG, "r2/d.csv": f"date,n\n1,\"{LONG}\"\n2\n", "r2/e.yaml": f"song: {LONG}\n",
         "r2/f.png": "no", "r2/short.txt": "short",
     }.items():
         file = root / path
@@ -86,7 +86,7 @@ def tree(tmp_path):
 
 
 def test_tree_to_corpus_and_training(spark, tree):
-    read = trees.read_text_files(spark, tree, glob=None)
+    read = trees.read_text_files(spark, tree, suffixes=None)
     assert ("r1", "sub dir/b+c.json") in [(r.repo, r.path) for r in read.collect()]
     done = files.extract_files(read)
     stats = {r.repo: tuple(r)[1:] for r in files.extraction_stats(done).collect()}
@@ -97,6 +97,19 @@ def test_tree_to_corpus_and_training(spark, tree):
     assert md.text == f"The following is content from a.md in the r1 repository:\n\n# T\n\n{LONG}"
 
 
+def test_names_that_the_listing_leaves_out(spark, tmp_path):
+    names = ["r/_config.yml", "r/.travis.yml", "r/_docs/b c.MD", "r/c.md", "r/.git/x.txt", "_r/d.md", ".h/e.md", "r/.x.png"]
+    for n in names:
+        (tmp_path / n).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / n).write_text(n)
+    read = trees.read_text_files(spark, str(tmp_path))
+    got = sorted(f"{r.repo}/{r.path}" for r in read.collect())
+    assert got == sorted(names[:-1])
+    assert all(r.content == f"{r.repo}/{r.path}" for r in read.collect())
+    kept = sorted(f"{r.repo}/{r.path}" for r in files.filter_files(read).collect())
+    assert kept == sorted(["r/_config.yml", "r/.travis.yml", "r/_docs/b c.MD", "r/c.md", "_r/d.md"])
+
+
 def test_corpus_split(values):
     text = "[r] :: [a.md]\nX\n[not] a header\n\n[r] :: [b.md]\nY\n"
     (parts,) = values({"t": text}, corpus.split_entries(F.col("t")))
