@@ -26,11 +26,14 @@ def unseen(
 ) -> DataFrame:
     """Rows whose key is not in the seen set.
 
-    With ``order``, repeats inside the batch are dropped first (first wins), which
-    also leaves one row per key for the join.
+    With ``order``, repeats inside the batch are dropped first (first wins), so the
+    join sees one row per key. The join key is carried as a value of that
+    aggregate: on the grouping key itself the join would be moved below it.
     """
-    candidates = dedup_first(new, [key], order) if order else new
-    return candidates.join(seen.select(key).distinct(), key, "left_anti")
+    candidates = new
+    if order:
+        candidates = dedup_first(new.withColumn("_k", F.col(key)), ["_k"], order).drop("_k")
+    return candidates.join(seen.select(key).distinct(), key, "left_anti").select(*new.columns)
 
 
 def seen_only(new: DataFrame, seen: DataFrame, key: str = "id") -> DataFrame:

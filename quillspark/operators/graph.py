@@ -102,15 +102,17 @@ def bfs(edges: DataFrame, root: str, max_depth: int = 3) -> DataFrame:
         else:
             # A merge join keeps the placed edges where they are, already sorted.
             reached = placed.hint("merge").join(per_salt(frontier), ["source", "_salt"])
-        best = reached.groupBy(F.col("target").alias("url")).agg(
-            F.min(F.struct("parent_rank", "pos", F.col("source").alias("parent"))).alias("_by")
+        # The URL is carried in the minimum, which keeps the anti-join above the aggregate.
+        by = F.struct(
+            "parent_rank", "pos", F.col("source").alias("parent"), F.col("target").alias("url")
         )
+        best = reached.groupBy("target").agg(F.min(by).alias("_by")).select("_by.*")
         visited = levels[0].select("url")
         for level in levels[1:]:
             visited = visited.unionByName(level.select("url"))
         fresh = best.join(visited, "url", "left_anti")
         numbered, found = number_and_count(
-            fresh.select("url", "_by.*"), ["parent_rank", "pos"], "_n"
+            fresh, ["parent_rank", "pos"], "_n"
         )
         if found == 0:
             break
@@ -161,8 +163,8 @@ def edges_with_depth(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     )
 
 
-def node_degrees(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """Nodes with in- and out-degree, zeros included.
+def end_degrees(edges: DataFrame) -> DataFrame:
+    """In- and out-degree of every URL that an edge names.
 
     Both counts come from one aggregate over edge ends, so edges are read once and
     a popular page is reduced before the shuffle.
@@ -175,10 +177,14 @@ def node_degrees(nodes: DataFrame, edges: DataFrame) -> DataFrame:
             )
         ).alias("_e")
     ).select("_e.*")
-    counts = ends.groupBy("url").agg(
+    return ends.groupBy("url").agg(
         F.sum("i").alias("in_degree"), F.sum("o").alias("out_degree")
     )
-    return nodes.join(counts, "url", "left").select(
+
+
+def node_degrees(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """Nodes with in- and out-degree, zeros included."""
+    return nodes.join(end_degrees(edges), "url", "left").select(
         *nodes.columns,
         F.coalesce("in_degree", F.lit(0)).alias("in_degree"),
         F.coalesce("out_degree", F.lit(0)).alias("out_degree"),

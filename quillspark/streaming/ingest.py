@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from quillspark.operators.firstwins import dedup_first, split_errors
+from quillspark.operators.firstwins import dedup_first, split_errors, unseen
 
 
 def stream_unseen(
@@ -55,10 +55,13 @@ def ingest_batch(
 
     def body(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        fresh = dedup_first(batch, [key], order) if order else batch.dropDuplicates([key])
         done = _batches(spark, records, batch_id)
         if done is not None:
-            fresh = fresh.join(done.select(key).distinct(), key, "left_anti")
+            fresh = unseen(batch, done, key, order)
+        else:
+            fresh = dedup_first(batch, [key], order) if order else batch
+        if not order:
+            fresh = fresh.dropDuplicates([key])
         result = extract(fresh).persist()
         try:
             ok, failed = split_errors(result)
