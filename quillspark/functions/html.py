@@ -81,9 +81,12 @@ def visible(c: Column) -> Column:
     return F.regexp_replace(c, HIDDEN, MARK)
 
 
-def text_of(markup: Column, sep: str | None) -> Column:
-    """Text of markup whose hidden parts are already gone."""
-    marked = unescape(F.regexp_replace(markup, TAG, MARK))
+def _marked(markup: Column) -> Column:
+    return F.regexp_replace(markup, TAG, MARK)
+
+
+def _joined(marked: Column, sep: str | None) -> Column:
+    """Decoded text pieces, still with marks between them, put together."""
     if sep is None:
         return strip(F.replace(marked, F.lit(MARK)))
     if sep == " ":
@@ -93,6 +96,11 @@ def text_of(markup: Column, sep: str | None) -> Column:
     return strip(pieces)
 
 
+def text_of(markup: Column, sep: str | None) -> Column:
+    """Text of markup whose hidden parts are already gone."""
+    return _joined(unescape(_marked(markup)), sep)
+
+
 def html_text(c: Column, sep: str | None = " ") -> Column:
     """Visible text of an HTML fragment.
 
@@ -102,11 +110,15 @@ def html_text(c: Column, sep: str | None = " ") -> Column:
     return text_of(visible(F.replace(c, F.lit(MARK))), sep)
 
 
-def attribute(tag: Column, name: str) -> Column:
-    """Value of an attribute of an opening tag; null when the attribute is absent."""
+def _raw_attribute(tag: Column, name: str) -> Column:
     pattern = rf"""(?i)[\s"'/]{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
     value = F.concat(*(F.regexp_extract(tag, pattern, k) for k in (1, 2, 3)))
-    return F.when(tag.rlike(pattern), unescape(value))
+    return F.when(tag.rlike(pattern), value)
+
+
+def attribute(tag: Column, name: str) -> Column:
+    """Value of an attribute of an opening tag; null when the attribute is absent."""
+    return unescape(_raw_attribute(tag, name))
 
 
 def links_of(c: Column) -> Column:
@@ -118,13 +130,17 @@ def visible_links(v: Column) -> Column:
     found = F.regexp_extract_all(v, F.lit(LINK), F.lit(0))
 
     def link(m: Column, i: Column) -> Column:
-        return let(
+        raw = let(
             F.regexp_extract(m, rf"(?is)^<a\b{OPENING}", 0),
-            lambda tag: F.struct(
+            lambda tag: F.array(_raw_attribute(tag, "href"), _raw_attribute(tag, "title"), _marked(m)),
+        )
+        return let(
+            F.transform(raw, unescape),
+            lambda x: F.struct(
                 i.cast("int").alias("pos"),
-                attribute(tag, "href").alias("href"),
-                F.coalesce(attribute(tag, "title"), F.lit("")).alias("title"),
-                text_of(m, "").alias("text"),
+                x[0].alias("href"),
+                F.coalesce(x[1], F.lit("")).alias("title"),
+                _joined(x[2], "").alias("text"),
             ),
         )
 
@@ -136,9 +152,12 @@ def element_text(c: Column, tag: str, sep: str = "") -> Column:
     return let(visible(c), lambda v: visible_element(v, tag, sep))
 
 
+def _raw_element(v: Column, tag: str) -> Column:
+    return blank_to_null(F.regexp_extract(v, rf"(?is)<{tag}\b{OPENING}.*?</{tag}\s*>", 0))
+
+
 def visible_element(v: Column, tag: str, sep: str = "") -> Column:
-    whole = F.regexp_extract(v, rf"(?is)<{tag}\b{OPENING}.*?</{tag}\s*>", 0)
-    return let(whole, lambda w: F.when(w != "", text_of(w, sep)))
+    return text_of(_raw_element(v, tag), sep)
 
 
 def paragraphs_of(c: Column) -> Column:
@@ -153,7 +172,8 @@ def page_title(c: Column, default: str = "Unknown Title") -> Column:
 
 
 def visible_title(v: Column, default: str) -> Column:
-    return F.coalesce(visible_element(v, "h1"), visible_element(v, "title"), F.lit(default))
+    heading = F.coalesce(_raw_element(v, "h1"), _raw_element(v, "title"))
+    return F.coalesce(text_of(heading, ""), F.lit(default))
 
 
 def clean_title(c: Column, suffix: str | None = None) -> Column:
@@ -217,13 +237,11 @@ def visible_pairs(v: Column, sep: str) -> Column:
         def pair(x: Column, i: Column) -> Column:
             later = F.filter(F.slice(cells, i + 2, F.size(cells)), lambda y: ~is_term(y))
             value = F.when(is_term(x), F.try_element_at(later, F.lit(1)))
+            texts = F.transform(F.array(x, value), lambda y: text_of(y, sep))
             return let(
-                value,
-                lambda dd: F.when(
-                    dd.isNotNull(),
-                    F.struct(
-                        F.lower(text_of(x, sep)).alias("key"), text_of(dd, sep).alias("value")
-                    ),
+                texts,
+                lambda t: F.when(
+                    t[1].isNotNull(), F.struct(F.lower(t[0]).alias("key"), t[1].alias("value"))
                 ),
             )
 

@@ -84,15 +84,16 @@ def render_transcripts(
 
 
 def render_plain(transcripts: DataFrame, order: str) -> DataFrame:
-    """The earlier text form, without episode numbers and word counts."""
-    return transcripts.select(
-        F.col(order).alias("n"),
-        F.concat(
-            F.lit("Title: "), F.col("title"), F.lit("\nURL: "), F.col("url"),
-            F.lit("\nDate: "), F.col("date"), F.lit("\n\n"), F.col("transcript"),
-            F.lit(f"\n\n{RULE}\n"),
-        ).alias("text"),
+    """(n, text) rows of the earlier text form, without episode numbers and word counts."""
+    def shown(name: str) -> Column:
+        return F.coalesce(name, F.lit(""))
+
+    text = F.concat(
+        F.lit("=== "), shown("title"), F.lit(" ===\nDate: "), shown("date"),
+        F.lit("\nURL: "), shown("url"), F.lit("\n\n"), shown("transcript"),
+        F.lit(f"\n\n{RULE}\n"),
     )
+    return transcripts.select(F.col(order).alias("n"), text.alias("text"))
 
 
 def parse_episode_block(block: Column, compat: bool = False) -> Column:

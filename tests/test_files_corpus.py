@@ -164,6 +164,11 @@ def test_episodes_round_trip(spark, episodes, tmp_path):
     assert zeta.text == f"The following is from the 'X' podcast - EPISODE 3: Zeta:\n\n{BODY}"
 
 
+def test_plain_form(episodes):
+    got = [r.text for r in corpus.render_plain(episodes, "pos").orderBy("n").collect()]
+    assert got[2] == f"=== Alpha ===\nDate: \nURL: u3\n\nshort\n\n{corpus.RULE}\n"
+
+
 def test_compat_parser_loses_lines(values):
     block = F.col("b")
     text = "EPISODE 1: T\nURL: u\nDate: d\nWord Count: 3\n\nb1\nb2\nURL: x\nb3"
