@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.functions import html, urls
 from quillspark.operators.ordering import number_and_count, write_in_order
-from quillspark.runtime import cut_lineage
+from quillspark.runtime import scratch_path
 
 # Node colours by depth.
 DEPTH_COLORS = (
@@ -71,6 +73,23 @@ def resolve_links(edges: DataFrame, pages: DataFrame) -> DataFrame:
     return lookup(edges, landed, "target", "source", "left_semi")
 
 
+def _place(edges: DataFrame) -> str:
+    """Write edges once, bucketed by source and salt, to a table in the shared folder."""
+    spark = edges.sparkSession
+    slots = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"spark_catalog.default.edges_{uuid.uuid4().hex}"
+    (
+        salted(edges, "target")
+        .repartition(slots, "source", "_salt")
+        .write.format("parquet")
+        .bucketBy(slots, "source", "_salt")
+        .sortBy("source", "_salt")
+        .option("path", scratch_path(spark, "edges"))
+        .saveAsTable(name)
+    )
+    return name
+
+
 def bfs(edges: DataFrame, root: str, max_depth: int = 3) -> DataFrame:
     """Breadth-first tree from ``root``: (url, depth, rank, parent).
 
@@ -81,12 +100,8 @@ def bfs(edges: DataFrame, root: str, max_depth: int = 3) -> DataFrame:
     by source once, so later levels shuffle only the frontier.
     """
     spark = edges.sparkSession
-    slots = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = cut_lineage(
-        salted(edges.select("source", "target", "pos"), "target")
-        .repartition(slots, "source", "_salt")
-        .sortWithinPartitions("source", "_salt")
-    )
+    table = _place(edges.select("source", "target", "pos"))
+    placed = spark.table(table)
     levels = [
         spark.createDataFrame(
             [(root, 0, 1, None)], "url string, depth int, rank long, parent string"
@@ -100,7 +115,7 @@ def bfs(edges: DataFrame, root: str, max_depth: int = 3) -> DataFrame:
         if found <= BROADCAST_ROWS:
             reached = placed.join(F.broadcast(frontier), "source")
         else:
-            # A merge join keeps the placed edges where they are, already sorted.
+            # A merge join keeps the placed edges where they are.
             reached = placed.hint("merge").join(per_salt(frontier), ["source", "_salt"])
         # The URL is carried in the minimum, which keeps the anti-join above the aggregate.
         by = F.struct(
@@ -124,6 +139,8 @@ def bfs(edges: DataFrame, root: str, max_depth: int = 3) -> DataFrame:
         )
         visited_rows += found
         levels.append(numbered)
+    # The levels are written out and no longer need the table.
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
     out = levels[0]
     for level in levels[1:]:
         out = out.unionByName(level)

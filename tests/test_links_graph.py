@@ -83,6 +83,18 @@ def test_bfs_equals_a_queue(spark, monkeypatch, small):
     assert graph.tree_edges(nodes).count() == len(want) - 1
 
 
+def test_placed_edges_are_not_shuffled_again(spark):
+    edges = spark.range(100).select(
+        F.lit("hot").alias("source"), F.col("id").cast("string").alias("target"), F.col("id").alias("pos")
+    )
+    name = graph._place(edges)
+    frontier = graph.per_salt(spark.createDataFrame([("hot", 1)], "source string, parent_rank long"))
+    joined = spark.table(name).hint("merge").join(frontier, ["source", "_salt"])
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    spark.sql(f"DROP TABLE {name}")
+    assert "Bucketed: true" in plan and plan.count("Exchange hashpartitioning") == 1
+
+
 def test_bfs_without_links(spark):
     edges = spark.createDataFrame([], "source string, target string, pos long")
     assert rows(graph.bfs(edges, "r"), "url", "depth", "rank") == [("r", 0, 1)]
