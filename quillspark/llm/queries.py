@@ -52,3 +52,31 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = dedup_lines(docs, min_docs=10, min_chars=1)
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+# --- WARC --------------------------------------------------------------------
+
+BASE32_PART_SQL = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(h, {1 + 5 * i}, 5))::BIGINT >> {s}) & 31)::BIGINT, 1)"
+    for i in range(8) for s in (15, 10, 5, 0)
+)
+OP3_SQL = f"""
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS size, sha1(coalesce(html, '')) AS h FROM pages
+), q AS (
+  SELECT page_id, size, {BASE32_PART_SQL} AS digest, min(page_id) OVER (PARTITION BY h) AS first FROM p
+)
+SELECT page_id, size::BIGINT AS payload_bytes, digest AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM q"""
+
+
+@query("op3_warc", OP3_SQL)
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quillspark.llm.warc import page_records, read_warc, write_warc
+    from quillspark.runtime import scratch_path
+
+    path = scratch_path(spark, "warc")
+    write_warc(table(spark, sf_dir, "pages"), path, min_bytes=0)
+    return page_records(read_warc(spark, path, payloads=False))
