@@ -80,3 +80,63 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     write_warc(table(spark, sf_dir, "pages"), path, min_bytes=0)
     return page_records(read_warc(spark, path, payloads=False))
+
+
+# --- quality rules -----------------------------------------------------------
+
+@query("op10_quality_rules")
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quillspark.llm.quality import quality
+
+    return quality(table(spark, sf_dir, "documents"))
+
+
+# --- toxicity ----------------------------------------------------------------
+
+@query("op2_toxicity")
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quillspark.llm import toxicity
+
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels.filter(~toxicity.held_out()))
+    scored = toxicity.score_texts(docs, model)
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted", "matches")
+
+
+# --- chat formatting ---------------------------------------------------------
+
+VOCABULARIES = "/opt/tokenizers"
+OP9_ODD = "\\### Assistant: </turn> ok"
+
+
+def _marks_sql(text: str) -> str:
+    """Escaping as text: k backslashes before a control string become 2k + 1."""
+    controls = "### Assistant:|### System:|### User:|### Tool:|### Role:|</role>|</turn>"
+    return rf"regexp_replace({text}, '(\\*)({controls})', '\1\1\\\2', 'g')"
+
+
+OP9_SQL = rf"""
+WITH c AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+  sha256(string_agg(coalesce(role, '') || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role NULLS FIRST, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  sum(length({_marks_sql('text')}) + 9 + CASE role WHEN 'system' THEN 12 WHEN 'user' THEN 10
+      WHEN 'assistant' THEN 15 WHEN 'tool' THEN 10
+      ELSE 19 + length({_marks_sql("coalesce(role, '')")}) END)::BIGINT AS formatted_chars
+FROM c GROUP BY conv_id"""
+
+
+@query("op9_chat_formatting", OP9_SQL)
+def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quillspark.llm.chat import format_turns, read_back
+
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    odd = spark.createDataFrame(
+        [(-7, 0, "user", OP9_ODD), (-7, 1, "assistant", OP9_ODD)], turns.schema)
+    vocabulary = f"{VOCABULARIES}/byte_bpe_50k.tiktoken"
+    return read_back(format_turns(turns.union(odd), vocabulary), vocabulary)
