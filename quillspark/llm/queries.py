@@ -140,3 +140,15 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         [(-7, 0, "user", OP9_ODD), (-7, 1, "assistant", OP9_ODD)], turns.schema)
     vocabulary = f"{VOCABULARIES}/byte_bpe_50k.tiktoken"
     return read_back(format_turns(turns.union(odd), vocabulary), vocabulary)
+
+
+# --- language identification -------------------------------------------------
+
+@query("op4_language_id")
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quillspark.llm import langid
+
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs.filter(~langid.held_out()), f"{VOCABULARIES}/piece_bpe_32k.model")
+    return langid.predict(docs, model).select(
+        "doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")

@@ -206,7 +206,12 @@ def learn_insults(sample: DataFrame, *, z: float = 3.3, least: float = 0.5,
         .orderBy(F.desc("bound"), "form", "stem").limit(most).collect()
     )
     insults = {r["form"]: r["bound"] for r in rows if r["stem"] == 0}
-    stems = {r["form"]: r["bound"] for r in rows if r["stem"] > 0}
+    found = {r["form"]: r for r in rows if r["stem"] > 0}
+    # A longer stem that explains most of a shorter one stands in for it.
+    stems = {
+        form: r["bound"] for form, r in found.items()
+        if not any(t != form and t.startswith(form) and found[t]["a"] >= 0.8 * r["a"] for t in found)
+    }
     return {w: 1.0 for w in INSULTS} | insults, stems
 
 
