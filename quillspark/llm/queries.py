@@ -152,3 +152,12 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = langid.train(docs.filter(~langid.held_out()), f"{VOCABULARIES}/piece_bpe_32k.model")
     return langid.predict(docs, model).select(
         "doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
+
+
+# --- SentencePiece encoding --------------------------------------------------
+
+@query("op7_sentencepiece")
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quillspark.llm.pieces import encode_checked
+
+    return encode_checked(table(spark, sf_dir, "documents"), f"{VOCABULARIES}/piece_bpe_32k.model")
