@@ -53,3 +53,19 @@ def broadcast_bytes(spark: SparkSession, data: bytes, most: int, what: str):
         raise ValueError(f"{what}: {len(data)} bytes, over the bound of {most}")
     return spark.sparkContext.broadcast(data)
 
+
+
+_BUILT: dict[tuple, object] = {}
+
+
+def per_process(kind: str, data: bytes, build):
+    """What ``build`` makes of a model, kept in a Python worker between its tasks.
+
+    One object per kind is kept, so a worker holds no more than the models in use.
+    """
+    key = (kind, zlib.crc32(data), len(data))
+    if key not in _BUILT:
+        for old in [k for k in _BUILT if k[0] == kind]:
+            del _BUILT[old]
+        _BUILT[key] = build(data)
+    return _BUILT[key]

@@ -24,13 +24,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import broadcast_bytes, crc_remainder, written
+from quillspark.llm.common import broadcast_bytes, crc_remainder, per_process, written
+from quillspark.llm.lattice import Lattice
 
 START = "▁"  # the vocabulary's mark of a word start
 WORDS = re.compile(r"[^\W\d_]+")
 HAS_LETTER = re.compile(r"[^\W\d_]")
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-CHUNK = 48  # a longer word is scored in chunks of so many characters
+CHUNK = Lattice.LONGEST  # a longer word is scored in chunks of so many characters
 
 
 def load_pieces(path: str) -> list[str]:
@@ -44,46 +44,6 @@ def load_pieces(path: str) -> list[str]:
     })
 
 
-class Lattice:
-    """Piece lookups for all substrings of equally long words, by rolling hashes."""
-
-    def __init__(self, pieces: list[str]):
-        self.pieces = pieces
-        self.longest = max(map(len, pieces))
-        hashes = np.array([self._hash(p) for p in pieces], np.uint64)
-        order = np.argsort(hashes)
-        self.hashes, self.ids = hashes[order], order
-        if (self.hashes[1:] == self.hashes[:-1]).any():
-            raise ValueError("two pieces with one hash")
-        with np.errstate(over="ignore"):
-            self.power = np.cumprod(np.concatenate(([1], np.repeat(_BASE, CHUNK + 1))).astype(np.uint64))
-
-    @staticmethod
-    def _hash(piece: str) -> int:
-        h = 0
-        for c in piece:
-            h = (h * int(_BASE) + ord(c) + 1) & 0xFFFFFFFFFFFFFFFF
-        return h
-
-    def arcs(self, words: list[str]) -> dict[tuple[int, int], np.ndarray]:
-        """(start, end) -> piece per word, ``len(pieces)`` where there is none."""
-        n, size = len(words), len(words[0])
-        codes = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).reshape(n, size).astype(np.uint64)
-        prefix = np.zeros((n, size + 1), np.uint64)
-        out = {}
-        with np.errstate(over="ignore"):
-            for i in range(size):
-                prefix[:, i + 1] = prefix[:, i] * _BASE + codes[:, i] + np.uint64(1)
-            for end in range(1, size + 1):
-                for start in range(max(0, end - self.longest), end):
-                    h = prefix[:, end] - prefix[:, start] * self.power[end - start]
-                    at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-                    found = self.hashes[at] == h
-                    if found.any():
-                        out[start, end] = np.where(found, self.ids[at], len(self.pieces))
-        return out
-
-
 def chunks(word: str) -> list[str]:
     word = START + word
     return [word[i:i + CHUNK] for i in range(0, len(word), CHUNK)]
@@ -260,9 +220,11 @@ def predict(
     kind = docs.schema[id].dataType.simpleString()
 
     def guess(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = pickle.loads(shared.value)
-        langs = m["langs"]
-        scorer = Scorer(m["pieces"], m["probs"], m["unknown"])
+        def build(d: bytes):
+            m = pickle.loads(d)
+            return m["langs"], Scorer(m["pieces"], m["probs"], m["unknown"])
+
+        langs, scorer = per_process("langid", shared.value, build)
         for whole in stream:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)

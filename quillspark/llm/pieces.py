@@ -25,11 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import broadcast_bytes
+from quillspark.llm.common import broadcast_bytes, per_process
+from quillspark.llm.lattice import Lattice
 
 SPACE_MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = range(1, 7)  # piece types of the format
 BPE = 2  # model type of the format
+NONE = -2  # no piece
 
 
 # --- the model file -----------------------------------------------------------
@@ -84,22 +86,6 @@ def load_model(path: str) -> dict:
 
 # --- the transducer -----------------------------------------------------------
 
-class _Paths(dict):
-    """Encoded words; forgotten all at once when there are too many."""
-
-    def __init__(self, encode, most: int):
-        super().__init__()
-        self.encode, self.most = encode, most
-
-    def __missing__(self, unit: str):
-        path = self.encode(unit)
-        if len(unit) <= 40:
-            if len(self) >= self.most:
-                self.clear()
-            self[unit] = path
-        return path
-
-
 class Transducer:
     START = -1
 
@@ -125,9 +111,12 @@ class Transducer:
         if not model["byte_fallback"]:
             self.bytes = {}
         self.names = [p for p, _, _ in model["pieces"]]
+        self.piece_chars = np.fromiter(map(len, self.names), np.int64)
         self.longest = max(map(len, self.arcs))
         self.joined: dict[int, bool] = {}
-        self.alone: dict[int, bool] = {}
+        self.lattice = Lattice(list(self.arcs))
+        self.piece_ids = np.append(np.fromiter(self.arcs.values(), np.int64), NONE)
+        self.pairs, self.kept = np.zeros(0, np.int64), np.zeros(0, bool)
         held = {c for p in self.arcs for c in p} - {SPACE_MARK}
         known = "".join(map(re.escape, sorted(held)))
         crossing = any(SPACE_MARK in p.lstrip(SPACE_MARK) for p in self.arcs)
@@ -136,7 +125,13 @@ class Transducer:
             f"[{known}{SPACE_MARK}]+|[^{known}{SPACE_MARK}]" if crossing
             else f"{SPACE_MARK}+[{known}]*|[{known}]+|[^{known}{SPACE_MARK}]"
         )
-        self.paths = _Paths(self.shortest_path, cache)
+        self.cache = cache
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.flat = np.zeros(0, np.int32)
+        self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     # The normaliser.
 
@@ -162,22 +157,108 @@ class Transducer:
 
     def keeps(self, before: int, piece: int) -> bool:
         """Whether the arc of ``piece`` out of the state ``before`` weighs zero."""
-        if before == self.START:
-            kept = self.alone.get(piece)
-            if kept is None:
-                kept = self.alone[piece] = self._merge(self.names[piece]) == [self.names[piece]]
-            return kept
-        key = before * self.size + piece
+        key = (before + 1) * self.size + piece
         kept = self.joined.get(key)
         if kept is None:
-            a, b = self.names[before], self.names[piece]
-            kept = self._merge(a + b) == [a, b]
-            if len(self.joined) >= 1_000_000:
+            names = [self.names[piece]] if before == self.START else [self.names[before], self.names[piece]]
+            kept = self._merge("".join(names)) == names
+            if len(self.joined) >= 500_000:
                 self.joined.clear()
             self.joined[key] = kept
         return kept
 
-    # The composition with one unit, and its shortest path.
+    def _keeps_all(self, before: np.ndarray, piece: np.ndarray) -> np.ndarray:
+        """``keeps`` of many arcs, by a sorted table of those seen so far."""
+        keys = (before + 1) * self.size + piece
+        at = np.searchsorted(self.pairs, keys)
+        new = keys[(at == len(self.pairs)) | (self.pairs[np.minimum(at, len(self.pairs) - 1)] != keys)] if len(self.pairs) else keys
+        if len(new):
+            if len(self.pairs) > 2_000_000:
+                self.pairs, self.kept, new = self.pairs[:0], self.kept[:0], keys
+            new = np.unique(new)
+            kept = np.fromiter((self.keeps(int(k) // self.size - 1, int(k) % self.size) for k in new), bool, len(new))
+            where = np.searchsorted(self.pairs, new)
+            self.pairs, self.kept = np.insert(self.pairs, where, new), np.insert(self.kept, where, kept)
+            at = np.searchsorted(self.pairs, keys)
+        return self.kept[at]
+
+    # The composition with units, and their shortest paths.
+
+    def shortest_paths(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids row by row, sizes) of equally long units of known characters."""
+        n, size = len(units), len(units[0])
+        last = np.full((size + 1, n), NONE, np.int64)
+        last[0] = self.START
+        arcs = self.lattice.arcs(units)
+        for end in range(1, size + 1):
+            for start in range(max(0, end - self.longest), end):
+                if (found := arcs.get((start, end))) is None:
+                    continue
+                piece, before = self.piece_ids[found], last[start]
+                at = np.flatnonzero((piece != NONE) & (before != NONE) & (last[end] == NONE))
+                if len(at):
+                    at = at[self._keeps_all(before[at], piece[at])]
+                    last[end, at] = piece[at]
+        # Read backwards from the end of every unit.
+        lengths = self.piece_chars
+        out, ends, rows = [], np.full(n, size), np.arange(n)
+        while len(rows):
+            piece = last[ends[rows], rows]
+            if (piece == NONE).any():
+                raise ValueError(f"no path through {units[rows[int(np.argmax(piece == NONE))]]!r}")
+            step = np.full(n, NONE, np.int64)
+            step[rows] = piece
+            out.append(step)
+            ends[rows] -= lengths[piece]
+            rows = rows[ends[rows] > 0]
+        table = np.stack(out[::-1], axis=1)
+        there = table != NONE
+        return table[there].astype(np.int32), there.sum(1)
+
+    def _learn(self, units: list[str]) -> None:
+        """Find and keep the paths of new units."""
+        groups: dict[int, list[str]] = {}
+        for u in units:
+            alone = len(u) > Lattice.LONGEST or (len(u) == 1 and u not in self.arcs)
+            groups.setdefault(0 if alone else len(u), []).append(u)
+        flat, sizes, order = [self.flat], [], []
+        for size, group in groups.items():
+            for k in range(0, len(group), 20_000):
+                part = group[k:k + 20_000]
+                if size:
+                    ids, counts = self.shortest_paths(part)
+                else:
+                    paths = [self.shortest_path(u) for u in part]
+                    ids = np.fromiter(chain.from_iterable(paths), np.int32)
+                    counts = np.fromiter(map(len, paths), np.int64, len(paths))
+                flat.append(ids)
+                sizes.append(counts)
+                order += part
+        first = len(self.known)
+        self.known.update((u, first + i) for i, u in enumerate(order))
+        added = np.concatenate(sizes)
+        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(added) - added])
+        self.sizes = np.concatenate([self.sizes, added])
+        self.flat = np.concatenate(flat)
+
+    def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in a row, ids per text)."""
+        units = [self.units.findall(self.normalise(t)) for t in texts]
+        distinct = set().union(*units)
+        new = [u for u in distinct if u not in self.known]
+        if new:
+            if len(self.known) + len(new) > self.cache:
+                self._forget()
+                new = list(distinct)
+            self._learn(new)
+        per_text = np.fromiter(map(len, units), np.int64, len(units))
+        at = np.fromiter(map(self.known.__getitem__, chain.from_iterable(units)), np.int64, int(per_text.sum()))
+        sizes = self.sizes[at]
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        ids = self.flat[np.arange(total) + np.repeat(self.starts[at] - (ends - sizes), sizes)]
+        bounds = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(per_text)))]
+        return ids, np.diff(bounds)
 
     def shortest_path(self, unit: str) -> tuple[int, ...]:
         n, arcs, keeps = len(unit), self.arcs, self.keeps
@@ -210,8 +291,7 @@ class Transducer:
         return tuple(self.bytes[b] for b in character.encode())
 
     def encode(self, text: str) -> list[int]:
-        units = self.units.findall(self.normalise(text))
-        return list(chain.from_iterable(map(self.paths.__getitem__, units)))
+        return self.encode_all([text])[0].tolist()
 
     def decode(self, ids) -> str:
         """The text of ids: marks become spaces, byte pieces join, the space in front goes."""
@@ -225,10 +305,9 @@ def _shared(df: DataFrame, vocabulary: str):
     return broadcast_bytes(df.sparkSession, pickle.dumps(load_model(vocabulary)), 64 << 20, "piece model")
 
 
-def _id_list(lists: list) -> pa.Array:
-    sizes = np.fromiter((len(x) for x in lists), np.int64, len(lists))
-    values = np.fromiter(chain.from_iterable(lists), np.int32, int(sizes.sum()))
-    return pa.ListArray.from_arrays(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32), values)
+def _id_list(machine: Transducer, texts: list[str]) -> pa.ListArray:
+    ids, sizes = machine.encode_all(texts)
+    return pa.ListArray.from_arrays(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32), ids)
 
 
 def encode(
@@ -242,11 +321,11 @@ def encode(
     shared, kind = _shared(docs, vocabulary), docs.schema[id].dataType.simpleString()
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = Transducer(pickle.loads(shared.value))
+        machine = per_process("pieces", shared.value, lambda d: Transducer(pickle.loads(d)))
         for whole in stream:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
-                ids = _id_list([machine.encode(t.as_py() or "") for t in batch.column(1)])
+                ids = _id_list(machine, [t.as_py() or "" for t in batch.column(1)])
                 yield pa.RecordBatch.from_arrays([batch.column(0), ids], ["id", "ids"])
 
     return docs.select(id, text).mapInArrow(run, f"id {kind}, ids array<int>").withColumnRenamed("id", id)
@@ -259,7 +338,7 @@ def decode(
     shared, kind = _shared(encoded, vocabulary), encoded.schema[id].dataType.simpleString()
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = Transducer(pickle.loads(shared.value))
+        machine = per_process("pieces", shared.value, lambda d: Transducer(pickle.loads(d)))
         for whole in stream:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
@@ -280,14 +359,15 @@ def encode_checked(
     shared, kind = _shared(docs, vocabulary), docs.schema[id].dataType.simpleString()
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = Transducer(pickle.loads(shared.value))
+        machine = per_process("pieces", shared.value, lambda d: Transducer(pickle.loads(d)))
         for whole in stream:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
                 texts = [t or "" for t in batch.column(1).to_pylist()]
-                ids = [machine.encode(t) for t in texts]
-                same = [machine.decode(i) == t for i, t in zip(ids, texts)]
-                yield pa.RecordBatch.from_arrays([batch.column(0), _id_list(ids), pa.array(same)], ["id", "ids", "same"])
+                ids = _id_list(machine, texts)
+                same = [machine.decode(i.values.tolist()) == t for i, t in zip(ids, texts)]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), ids, pa.array(same, pa.bool_())], ["id", "ids", "same"])
 
     out = docs.select(id, text).mapInArrow(run, f"id {kind}, ids array<int>, same boolean")
     return out.select(F.col("id").alias(id), "ids", F.size("ids").cast("long").alias("n_ids"), F.col("same").alias("round_trip"))
