@@ -161,3 +161,12 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quillspark.llm.pieces import encode_checked
 
     return encode_checked(table(spark, sf_dir, "documents"), f"{VOCABULARIES}/piece_bpe_32k.model")
+
+
+# --- SimHash near-duplicates -------------------------------------------------
+
+@query("op6_simhash_near_dedup")
+def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quillspark.llm.simhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
