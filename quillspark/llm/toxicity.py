@@ -272,6 +272,12 @@ def train(
 
 # --- scoring ------------------------------------------------------------------
 
+def probability(found: list[tuple[str, float]], weights: list[float]) -> float:
+    """The score of a text with these clause matches."""
+    z = weights[-1] + sum(w * v for w, v in zip(weights, clause_vector(found)))
+    return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
+
+
 def score_texts(
     docs: DataFrame, model: dict, *, id: str = "doc_id", text: str = "text",
 ) -> DataFrame:
@@ -292,8 +298,7 @@ def score_texts(
             scores, counts = [], []
             for t in batch.column(1):
                 found = matches(t.as_py() or "", lexicon, machine)
-                z = weights[-1] + sum(w * v for w, v in zip(weights, clause_vector(found)))
-                scores.append(1 / (1 + math.exp(-max(-30.0, min(30.0, z)))))
+                scores.append(probability(found, weights))
                 counts.append(len(found))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(scores, pa.float64()), pa.array(counts, pa.int64())],
@@ -304,6 +309,24 @@ def score_texts(
         F.col("id").alias(id), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "matches")
 
 
+def drop_toxic(docs: DataFrame, model: dict, *, text: str = "text", at: float = 0.5) -> DataFrame:
+    """``docs`` without the rows whose whole text scores ``at`` or more; nothing is shuffled."""
+    shared = broadcast_bytes(docs.sparkSession, json.dumps(model).encode(), 8 << 20, "toxicity model")
+    place = docs.columns.index(text)
+
+    def clean(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        raw = json.loads(shared.value)
+        lexicon, machine = Lexicon(raw["insults"], raw["stems"]), grammar()
+        for batch in stream:
+            keep = [
+                probability(matches(t.as_py() or "", lexicon, machine), raw["weights"]) < at
+                for t in batch.column(place)
+            ]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(clean, docs.schema)
+
+
 def held_out(id: str | Column = "doc_id", modulus: int = 5) -> Column:
     """Rows whose labels are never learned from."""
     return crc_remainder(F.col(id) if isinstance(id, str) else id, modulus) == 0
