@@ -179,3 +179,13 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quillspark.llm.decontaminate import find_leaks
 
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+# --- licence scans -----------------------------------------------------------
+
+@query("op8_license_scan")
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quillspark.llm import licenses
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licenses.scan(docs, licenses.train(docs))
