@@ -250,7 +250,7 @@ def train(
 
 def scan(
     docs: DataFrame, model: LicenceModel, *, id: str = "doc_id", text: str = "text", separator: str = r"\n",
-    at: float = 0.5, agree: float = 0.5,
+    at: float = 0.5, agree: float = 0.4,
 ) -> DataFrame:
     """(id, paragraph, family, probability, similarity): a row per licence paragraph.
 

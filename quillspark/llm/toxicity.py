@@ -259,7 +259,7 @@ def train(
         .groupBy("label", F.transform("x", lambda v: F.round(v, 2)).alias("x")).agg(F.count(F.lit(1)).alias("n"))
         .collect()
     )
-    weights = np.array([4.0, 4.0, 4.0, 1.0, 0.5, -4.0])
+    weights = np.array([8.0, 8.0, 8.0, 2.0, 1.0, -4.0])
     if len({r["label"] for r in counted}) == 2:
         x = np.array([r["x"] for r in counted])
         y = np.array([r["label"] for r in counted], float)
