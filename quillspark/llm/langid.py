@@ -136,6 +136,8 @@ def word_counts(
         "lang IS NOT NULL AND text IS NOT NULL")
     sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("there")).select(
         "lang", F.least(F.lit(1.0), F.lit(float(bound)) / F.col("there")).alias("share"))
+    # A written table has a known size: a row per language goes to every task, and no text moves.
+    sizes = written(sizes, "language-sizes")
     chosen = rows.join(sizes, "lang").filter(
         F.pmod(F.xxhash64(F.lit("langid"), "text"), F.lit(1 << 20)) < F.col("share") * (1 << 20))
 
