@@ -13,9 +13,11 @@ from catalog.registry import (
     sql_clean,
     sql_strip,
     sql_text,
+    sql_unescape,
     sql_visible,
     table,
 )
+from quillspark.functions import html
 from quillspark.functions import text as T
 from quillspark.operators import corpus, files, training
 from quillspark.plans.training import page_entries, pages_to_training
@@ -28,14 +30,18 @@ PROMPT_SQL = """'The following is content from ' || path || ' in the ' || repo |
 CHUNK_ROWS_SQL = """SELECT *, len(chunks) AS parts, unnest(chunks) AS chunk,
     unnest(range(1, len(chunks) + 1)) AS part"""
 
-_PARAGRAPHS = sql_text("p", " ")
+# Paragraphs by a list of tokens: each piece of text between two tags, and a break per block tag.
+_BLOCK_NAMES = "|".join(html.BLOCKS)
+_TOKENS = rf"""list_transform(regexp_extract_all({sql_visible("html")}, '<[a-zA-Z/!][^>]*>|[^<]+|<'),
+    lambda t: CASE WHEN regexp_matches(t, '(?i)^</?({_BLOCK_NAMES})[\s/>]') THEN chr(2)
+      WHEN regexp_matches(t, '^<[a-zA-Z/!]') THEN chr(1) ELSE t END)"""
 PAGE_ENTRIES_SQL = rf"""
   SELECT page_id, regexp_extract(url, '^[^:]+://([^/?#]*)', 1) AS repo,
     regexp_extract(url, '^([^?#]*)', 1) AS path,
     {sql_clean(
-        "array_to_string(list_transform(regexp_extract_all("
-        + sql_visible("html") + r", '(?s)<p>(.*?)</p>', 1), lambda p: " + _PARAGRAPHS
-        + "), chr(10) || chr(10))"
+        "array_to_string(list_filter(list_transform(string_split("
+        + sql_unescape(f"array_to_string({_TOKENS}, '')")
+        + r", chr(2)), lambda p: trim(regexp_replace(p, '[\s\x01]+', ' ', 'g'))), lambda p: p <> ''), chr(10) || chr(10))"
     )} AS content
   FROM pages"""
 

@@ -12,16 +12,32 @@ from html.entities import html5
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quillspark.functions.text import WS, blank_to_null, let, strip
-
-# One opening, closing or declaration tag; quoted attribute values may hold '>'.
-TAG = r"""<[a-zA-Z/!?][^>"']*+(?:"[^"]*+"[^>"']*+|'[^']*+'[^>"']*+)*+>"""
-OPENING = r"""(?:[^>"']*+(?:"[^"]*+"[^>"']*+|'[^']*+'[^>"']*+)*+)>"""
+from quillspark.functions.text import blank_to_null, let, strip
+
+# One opening, closing or declaration tag. A value quoted after '=' may hold '>'; other
+# quotes, as in an unquoted value, are characters like any other. The loops are
+# possessive, so that Java runs them without recursion.
+_INSIDE = r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+>"""
+TAG = rf"<[a-zA-Z/!?]{_INSIDE}"
+OPENING = _INSIDE
 HIDDEN = r"(?is)<!--.*?-->|<(script|style|template)\b[^>]*>.*?(?:</\1\s*>|\z)"
 LINK = rf"(?is)<a\b{OPENING}.*?(?:</a\s*>|(?=<a\b)|\z)"
 MARK = "\x01"
-
-
+BREAK = "\x02"
+# White space and marks as one class: an alternation under '+' would recurse.
+GAPS = rf"[\s\x1c-\x1f{MARK}]"
+# The tags that end a paragraph of visible text.
+BLOCKS = (
+    "address article aside blockquote body br button caption center dd details dialog dir div dl dt "
+    "fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hr html legend li "
+    "main menu nav ol optgroup option p pre section select summary table tbody td tfoot th thead title "
+    "tr ul"
+).split()
+BLOCK_TAG = rf"(?i)</?(?:{'|'.join(BLOCKS)})(?=[\s/>]){_INSIDE}"
+# What numeric references 128 to 159 stand for; five stand for themselves.
+WINDOWS_1252 = {
+    n: char for n in range(128, 160) if (char := bytes([n]).decode("cp1252", "ignore"))
+}
 
 def _entity_map() -> Column:
     """Named entities as one folded map literal, the frequent ones first."""
@@ -44,7 +60,10 @@ def unescape(c: Column) -> Column:
         ).otherwise(F.substr(name, F.lit(2)).try_cast("int"))
         return let(
             code,
-            lambda n: F.when(
+            lambda n: F.when(n.between(128, 159), F.coalesce(
+                F.get(F.array(*(F.lit(WINDOWS_1252.get(k)) for k in range(128, 160))), n - 128),
+                F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32"),
+            )).when(
                 n.between(1, 0xD7FF) | n.between(0xE000, 0x10FFFF),
                 F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32"),
             ),
@@ -91,8 +110,10 @@ def _joined(marked: Column, sep: str | None) -> Column:
         return strip(F.replace(marked, F.lit(MARK)))
     if sep == " ":
         # Any run of marks and white space ends up as one space.
-        return F.trim(F.regexp_replace(marked, rf"(?U)(?:{WS}|{MARK})+", " "))
-    pieces = F.regexp_replace(marked, rf"(?U){WS}*{MARK}(?:{WS}|{MARK})*", sep)
+        return F.trim(F.regexp_replace(marked, rf"(?U){GAPS}++", " "))
+    # A run of white space is looked at from its start only.
+    pieces = F.regexp_replace(
+        marked, rf"(?U)(?<![\s\x1c-\x1f])[\s\x1c-\x1f]*+{MARK}{GAPS}*+", sep)
     return strip(pieces)
 
 
@@ -111,7 +132,12 @@ def html_text(c: Column, sep: str | None = " ") -> Column:
 
 
 def _raw_attribute(tag: Column, name: str) -> Column:
-    pattern = rf"""(?i)[\s"'/]{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+    """The attribute's text, found by passing over the attributes before it one by one."""
+    value = r"""(?:"[^"]*+"|'[^']*+'|[^\s>]*+)"""
+    others = rf"(?:[\s/]*+(?!{name}\s*+=)[^\s=/>]++(?:\s*+=\s*+{value})?+)*+"
+    pattern = (
+        rf"""(?is)^<[a-z][^\s/>]*+{others}[\s/]*+{name}\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>"'][^\s>]*+))"""
+    )
     value = F.concat(*(F.regexp_extract(tag, pattern, k) for k in (1, 2, 3)))
     return F.when(tag.rlike(pattern), value)
 
@@ -153,17 +179,23 @@ def element_text(c: Column, tag: str, sep: str = "") -> Column:
 
 
 def _raw_element(v: Column, tag: str) -> Column:
-    return blank_to_null(F.regexp_extract(v, rf"(?is)<{tag}\b{OPENING}.*?</{tag}\s*>", 0))
+    return blank_to_null(F.regexp_extract(v, rf"(?is)<{tag}\b{OPENING}.*?(?:</{tag}\s*>|\z)", 0))
 
 
 def visible_element(v: Column, tag: str, sep: str = "") -> Column:
     return text_of(_raw_element(v, tag), sep)
 
 
-def paragraphs_of(c: Column) -> Column:
-    """Texts of all ``p`` elements, in page order."""
-    bodies = F.regexp_extract_all(visible(c), F.lit(r"(?is)<p\b[^>]*>(.*?)</p\s*>"), F.lit(1))
-    return F.transform(bodies, lambda m: text_of(m, " "))
+def page_text(c: Column) -> Column:
+    """All visible text: block tags and line breaks part paragraphs, set apart by blank lines."""
+    clean = F.translate(c, MARK + BREAK, "")
+    broken = F.regexp_replace(visible(clean), BLOCK_TAG, BREAK)
+
+    def joined(pieces: Column) -> Column:
+        texts = F.transform(pieces, lambda x: F.trim(F.regexp_replace(x, rf"(?U){GAPS}++", " ")))
+        return F.array_join(F.filter(texts, lambda x: x != ""), "\n\n")
+
+    return let(F.split(unescape(_marked(broken)), BREAK), joined)
 
 
 def page_title(c: Column, default: str = "Unknown Title") -> Column:
@@ -221,15 +253,17 @@ def json_ld(c: Column) -> Column:
     return let(F.try_parse_json(blank_to_null(F.regexp_extract(c, pattern, 1))), fields)
 
 
-CELL = r"(?is)<d[td]\b[^>]*>.*?(?:</d[td]\s*>|(?=<d[td]\b)|</dl\s*>|\z)"
+CELL = r"(?is)<d[td]\b[^>]*>.*?(?:</d[td]\s*>|(?=<d[td]\b)|\z)"
+LIST_END = r"(?i)</?dl\b[^>]*>"
 
 
 def definition_pairs(c: Column, sep: str = "") -> Column:
-    """(key, value) of every ``dt`` and the next ``dd``, in page order; keys lower-cased."""
+    """(key, value) of every ``dt`` and the next ``dd`` of its list, in page order; keys lower-cased."""
     return visible_pairs(visible(c), sep)
 
 
 def visible_pairs(v: Column, sep: str) -> Column:
+    """A term without a ``dd`` before its list ends, or another list begins, has no pair."""
     def is_term(x: Column) -> Column:
         return x.rlike(r"(?i)^<dt\b")
 
@@ -247,7 +281,10 @@ def visible_pairs(v: Column, sep: str) -> Column:
 
         return F.filter(F.transform(cells, pair), lambda p: p.isNotNull())
 
-    return let(F.regexp_extract_all(v, F.lit(CELL), F.lit(0)), pairs)
+    def list_pairs(part: Column) -> Column:
+        return let(F.regexp_extract_all(part, F.lit(CELL), F.lit(0)), pairs)
+
+    return F.flatten(F.transform(F.split(v, LIST_END), list_pairs))
 
 
 def definition_slot(key: Column) -> Column:

@@ -18,8 +18,8 @@ from quillspark.sources.trees import read_text_files
 
 
 def page_entries(pages: DataFrame, *keep: str) -> DataFrame:
-    """Pages as corpus entries: host and URL for provenance, paragraphs as text."""
-    body = F.array_join(html.paragraphs_of(F.col("html")), "\n\n")
+    """Pages as corpus entries: host and URL for provenance, all visible text."""
+    body = html.page_text(F.col("html"))
     url = F.col("url")
     return pages.select(
         *keep,
@@ -30,7 +30,7 @@ def page_entries(pages: DataFrame, *keep: str) -> DataFrame:
 
 
 def pages_to_training(pages: DataFrame, max_length: int = 1500) -> DataFrame:
-    """Pages to prompts and chunks: a single stage without a shuffle."""
+    """Pages to prompts and chunks, without a join or aggregate."""
     return to_training(page_entries(pages), max_length)
 
 
