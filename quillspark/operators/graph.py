@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,8 +19,8 @@ DEPTH_COLORS = (
 def link_edges(pages: DataFrame, compat: bool = False) -> DataFrame:
     """Distinct internal edges (source, target, pos) between normalised URLs.
 
-    Repeats inside a page are dropped in the row; only pages that normalise to
-    the same URL still need the aggregate.
+    Repeats, inside a page or between pages that normalise to one URL, are combined
+    in the map task before the shuffle.
     """
     own = urls.authority_of(F.col("url"))
     targets = F.transform(
@@ -45,78 +43,59 @@ def link_edges(pages: DataFrame, compat: bool = False) -> DataFrame:
     )
 
 
-SALTS = 8
-# A level of at most this many URLs, a few megabytes, is sent to every task.
-BROADCAST_ROWS = 20_000
-
-
-def salted(rows: DataFrame, spread: str) -> DataFrame:
-    """Rows with a ``_salt`` that spreads one key over several reducers."""
-    return rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int"))
-
+def lookup(rows: DataFrame, table: DataFrame, on: str, how: str = "left") -> DataFrame:
+    """Join rows to a table that is unique by ``on``, where one key may own many rows.
 
-def per_salt(table: DataFrame) -> DataFrame:
-    """A narrow table with unique keys, repeated once per salt."""
-    return table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-
-
-def lookup(
-    rows: DataFrame, table: DataFrame, on: str, spread: str, how: str = "left"
-) -> DataFrame:
-    """Join rows to a table that is unique by ``on``, where one key may own many rows."""
-    return salted(rows, spread).join(per_salt(table), [on, "_salt"], how).drop("_salt")
+    A plain join: the optimizer sends a small table to all tasks by its size in
+    bytes, and adaptive execution splits the rows of a hot key otherwise, whatever
+    share of the data it holds.
+    """
+    return rows.join(table, on, how)
 
 
 def resolve_links(edges: DataFrame, pages: DataFrame) -> DataFrame:
     """Edges whose target is one of the landed pages."""
     landed = pages.select(urls.normalize_url(F.col("url")).alias("target")).distinct()
-    return lookup(edges, landed, "target", "source", "left_semi")
+    return lookup(edges, landed, "target", "left_semi")
 
 
-def _place(edges: DataFrame) -> str:
-    """Write edges once, bucketed by source and salt, to a table in the shared folder."""
-    spark = edges.sparkSession
-    slots = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    name = f"spark_catalog.default.edges_{uuid.uuid4().hex}"
-    (
-        salted(edges, "target")
-        .repartition(slots, "source", "_salt")
-        .write.format("parquet")
-        .bucketBy(slots, "source", "_salt")
-        .sortBy("source", "_salt")
-        .option("path", scratch_path(spark, "edges"))
-        .saveAsTable(name)
-    )
-    return name
+def stored_edges(edges: DataFrame) -> DataFrame:
+    """Edges written once to the shared folder, for all levels and lookups to read."""
+    path = scratch_path(edges.sparkSession, "edges")
+    edges = edges.select("source", "target", "pos")
+    edges.write.parquet(path)
+    return edges.sparkSession.read.schema(edges.schema).parquet(path)
 
 
-def bfs(edges: DataFrame, root: str, max_depth: int = 3) -> DataFrame:
+def bfs(
+    edges: DataFrame, root: str, max_depth: int | None = None, stored: bool = False
+) -> DataFrame:
     """Breadth-first tree from ``root``: (url, depth, rank, parent).
 
     ``rank`` is the first-in-first-out visiting order and ``parent`` the earliest
-    visited page that links to the node. Each level is one join, one aggregate to
-    the best parent (before the anti-join, so no target repeats) and one numbering
-    pass. Levels are written out, so lineage stays one level deep; edges are placed
-    by source once, so later levels shuffle only the frontier.
+    visited page that links to the node. The search ends when a level finds nothing
+    new, or after ``max_depth`` levels if the caller sets that. Each level is one
+    join, one aggregate to the best parent (before the anti-join, so no target
+    repeats) and one numbering pass over the new nodes. Edges (unless ``stored``
+    already) and levels are written to the shared folder once, so lineage stays one
+    level deep and sizes are known: a frontier that is small in bytes goes to all
+    tasks and leaves the edges in place, and the hot sources of a large one are split
+    by adaptive execution.
     """
     spark = edges.sparkSession
-    table = _place(edges.select("source", "target", "pos"))
-    placed = spark.table(table)
+    placed = edges if stored else stored_edges(edges)
     levels = [
         spark.createDataFrame(
             [(root, 0, 1, None)], "url string, depth int, rank long, parent string"
         )
     ]
-    visited_rows = found = 1
-    for depth in range(1, max_depth + 1):
+    visited_rows, depth = 1, 0
+    while max_depth is None or depth < max_depth:
+        depth += 1
         frontier = levels[-1].select(
             F.col("url").alias("source"), F.col("rank").alias("parent_rank")
         )
-        if found <= BROADCAST_ROWS:
-            reached = placed.join(F.broadcast(frontier), "source")
-        else:
-            # A merge join keeps the placed edges where they are.
-            reached = placed.hint("merge").join(per_salt(frontier), ["source", "_salt"])
+        reached = placed.join(frontier, "source")
         # The URL is carried in the minimum, which keeps the anti-join above the aggregate.
         by = F.struct(
             "parent_rank", "pos", F.col("source").alias("parent"), F.col("target").alias("url")
@@ -138,9 +117,9 @@ def bfs(edges: DataFrame, root: str, max_depth: int = 3) -> DataFrame:
             "parent",
         )
         visited_rows += found
-        levels.append(numbered)
-    # The levels are written out and no longer need the table.
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
+        path = scratch_path(spark, "level")
+        numbered.write.parquet(path)
+        levels.append(spark.read.schema(numbered.schema).parquet(path))
     out = levels[0]
     for level in levels[1:]:
         out = out.unionByName(level)
@@ -157,21 +136,15 @@ def tree_edges(nodes: DataFrame) -> DataFrame:
 def reached_edges(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """All edges between visited nodes, the useful graph for link counts."""
     urls_only = nodes.select("url")
-    kept = lookup(
-        edges, urls_only.withColumnRenamed("url", "source"), "source", "target", "left_semi"
-    )
-    return lookup(
-        kept, urls_only.withColumnRenamed("url", "target"), "target", "source", "left_semi"
-    )
+    kept = lookup(edges, urls_only.withColumnRenamed("url", "source"), "source", "left_semi")
+    return lookup(kept, urls_only.withColumnRenamed("url", "target"), "target", "left_semi")
 
 
 def edges_with_depth(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """Edges with the depth of both ends, 0 when an end is unknown."""
     depth = nodes.select("url", "depth")
-    with_source = lookup(
-        edges, depth.toDF("source", "source_depth"), "source", "target"
-    )
-    both = lookup(with_source, depth.toDF("target", "target_depth"), "target", "source")
+    with_source = lookup(edges, depth.toDF("source", "source_depth"), "source")
+    both = lookup(with_source, depth.toDF("target", "target_depth"), "target")
     return both.select(
         "source",
         "target",
@@ -265,8 +238,8 @@ def graph_to_dot(
         ).alias("line"),
     )
     rank = nodes.select("url", "rank")
-    ranked = lookup(edges.select("source", "target"), rank.toDF("source", "a"), "source", "target")
-    ranked = lookup(ranked, rank.toDF("target", "b"), "target", "source")
+    ranked = lookup(edges.select("source", "target"), rank.toDF("source", "a"), "source")
+    ranked = lookup(ranked, rank.toDF("target", "b"), "target")
     edge_lines = ranked.select(
         F.lit(2).alias("section"),
         "a",

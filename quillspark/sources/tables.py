@@ -22,15 +22,6 @@ def write_records(df: DataFrame, path: str, mode: str = "append") -> None:
     df.write.mode(mode).option("ignoreNullFields", "false").json(path)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use all cores for heavy per-row work when the scan has fewer splits than cores.
-
-    A no-op on large inputs, whose scans have many splits; the key should be unique.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """Landed pages: (page_id, url, html)."""
     return spark.read.parquet(path).select("page_id", "url", "html")

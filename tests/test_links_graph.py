@@ -64,10 +64,8 @@ def python_bfs(edges, root, limit):
     return out
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_bfs_equals_a_queue(spark, monkeypatch, small):
-    if not small:
-        monkeypatch.setattr(graph, "BROADCAST_ROWS", 0)
+@pytest.mark.parametrize("depth", [4, None])
+def test_bfs_equals_a_queue(spark, depth):
     rng = random.Random(3)
     table = {}
     for i in range(60):
@@ -77,22 +75,21 @@ def test_bfs_equals_a_queue(spark, monkeypatch, small):
     edges = spark.createDataFrame(
         [(s, t, p) for s, ts in table.items() for p, t in ts], "source string, target string, pos long"
     )
-    nodes = graph.bfs(edges, "n0", 4)
-    want = python_bfs(table, "n0", 4)
+    nodes = graph.bfs(edges, "n0", depth)
+    want = python_bfs(table, "n0", 1000 if depth is None else depth)
     assert rows(nodes, "url", "depth", "rank", "parent") == sorted(want, key=lambda r: r[0])
     assert graph.tree_edges(nodes).count() == len(want) - 1
 
 
-def test_placed_edges_are_not_shuffled_again(spark):
-    edges = spark.range(100).select(
+def test_small_frontiers_leave_the_edges_in_place(spark):
+    edges = graph.stored_edges(spark.range(100).select(
         F.lit("hot").alias("source"), F.col("id").cast("string").alias("target"), F.col("id").alias("pos")
-    )
-    name = graph._place(edges)
-    frontier = graph.per_salt(spark.createDataFrame([("hot", 1)], "source string, parent_rank long"))
-    joined = spark.table(name).hint("merge").join(frontier, ["source", "_salt"])
-    plan = joined._jdf.queryExecution().executedPlan().toString()
-    spark.sql(f"DROP TABLE {name}")
-    assert "Bucketed: true" in plan and plan.count("Exchange hashpartitioning") == 1
+    ))
+    nodes = graph.bfs(edges, "hot", stored=True)
+    assert nodes.count() == 101
+    frontier = nodes.select(F.col("url").alias("source"))
+    plan = edges.join(frontier, "source")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
 
 
 def test_bfs_without_links(spark):
