@@ -13,7 +13,7 @@ from quillspark.runtime import scratch_path
 from quillspark.sources import state
 from quillspark.sources.api import explode_docs
 from quillspark.sources.tables import read_records, require, union_sources
-from quillspark.streaming.ingest import start_ingest, stream_unseen
+from quillspark.streaming.ingest import retry_failed, start_ingest, stream_unseen
 from quillspark.streaming.progress import start_progress
 from quillspark.streaming.training import start_training
 
@@ -433,7 +433,7 @@ def stream_progress(spark, sf_dir):
     start_progress(
         _log(_stream(spark, sf_dir, "events")), f"{path}/out", f"{path}/checkpoint"
     ).awaitTermination()
-    return spark.read.parquet(f"{path}/out").drop("batch_id")
+    return spark.read.parquet(f"{path}/out").drop("run", "batch_id")
 
 
 @query(
@@ -466,4 +466,34 @@ def stream_ingest(spark, sf_dir):
         path, f"{path}/checkpoint", order=["event_id"],
     ).awaitTermination()
     ok, failed = spark.read.parquet(f"{path}/records"), spark.read.parquet(f"{path}/errors")
-    return union_sources(ok, failed).drop("batch_id")
+    return union_sources(ok, failed).drop("run", "batch_id")
+
+
+@query(
+    "stream_ingest_resumed",
+    """WITH e AS (SELECT user_id AS id, value, event_id, event_id % 2 AS half FROM events),
+    one AS (SELECT id, arg_min(value, event_id) AS value, min(event_id) AS event_id FROM e WHERE half = 0 GROUP BY id),
+    two AS (SELECT id, arg_min(value, event_id) AS value, min(event_id) AS event_id FROM e
+      WHERE half = 1 AND id NOT IN (SELECT id FROM one WHERE value >= 10) GROUP BY id),
+    good AS (SELECT *, 1 AS k FROM one WHERE value >= 10 UNION ALL SELECT *, 2 FROM two WHERE value >= 10),
+    bad AS (SELECT * FROM (SELECT * FROM one UNION ALL SELECT * FROM two) WHERE value < 10
+      AND id NOT IN (SELECT id FROM good))
+    SELECT id, value, event_id, false AS retried FROM good
+    UNION ALL SELECT id, arg_min(value, event_id), min(event_id), true FROM bad GROUP BY id""",
+)
+def stream_ingest_resumed(spark, sf_dir):
+    """Two halves of the events by two runs with checkpoints of their own, then a replay of what failed."""
+    path = scratch_path(spark, "ingest")
+    rows = table(spark, sf_dir, "events").select(F.col("user_id").alias("id"), "value", "event_id")
+
+    def low(batch):
+        return batch.withColumn("error", F.when(F.col("value") < 10, F.lit("low")))
+
+    for half in (0, 1):
+        source = f"{path}/source{half}"
+        rows.filter(F.col("event_id") % 2 == half).write.parquet(source)
+        arrivals = spark.readStream.schema(rows.schema).parquet(source)
+        start_ingest(arrivals, low, f"{path}/out", f"{path}/checkpoint{half}", order=["event_id"]).awaitTermination()
+    retry_failed(spark, lambda b: b.withColumn("error", F.lit(None).cast("string")), f"{path}/out", order=["event_id"])
+    done = spark.read.parquet(f"{path}/out/records")
+    return done.select("id", "value", "event_id", F.col("run").startswith("retry-").alias("retried"))

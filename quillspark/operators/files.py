@@ -72,7 +72,7 @@ def _relevant(text: str, keywords: Sequence[str]) -> bool:
 def _json_text(text: str, keywords: Sequence[str]) -> str | None:
     try:
         data = json.loads(text)
-    except ValueError:
+    except (ValueError, RecursionError):
         return None
     probe = data[0] if isinstance(data, list) and data else data
     if isinstance(probe, dict) and _relevant(str(probe), keywords):
@@ -99,7 +99,7 @@ def _yaml_text(text: str, keywords: Sequence[str]) -> str | None:
         return text if text.strip() else None
     try:
         data = yaml.safe_load(text)
-    except (yaml.YAMLError, ValueError):
+    except (yaml.YAMLError, ValueError, RecursionError):
         return None
     if data and isinstance(data, (dict, list)) and _relevant(str(data), keywords):
         return yaml.dump(data, default_flow_style=False, allow_unicode=True)

@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillspark.sources.tables import read_if_there
+
 
 def load_seen(spark: SparkSession, path: str, key: str = "id") -> DataFrame:
-    """Distinct ids seen so far; a missing or unreadable table is an empty set."""
-    try:
-        return spark.read.parquet(path).select(F.col(key).cast("string").alias(key)).distinct()
-    except AnalysisException:
+    """Distinct ids seen so far; a missing path is an empty set, a wrong key an error."""
+    seen = read_if_there(spark, path)
+    if seen is None:
         return spark.createDataFrame([], f"{key} string")
+    return seen.select(F.col(key).cast("string").alias(key)).distinct()
 
 
 def save_seen(ids: DataFrame, path: str, key: str = "id", reset: bool = False) -> None:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -22,6 +23,16 @@ def write_records(df: DataFrame, path: str, mode: str = "append") -> None:
     df.write.mode(mode).option("ignoreNullFields", "false").json(path)
 
 
+def read_if_there(spark: SparkSession, path: str, kind: str = "parquet") -> DataFrame | None:
+    """The table at ``path``, or None if there is no such path; any other error is raised."""
+    try:
+        return spark.read.format(kind).load(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """Landed pages: (page_id, url, html)."""
     return spark.read.parquet(path).select("page_id", "url", "html")

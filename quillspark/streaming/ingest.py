@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quillspark.operators.firstwins import dedup_first, split_errors, unseen
+from quillspark.sources.tables import read_if_there
 
 
 def stream_unseen(
@@ -26,17 +27,30 @@ def stream_unseen(
     return timed.withWatermark(event_time, watermark).dropDuplicatesWithinWatermark([key])
 
 
-def _batches(spark, path: str, before: int) -> DataFrame | None:
-    """Rows of earlier micro-batches; a replayed batch does not see itself."""
-    try:
-        return spark.read.parquet(path).where(F.col("batch_id") < before)
-    except AnalysisException:
+def run_id(spark: SparkSession, checkpoint: str) -> str:
+    """The name of a checkpoint's run, made on first use and stored beside its offsets.
+
+    Batch numbers restart with every new checkpoint; the run sets their folders apart.
+    """
+    path = f"{checkpoint.rstrip('/')}/run"
+    stored = read_if_there(spark, path, "text")
+    if stored is None:
+        spark.createDataFrame([(uuid.uuid4().hex,)], "value string").coalesce(1).write.text(path)
+        stored = spark.read.text(path)
+    return stored.first()["value"]
+
+
+def _batches(spark: SparkSession, path: str, run: str, before: int) -> DataFrame | None:
+    """Rows of all other runs and of earlier batches; a replayed batch does not see itself."""
+    done = read_if_there(spark, path)
+    if done is None:
         return None
+    return done.where((F.col("run") != run) | (F.col("batch_id") < before))
 
 
-def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
+def _write_batch(df: DataFrame, path: str, run: str, batch_id: int) -> None:
     """A batch owns its folder, so a replay overwrites instead of appending twice."""
-    df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    df.write.mode("overwrite").parquet(f"{path}/run={run}/batch_id={batch_id}")
 
 
 def ingest_batch(
@@ -44,6 +58,7 @@ def ingest_batch(
     out: str,
     key: str = "id",
     order: list[str] | None = None,
+    run: str = "single",
 ) -> Callable[[DataFrame, int], None]:
     """A foreachBatch body: good rows to ``records``, failed rows to ``errors``.
 
@@ -55,7 +70,7 @@ def ingest_batch(
 
     def body(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        done = _batches(spark, records, batch_id)
+        done = _batches(spark, records, run, batch_id)
         if done is not None:
             fresh = unseen(batch, done, key, order)
         else:
@@ -65,8 +80,8 @@ def ingest_batch(
         result = extract(fresh).persist()
         try:
             ok, failed = split_errors(result)
-            _write_batch(ok, records, batch_id)
-            _write_batch(failed, errors, batch_id)
+            _write_batch(ok, records, run, batch_id)
+            _write_batch(failed, errors, run, batch_id)
         finally:
             result.unpersist()
 
@@ -80,27 +95,48 @@ def start_ingest(
     checkpoint: str,
     key: str = "id",
     order: list[str] | None = None,
+    every: str | None = None,
 ) -> StreamingQuery:
-    """Ingest what is available now; source offsets and batches resume from the checkpoint."""
+    """Ingest what is available now, or go on at the pace of ``every`` (as "10 seconds").
+
+    Source offsets and batches resume from the checkpoint. A run with a new
+    checkpoint adds to the same output: the records of all runs are the seen set.
+    """
+    run = run_id(stream.sparkSession, checkpoint)
+    pace = {"availableNow": True} if every is None else {"processingTime": every}
     return (
-        stream.writeStream.foreachBatch(ingest_batch(extract, out, key, order))
+        stream.writeStream.foreachBatch(ingest_batch(extract, out, key, order, run))
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**pace)
         .start()
     )
 
 
-def pending_retries(spark, out: str, key: str = "id") -> DataFrame | None:
-    """Failed rows that no later batch has recorded."""
-    try:
-        failed = spark.read.parquet(f"{out}/errors")
-    except AnalysisException:
-        return None
-    try:
-        done = spark.read.parquet(f"{out}/records").select(key).distinct()
-    except AnalysisException:
+def pending_retries(spark: SparkSession, out: str, key: str = "id") -> DataFrame | None:
+    """Failed rows that no batch of any run has recorded."""
+    failed = read_if_there(spark, f"{out}/errors")
+    done = read_if_there(spark, f"{out}/records")
+    if failed is None or done is None:
         return failed
-    return failed.join(done, key, "left_anti")
+    return failed.join(done.select(key).distinct(), key, "left_anti")
+
+
+def retry_failed(
+    spark: SparkSession,
+    extract: Callable[[DataFrame], DataFrame],
+    out: str,
+    key: str = "id",
+    order: list[str] | None = None,
+) -> None:
+    """Extract the pending failed rows again, as a run of their own.
+
+    A source that has committed its offsets never delivers them again. The rows
+    are those that ``extract`` gave back, without its error.
+    """
+    pending = pending_retries(spark, out, key)
+    if pending is not None:
+        again = pending.drop("error", "run", "batch_id")
+        ingest_batch(extract, out, key, order, f"retry-{uuid.uuid4().hex}")(again, 0)
 
 
 def reset_state(out: str, generation: int) -> tuple[str, str]:

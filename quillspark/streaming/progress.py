@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quillspark.operators.progress import parse_progress, progress_increases
-from quillspark.streaming.ingest import _batches, _write_batch
+from quillspark.streaming.ingest import _batches, _write_batch, run_id
 
 
 def start_progress(
@@ -18,9 +18,11 @@ def start_progress(
     The batch is reduced to first occurrences per percent before it is ordered.
     The state is the output itself: the greatest percent already written per job.
     """
+    run = run_id(lines.sparkSession, checkpoint)
+
     def body(batch: DataFrame, batch_id: int) -> None:
         rises = progress_increases(parse_progress(batch), [by])
-        done = _batches(batch.sparkSession, out, batch_id)
+        done = _batches(batch.sparkSession, out, run, batch_id)
         if done is not None:
             reached = done.groupBy(by).agg(F.max("percent").alias("_reached"))
             before = F.coalesce("_reached", F.lit(0))
@@ -29,7 +31,7 @@ def start_progress(
                 .where((F.col("percent") > before) & (before < 100))
                 .drop("_reached")
             )
-        _write_batch(rises, out, batch_id)
+        _write_batch(rises, out, run, batch_id)
 
     return (
         lines.writeStream.foreachBatch(body)

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from quillspark.operators import progress
@@ -67,6 +68,25 @@ def test_ingest_resumes_and_retries(spark, tmp_path):
     assert ingest.pending_retries(spark, out).count() == 0
 
 
+def test_a_new_checkpoint_keeps_old_records_and_failed_rows_are_replayed(spark, tmp_path):
+    out = str(tmp_path / "out")
+    schema = "id string, pos int, bad boolean"
+    for k, rows in enumerate([[("a", 1, False), ("b", 2, True)], [("c", 3, False), ("a", 4, False)]]):
+        land(spark, str(tmp_path / f"src{k}"), rows)
+        stream = spark.readStream.schema(schema).json(str(tmp_path / f"src{k}"))
+        ingest.start_ingest(stream, fail_bad, out, str(tmp_path / f"mark{k}"), order=["pos"]).awaitTermination()
+    assert sorted((r.id, r.pos) for r in spark.read.parquet(f"{out}/records").collect()) == [("a", 1), ("c", 3)]
+    ingest.retry_failed(spark, lambda b: b.withColumn("error", F.lit(None).cast("string")), out, order=["pos"])
+    assert sorted(r.id for r in spark.read.parquet(f"{out}/records").collect()) == ["a", "b", "c"]
+    assert ingest.pending_retries(spark, out).count() == 0
+
+
+def test_a_wrong_key_is_an_error(spark, tmp_path):
+    state.save_seen(spark.createDataFrame([("a",)], "id string"), str(tmp_path / "seen"))
+    with pytest.raises(AnalysisException):
+        state.load_seen(spark, str(tmp_path / "seen"), "url")
+
+
 def test_a_replayed_batch_overwrites_itself(spark, tmp_path):
     body = ingest.ingest_batch(fail_bad, str(tmp_path), order=["pos"])
     batch = spark.createDataFrame([("a", 1, False)], "id string, pos int, bad boolean")
