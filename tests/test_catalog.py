@@ -20,7 +20,7 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query(spark, con, name):
     df = entry.queries()[name](spark, SF)
     got = df.toPandas()
