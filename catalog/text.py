@@ -371,9 +371,8 @@ def train_val_split(spark, sf_dir):
 
 _PACK_SQL = r"""
   WITH n AS (SELECT doc_id AS id,
-      len(list_filter(regexp_split_to_array(text, '\s+'), lambda w: w <> ''))::BIGINT AS n_tokens,
-      greatest(1, ceil((SELECT count(*) FROM documents) / 256.0)::BIGINT) AS shards FROM documents),
-  s AS (SELECT *, ('0x' || substr(md5(id::VARCHAR), 1, 8))::BIGINT % shards AS shard FROM n),
+      len(list_filter(regexp_split_to_array(text, '\s+'), lambda w: w <> ''))::BIGINT AS n_tokens FROM documents),
+  s AS (SELECT *, id // 256 AS shard FROM n),
   l AS (SELECT shard, list({'id': id, 'n': n_tokens} ORDER BY id) AS xs FROM s GROUP BY shard),
   f AS (SELECT shard, xs, list_reduce(
       list_transform(xs, lambda x: [{'bin': 0::BIGINT, 'start': 0::BIGINT, 'n': x.n}]),

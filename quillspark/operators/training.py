@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -110,44 +109,46 @@ def token_count(text: Column) -> Column:
     return word_count(text)
 
 
-PACKED = "shard long, id long, n_tokens long, bin long, start long"
-
-
-def _next_fit(capacity: int):
-    def fold(groups: pd.DataFrame) -> pd.DataFrame:
-        rows = groups.sort_values("id")
-        bin_no, fill = 0, 0
-        bins, starts = [], []
-        for n in rows["n_tokens"]:
-            if fill and fill + n > capacity:
-                bin_no, fill = bin_no + 1, 0
-            bins.append(bin_no)
-            starts.append(fill)
-            fill += n
-        return rows.assign(bin=bins, start=starts)[["shard", "id", "n_tokens", "bin", "start"]]
-
-    return fold
-
-
-def pack_sequences(
-    lengths: DataFrame, capacity: int = 2048, per_shard: int = 4096, shards: int | None = None
-) -> DataFrame:
+def pack_sequences(lengths: DataFrame, capacity: int = 2048, per_shard: int = 4096) -> DataFrame:
     """Place (id, n_tokens) rows in samples of ``capacity`` tokens, next-fit in id order.
 
-    Rows are hashed on their unique id into shards of about ``per_shard`` rows, so
-    the number of shards grows with the data and a shard stays small. Only ids and
-    lengths take part; texts are joined back by id. A row above the capacity has a
-    sample of its own.
+    A shard holds the ids of one stretch of ``per_shard`` numbers. Ids are unique, so a
+    shard has at most that many rows whatever the data, and a row's shard depends on
+    its id alone. Only ids and lengths take part; texts are joined back by id. A row
+    above the capacity has a sample of its own.
     """
-    if shards is None:
-        shards = max(1, -(-lengths.count() // per_shard))
-    digest = F.conv(F.substring(F.md5(F.col("id").cast("string")), 1, 8), 16, 10)
-    sharded = lengths.select(
-        F.pmod(digest.cast("bigint"), F.lit(shards)).alias("shard"),
-        F.col("id").cast("bigint").alias("id"),
-        F.col("n_tokens").cast("bigint").alias("n_tokens"),
+    rows = lengths.select(
+        F.floor(F.col("id") / per_shard).alias("shard"),
+        F.struct(
+            F.col("id").cast("bigint").alias("id"), F.col("n_tokens").cast("bigint").alias("n_tokens")
+        ).alias("x"),
+    ).groupBy("shard").agg(F.sort_array(F.collect_list("x")).alias("xs"))
+
+    # Where samples begin: the fold carries positions only, never rows.
+    state = F.struct(
+        F.array().cast("array<int>").alias("cuts"), F.lit(0).cast("bigint").alias("fill"), F.lit(0).alias("i")
+    )
+
+    def place(s: Column, x: Column) -> Column:
+        full = (s["fill"] > 0) & (s["fill"] + x["n_tokens"] > capacity)
+        return F.struct(
+            F.when(full, F.array_append(s["cuts"], s["i"])).otherwise(s["cuts"]).alias("cuts"),
+            F.when(full, x["n_tokens"]).otherwise(s["fill"] + x["n_tokens"]).alias("fill"),
+            (s["i"] + 1).alias("i"),
+        )
+
+    cuts = F.aggregate("xs", state, place, lambda s: s["cuts"])
+    bounded = rows.withColumn("bounds", F.concat(F.array(F.lit(0)), cuts, F.array(F.size("xs"))))
+    bins = F.transform(
+        F.sequence(F.lit(0), F.size("bounds") - 2),
+        lambda k: F.slice("xs", F.get("bounds", k) + 1, F.get("bounds", k + 1) - F.get("bounds", k)),
+    )
+    placed = bounded.select("shard", F.posexplode(bins).alias("bin", "ys"))
+    total = lambda ys: F.aggregate(ys, F.lit(0).cast("bigint"), lambda a, y: a + y["n_tokens"])
+    started = F.transform("ys", lambda y, j: F.struct(y.alias("y"), total(F.slice("ys", 1, j)).alias("start")))
+    return placed.select("shard", "bin", F.explode(started).alias("z")).select(
+        "shard", "z.y.id", "z.y.n_tokens", F.col("bin").cast("bigint").alias("bin"), "z.start"
     )
-    return sharded.groupBy("shard").applyInPandas(_next_fit(capacity), PACKED)
 
 
 def packing_summary(packed: DataFrame, capacity: int = 2048) -> DataFrame:
