@@ -72,7 +72,7 @@ def _relevant(text: str, keywords: Sequence[str]) -> bool:
 def _json_text(text: str, keywords: Sequence[str]) -> str | None:
     try:
         data = json.loads(text)
-    except (ValueError, RecursionError):
+    except ValueError:
         return None
     probe = data[0] if isinstance(data, list) and data else data
     if isinstance(probe, dict) and _relevant(str(probe), keywords):
@@ -99,7 +99,7 @@ def _yaml_text(text: str, keywords: Sequence[str]) -> str | None:
         return text if text.strip() else None
     try:
         data = yaml.safe_load(text)
-    except (yaml.YAMLError, ValueError, RecursionError):
+    except (yaml.YAMLError, ValueError):
         return None
     if data and isinstance(data, (dict, list)) and _relevant(str(data), keywords):
         return yaml.dump(data, default_flow_style=False, allow_unicode=True)
@@ -112,18 +112,25 @@ _BY_TYPE = {".json": _json_text, ".csv": _csv_text, ".yaml": _yaml_text, ".yml":
 def normalise_structured(
     suffix: Column, text: Column, keywords: Sequence[str] = RELEVANCE_KEYWORDS
 ) -> Column:
-    """JSON, CSV and YAML files re-printed when relevant, else null (Arrow batches)."""
+    """struct(text, failed): JSON, CSV and YAML files re-printed when relevant, else null.
+
+    A broken file is no failure, it is irrelevant; ``failed`` marks files that the
+    parser gives up on, as on nesting deeper than its stack. (Arrow batches.)
+    """
     words = tuple(keywords)
 
-    @F.pandas_udf("string")
-    def printed(suffixes: pd.Series, texts: pd.Series) -> pd.Series:
-        return pd.Series(
-            [
-                _BY_TYPE[s](t, words) if s in _BY_TYPE and t is not None else None
-                for s, t in zip(suffixes, texts)
-            ],
-            dtype=object,
-        )
+    def one(kind: str, text: str | None) -> tuple[str | None, bool]:
+        if kind not in _BY_TYPE or text is None:
+            return None, False
+        try:
+            return _BY_TYPE[kind](text, words), False
+        except Exception:  # one file must not end the job
+            return None, True
+
+    @F.pandas_udf("text string, failed boolean")
+    def printed(suffixes: pd.Series, texts: pd.Series) -> pd.DataFrame:
+        rows = [one(s, t) for s, t in zip(suffixes, texts)]
+        return pd.DataFrame(rows, columns=["text", "failed"])
 
     return printed(suffix, text)
 
@@ -152,15 +159,19 @@ def csv_rows_to_json(header: Column, row: Column) -> Column:
 def normalise_file(
     files: DataFrame, keywords: Sequence[str] = RELEVANCE_KEYWORDS, text: str = "content"
 ) -> DataFrame:
-    """Route by type: prose stays in the JVM, only structured files reach Python."""
+    """Route by type: prose stays in the JVM, only structured files reach Python.
+
+    Adds ``_suffix`` and ``_failed``, which marks files that could not be processed.
+    """
     suffix = path_suffix(F.col("path"))
     structured = suffix.isin(*STRUCTURED)
     sent = F.when(structured, F.col(text))
-    return files.withColumn("_suffix", suffix).withColumn(
-        text,
-        F.when(
-            structured, normalise_structured(F.col("_suffix"), sent, keywords)
-        ).otherwise(F.col(text)),
+    return (
+        files.withColumn("_suffix", suffix)
+        .withColumn("_printed", normalise_structured(F.col("_suffix"), sent, keywords))
+        .withColumn(text, F.when(structured, F.col("_printed.text")).otherwise(F.col(text)))
+        .withColumn("_failed", structured & F.col("_printed.failed"))
+        .drop("_printed")
     )
 
 
@@ -183,7 +194,7 @@ def extract_files(
     if structured:
         routed = normalise_file(gated, keywords)
     else:
-        routed = gated.withColumn("_suffix", path_suffix(path))
+        routed = gated.withColumn("_suffix", path_suffix(path)).withColumn("_failed", F.lit(False))
     cleaned = clean_text(F.col("content"), F.col("_suffix") == ".md")
     done = compute_once(routed, "_clean", cleaned)
     ok = F.coalesce(min_length(F.col("_clean"), shortest), F.lit(False))
@@ -191,7 +202,7 @@ def extract_files(
         "repo",
         "path",
         F.when(ok, F.col("_clean")).alias("content"),
-        F.when(ok, "ok").otherwise("skipped").alias("status"),
+        F.when(ok, "ok").when(F.col("_failed"), "error").otherwise("skipped").alias("status"),
     )
 
 
@@ -213,6 +224,6 @@ def extraction_stats(extracted: DataFrame) -> DataFrame:
     return small.rollup("repo").agg(
         F.count_distinct("repo").alias("repos_processed"),
         total("ok").alias("files_processed"),
-        total("skipped").alias("files_skipped"),
+        (total("skipped") + total("error")).alias("files_skipped"),  # an error is skipped as well
         total("error").alias("errors"),
     )
