@@ -78,3 +78,21 @@ def test_select_links_in_container(values):
 def test_text_is_jvm_only(spark):
     df = spark.createDataFrame([(PAGE,)], "h string").select(H.html_text(H_), H.links_of(H_), H.json_ld(H_))
     assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_very_long_runs(values):
+    n = 100_000
+    for sep, want in ((" ", "a b c"), ("", "a" + " " * n + "bc"), (None, "a" + " " * n + "bc")):
+        page = "a" + " " * n + "b" + "<br>" * n + "c"
+        assert values({"v": page}, H.html_text(F.col("v"), sep)) == [want]
+
+
+def test_page_text_keeps_every_visible_word(values):
+    page = (
+        "<html><head><title>T &amp; t</title><style>no</style></head><body>lead<p>one<p>two <b>bold</b><div>three"
+        "<ul><li>x<li>y</ul><script>no</script><table><tr><td>1<td>2</table>end<br/>last"
+    )
+    text, plain = values({"v": page}, H.page_text(F.col("v")), H.html_text(F.col("v"), " "))
+    assert text.split() == plain.split()
+    assert text.split("\n\n") == ["T & t", "lead", "one", "two bold", "three", "x", "y", "1", "2", "end", "last"]
+    assert values({"v": None}, H.page_text(F.col("v"))) == [None]
