@@ -182,7 +182,8 @@ def near_duplicates(
     each; other columns are ignored, and an empty table gives no rows.
     """
     rows = written(_grouped(docs, id, text, shingle, radius, blocks), "fingerprint-groups")
-    first = rows.groupBy("root").agg(F.min("id").alias("component_id"))
+    # Written, so that the join shuffles both sides and a large component can be split.
+    first = written(rows.groupBy("root").agg(F.min("id").alias("component_id")), "component-ids")
     return rows.join(first, "root").select(
         F.col("id").alias(id), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
