@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import zlib
 
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,3 +70,19 @@ def per_process(kind: str, data: bytes, build):
             del _BUILT[old]
         _BUILT[key] = build(data)
     return _BUILT[key]
+
+
+def portions(batch, column: int, rows: int = 1024, size: int = 8 << 20):
+    """Slices of an Arrow batch of at most ``rows`` rows and about ``size`` bytes of ``column``.
+
+    Work on many texts at once pays; a row longer than ``size`` is a slice by itself.
+    """
+    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+    start = held = 0
+    for i, n in enumerate(lengths):
+        if i > start and (held + n > size or i - start >= rows):
+            yield batch.slice(start, i - start)
+            start, held = i, 0
+        held += n
+    if start < len(lengths):
+        yield batch.slice(start)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import broadcast_bytes, crc_remainder, per_process, written
+from quillspark.llm.common import broadcast_bytes, crc_remainder, per_process, portions, written
 from quillspark.llm.lattice import Lattice
 
 START = "▁"  # the vocabulary's mark of a word start
@@ -228,8 +228,7 @@ def predict(
 
         langs, scorer = per_process("langid", shared.value, build)
         for whole in stream:
-            for at in range(0, whole.num_rows, 256):
-                batch = whole.slice(at, 256)
+            for batch in portions(whole, 1):
                 counts = [Counter(WORDS.findall((t.as_py() or "").lower())) for t in batch.column(1)]
                 words = list(set().union(*counts)) if langs else []
                 rows = scorer.score(words) if words else None

@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+SLOT_BITS = 20
 
 
 class Lattice:
@@ -15,14 +16,43 @@ class Lattice:
     def __init__(self, pieces: list[str]):
         self.pieces = pieces
         self.longest = max(map(len, pieces))
-        hashes = np.array([self._hash(p) for p in pieces], np.uint64)
-        order = np.argsort(hashes)
-        self.hashes, self.ids = hashes[order], order
-        if (self.hashes[1:] == self.hashes[:-1]).any():
+        self.hashes = np.array([self._hash(p) for p in pieces], np.uint64)
+        if len(np.unique(self.hashes)) < len(pieces):
             raise ValueError("two pieces with one hash")
+        # Slots by the top bits of a hash; pieces that share a slot go to the next table.
+        self.tables, left = [], np.arange(len(pieces))
+        while len(left):
+            table = np.full(1 << SLOT_BITS, -1, np.int32)
+            slots = self._slots(self.hashes[left], len(self.tables))
+            table[slots] = left
+            self.tables.append(table)
+            left = left[table[slots] != left]
         with np.errstate(over="ignore"):
             self.power = np.cumprod(np.insert(np.repeat(_BASE, self.LONGEST + 1), 0, np.uint64(1)))
 
+    @staticmethod
+    def _slots(hashes: np.ndarray, level: int) -> np.ndarray:
+        mixer = np.uint64((int(_BASE) * (2 * level + 1)) & 0xFFFFFFFFFFFFFFFF)
+        with np.errstate(over="ignore"):
+            return ((hashes * mixer) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The piece of each hash, ``len(pieces)`` where there is none."""
+        found = self.tables[0][self._slots(hashes, 0)]
+        # An empty slot ends it; few hashes meet a slot that another piece has.
+        at = np.flatnonzero(found >= 0)
+        out = np.full(len(hashes), len(self.pieces), np.int64)
+        for level in range(len(self.tables)):
+            if level:
+                found[at] = self.tables[level][self._slots(hashes[at], level)]
+                at = at[found[at] >= 0]
+            same = self.hashes[found[at]] == hashes[at]
+            out[at[same]] = found[at[same]]
+            at = at[~same]
+            if not len(at):
+                break
+        return out
+
     @staticmethod
     def _hash(piece: str) -> int:
         h = 0
@@ -42,8 +72,7 @@ class Lattice:
             for end in range(1, size + 1):
                 for start in range(max(0, end - self.longest), end):
                     h = prefix[:, end] - prefix[:, start] * self.power[end - start]
-                    at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-                    found = self.hashes[at] == h
-                    if found.any():
-                        out[start, end] = np.where(found, self.ids[at], len(self.pieces))
+                    found = self.find(h)
+                    if (found < len(self.pieces)).any():
+                        out[start, end] = found
         return out

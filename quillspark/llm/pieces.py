@@ -25,13 +25,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import broadcast_bytes, per_process
+from quillspark.llm.common import broadcast_bytes, per_process, portions
 from quillspark.llm.lattice import Lattice
 
 SPACE_MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = range(1, 7)  # piece types of the format
 BPE = 2  # model type of the format
 NONE = -2  # no piece
+MIX = np.uint64(0x9E3779B97F4A7C15)
+ARC_BITS = 21  # slots for the weights of arcs seen before
 
 
 # --- the model file -----------------------------------------------------------
@@ -89,7 +91,7 @@ def load_model(path: str) -> dict:
 class Transducer:
     START = -1
 
-    def __init__(self, model: dict, cache: int = 250_000):
+    def __init__(self, model: dict, cache: int = 600_000):
         self.prefix, self.squeeze = model["prefix"], model["squeeze"]
         self.text: list[bytes] = []
         self.arcs: dict[str, int] = {}
@@ -116,7 +118,8 @@ class Transducer:
         self.joined: dict[int, bool] = {}
         self.lattice = Lattice(list(self.arcs))
         self.piece_ids = np.append(np.fromiter(self.arcs.values(), np.int64), NONE)
-        self.pairs, self.kept = np.zeros(0, np.int64), np.zeros(0, bool)
+        self.arc_keys = np.full(1 << ARC_BITS, -1, np.int64)
+        self.arc_kept = np.zeros(1 << ARC_BITS, bool)
         held = {c for p in self.arcs for c in p} - {SPACE_MARK}
         known = "".join(map(re.escape, sorted(held)))
         crossing = any(SPACE_MARK in p.lstrip(SPACE_MARK) for p in self.arcs)
@@ -168,19 +171,20 @@ class Transducer:
         return kept
 
     def _keeps_all(self, before: np.ndarray, piece: np.ndarray) -> np.ndarray:
-        """``keeps`` of many arcs, by a sorted table of those seen so far."""
+        """``keeps`` of many arcs, by a table with one slot per hash of an arc."""
         keys = (before + 1) * self.size + piece
-        at = np.searchsorted(self.pairs, keys)
-        new = keys[(at == len(self.pairs)) | (self.pairs[np.minimum(at, len(self.pairs) - 1)] != keys)] if len(self.pairs) else keys
+        with np.errstate(over="ignore"):
+            slots = ((keys.astype(np.uint64) * MIX) >> np.uint64(64 - ARC_BITS)).astype(np.int64)
+        new = np.flatnonzero(self.arc_keys[slots] != keys)
+        kept = self.arc_kept[slots]
         if len(new):
-            if len(self.pairs) > 2_000_000:
-                self.pairs, self.kept, new = self.pairs[:0], self.kept[:0], keys
-            new = np.unique(new)
-            kept = np.fromiter((self.keeps(int(k) // self.size - 1, int(k) % self.size) for k in new), bool, len(new))
-            where = np.searchsorted(self.pairs, new)
-            self.pairs, self.kept = np.insert(self.pairs, where, new), np.insert(self.kept, where, kept)
-            at = np.searchsorted(self.pairs, keys)
-        return self.kept[at]
+            found, where = np.unique(keys[new], return_inverse=True)
+            known = np.fromiter(
+                (self.keeps(k // self.size - 1, k % self.size) for k in found.tolist()), bool, len(found))
+            kept[new] = known[where.reshape(-1)]
+            self.arc_keys[slots[new]] = keys[new]
+            self.arc_kept[slots[new]] = kept[new]
+        return kept
 
     # The composition with units, and their shortest paths.
 
@@ -323,8 +327,7 @@ def encode(
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = per_process("pieces", shared.value, lambda d: Transducer(pickle.loads(d)))
         for whole in stream:
-            for at in range(0, whole.num_rows, 256):
-                batch = whole.slice(at, 256)
+            for batch in portions(whole, 1):
                 ids = _id_list(machine, [t.as_py() or "" for t in batch.column(1)])
                 yield pa.RecordBatch.from_arrays([batch.column(0), ids], ["id", "ids"])
 
@@ -361,8 +364,7 @@ def encode_checked(
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = per_process("pieces", shared.value, lambda d: Transducer(pickle.loads(d)))
         for whole in stream:
-            for at in range(0, whole.num_rows, 256):
-                batch = whole.slice(at, 256)
+            for batch in portions(whole, 1):
                 texts = [t or "" for t in batch.column(1).to_pylist()]
                 ids = _id_list(machine, texts)
                 same = [machine.decode(i.values.tolist()) == t for i, t in zip(ids, texts)]
