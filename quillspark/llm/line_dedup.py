@@ -141,12 +141,39 @@ def frequent_lines(
         runs.close()
 
 
+def _without_first(own: DataFrame, found: DataFrame, id: str, text: str) -> DataFrame:
+    """``found`` without the lines that the first of their mostly frequent documents keeps."""
+    solid = lambda x: F.char_length(F.translate(x, SPACE, ""))
+    me = ["__ld_id", "__ld_text"]
+    found = written(found, "found-lines")
+    at = found.groupBy(*me).agg(F.collect_set("pos").alias("at"))
+    same = F.col(id).eqNullSafe(F.col("__ld_id")) & (F.xxhash64(F.col(text)) == F.col("__ld_text"))
+    lost = F.aggregate("at", F.lit(0), lambda n, i: n + solid(F.get("lines", i)))
+    mostly = (
+        own.join(at, same).withColumn("lines", text_lines(F.col(text)))
+        .filter(2 * lost >= solid(F.col(text))).select(*me).distinct()
+    )
+    known = lambda a, b: F.col(f"{a}.__ld_id").eqNullSafe(F.col(f"{b}.__ld_id")) & (
+        F.col(f"{a}.__ld_text") == F.col(f"{b}.__ld_text"))
+    copies = found.alias("f").join(mostly.alias("m"), known("f", "m"), "left_semi")
+    first = copies.groupBy(*KEYS).agg(
+        F.min(F.struct(F.col("__ld_id").isNull().alias("n"), *me)).alias("k")).select(*KEYS, "k.__ld_id", "k.__ld_text")
+    first = written(first, "first-lines")
+    return found.alias("f").join(
+        first.alias("k"), known("f", "k") & (F.col("f.h1") == F.col("k.h1")) & (F.col("f.h2") == F.col("k.h2")), "left_anti")
+
+
 def dedup_lines(
     docs: DataFrame, *, id: str = "doc_id", text: str = "text", min_docs: int = 10,
-    min_chars: int = 1, batches: int = 4,
+    min_chars: int = 1, batches: int = 4, keep_first: bool = False,
 ) -> DataFrame:
     """Drop the lines found in many documents from every document.
 
+    With ``keep_first``, documents that would lose half of their characters or
+    more are taken for copies: of those that hold a frequent line, the one with
+    the smallest id (then the smallest text hash; null ids last) keeps it, so a
+    text with many copies stays whole in the first of them.
+
     Returns all columns of ``docs`` but with ``text`` replaced by the kept lines
     joined by newlines, plus ``n_lines`` (before) and ``n_dropped``; columns of
     ``docs`` with those two names are replaced. Null and empty texts are one
@@ -160,10 +187,10 @@ def dedup_lines(
         F.explode(line_hashes(F.col(text), min_chars)).alias("__ld_x"),
     ).select("__ld_id", "__ld_text", "__ld_x.pos", "__ld_x.h.h1", "__ld_x.h.h2")
     # Positions of frequent lines; repeated rows name the same positions.
-    dropped = (
-        narrow.join(frequent, KEYS, "left_semi")
-        .groupBy("__ld_id", "__ld_text").agg(F.sort_array(F.collect_set("pos")).alias("__ld_drop"))
-    )
+    found = narrow.join(frequent, KEYS, "left_semi")
+    if keep_first:
+        found = _without_first(own, found, id, text)
+    dropped = found.groupBy("__ld_id", "__ld_text").agg(F.sort_array(F.collect_set("pos")).alias("__ld_drop"))
     joined = own.join(
         dropped,
         F.col(id).eqNullSafe(F.col("__ld_id")) & (F.xxhash64(F.col(text)) == F.col("__ld_text")),
