@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillspark.functions.text import let
 from quillspark.llm.common import written
 
 # The characters that count as symbols, and the window length.
@@ -29,14 +30,15 @@ WINDOW = 8
 _SPACES = {ord(c): None for c in " \t\n\x0b\x0c\r"}
 
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-# The transformed statistics and the least standard deviation each may have:
-# what a clean text may deviate by where a group's texts hardly differ.
+# The transformed statistics and what a clean text may deviate by where a group's
+# texts do not differ; it stands in for a deviation under a tenth of it only.
 FEATURES = {
     "word_length": 0.08, "symbols": 0.05, "upper": 0.06, "marks": 0.10,
     "variety": 0.05, "line_words": 0.60, "dup_lines": 0.20, "digits": 0.08,
 }
 NAMES = tuple(FEATURES)
 _SPREAD = np.array(list(FEATURES.values())) ** 2
+NO_SPREAD = 0.01  # a variance under this share of the constant's counts as none
 PRIOR_WORDS = 30  # ratios of short texts are drawn to the middle by so many words
 
 
@@ -184,8 +186,11 @@ def _fit(moments: DataFrame, factor: float) -> DataFrame:
                 scatter = np.zeros((p, p))
                 for (i, j), v in zip(PAIRS, products):
                     scatter[i, j] = scatter[j, i] = v / n - mean[i] * mean[j]
-                # The floor keeps the scatter regular where a statistic is constant.
-                scatter = scatter * factor + np.diag(_SPREAD)
+                # Where a statistic is constant, its variance is replaced; elsewhere the data rule.
+                scatter *= factor
+                none = np.diag(scatter) < NO_SPREAD * _SPREAD
+                scatter[none, :] = scatter[:, none] = 0.0
+                scatter[none, none] = _SPREAD[none]
                 inverse = np.linalg.inv(scatter)
                 out.append((g, mean.tolist(), [float(inverse[i, j]) for i, j in PAIRS]))
             g, mean, inverse = zip(*out) if out else ((), (), ())
@@ -218,7 +223,8 @@ def estimate(rows: DataFrame, *, share: float = 0.75, steps: int = 4) -> DataFra
     # The start: scaled deviations, without correlations.
     floor = F.array(*[F.lit(float(v)) for v in _SPREAD])
     inverse = F.array(*[
-        1 / (F.pow(1.4826 * F.get("mad", F.lit(i)), 2) + F.get(floor, F.lit(i))) if i == j else F.lit(0.0)
+        1 / let(F.pow(1.4826 * F.get("mad", F.lit(i)), 2), lambda v: F.when(
+            v < NO_SPREAD * F.get(floor, F.lit(i)), F.get(floor, F.lit(i))).otherwise(v)) if i == j else F.lit(0.0)
         for i, j in PAIRS
     ])
     fit = written(spread.select("grp", "centre", inverse.alias("inverse")), "mcd-start")

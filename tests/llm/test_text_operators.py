@@ -264,3 +264,22 @@ def test_outliers_are_rejected(spark):
     assert got[904].kept and got[None].kept
     assert got[901].n_words == 0 and got[901].distance is None and got[905].base_failed
     assert quality.quality(table.filter("false")).count() == 0
+
+
+def test_spread_of_the_data_sets_the_distance(spark):
+    """Two statistics that go together: breaking the bond is far off, though each value alone is ordinary."""
+    rng = random.Random(9)
+    rows = []
+    for i in range(400):
+        t = rng.uniform(-1, 1)
+        x = {"upper": 0.2 + 0.02 * t + rng.gauss(0, 0.002), "word_length": 0.1 + 0.03 * t + rng.gauss(0, 0.003)}
+        rows.append(("g", *[x.get(n, 0.0) for n in quality.NAMES]))
+    table = spark.createDataFrame(rows, ", ".join(["grp string"] + [f"x_{n} double" for n in quality.NAMES]))
+    fit = quality.estimate(table).first()
+    inverse = dict(zip(quality.PAIRS, fit.inverse))
+    off = [0.0] * len(quality.NAMES)
+    off[quality.NAMES.index("upper")], off[quality.NAMES.index("word_length")] = 0.02, -0.03
+    d2 = sum(off[i] * off[j] * v * (1 if i == j else 2) for (i, j), v in inverse.items())
+    assert d2 > quality.chi2_quantile(1 - 1e-4, len(quality.NAMES))
+    digits = quality.NAMES.index("digits")
+    assert abs(inverse[digits, digits] - 1 / quality.FEATURES["digits"] ** 2) < 1e-6
