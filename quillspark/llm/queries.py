@@ -189,3 +189,132 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return licenses.scan(docs, licenses.train(docs))
+
+
+# --- vector codes ------------------------------------------------------------
+
+def _op11_assign(name: str, books: str) -> str:
+    return f"""
+{name} AS (
+  SELECT rid, part, any_value(q) AS q, min(struct_pack(d := d, e := e)) AS best FROM (
+    SELECT rid, p.part, q, e, list_sum(list_transform(range(1, len(q) + 1), lambda i: (q[i] - c[i]) * (q[i] - c[i])))::BIGINT AS d
+    FROM p JOIN {books} b ON b.part = p.part) GROUP BY rid, part
+)"""
+
+
+def _op11_refit(name: str, books: str, assigned: str) -> str:
+    return f"""
+{name} AS (
+  SELECT b.part, b.e, coalesce(m.c, b.c) AS c FROM {books} b LEFT JOIN (
+    SELECT part, e, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS c FROM (
+      SELECT part, e, i, sum(x) AS s, count(*) AS n FROM (
+        SELECT part, best.e AS e, unnest(q) AS x, unnest(range(len(q))) AS i FROM {assigned}) GROUP BY part, e, i
+    ) GROUP BY part, e) m ON b.part = m.part AND b.e = m.e
+)"""
+
+
+OP11_SQL = f"""
+WITH k AS (
+  SELECT row_number() OVER (ORDER BY vec_id, embedding) AS rid, vec_id, label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), p AS (
+  SELECT rid, part, v[part * (len(v) // 16) + 1 : (part + 1) * (len(v) // 16)] AS q FROM k, range(16) r(part)
+), b0 AS (
+  SELECT part, rid - 1 AS e, q AS c FROM p WHERE rid <= 64
+), {_op11_assign('a0', 'b0')}, {_op11_refit('b1', 'b0', 'a0')}, {_op11_assign('a1', 'b1')}, {_op11_refit('b2', 'b1', 'a1')},
+{_op11_assign('a2', 'b2')}, books AS (
+  SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, e)) AS codebooks_sha256 FROM b2
+), coded AS (
+  SELECT rid, string_agg(printf('%02x', best.e), '' ORDER BY part) AS code, sum(best.d)::BIGINT AS error FROM a2 GROUP BY rid
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM coded JOIN k ON coded.rid = k.rid, books"""
+
+
+@query("op11_vector_codes", OP11_SQL)
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quillspark.llm import vector_codes
+
+    vectors = table(spark, sf_dir, "embeddings")
+    books = vector_codes.fit(vectors, parts=16, entries=64, rounds=2, scale=256)
+    codes = vector_codes.with_label_error(vector_codes.encode(vectors, books))
+    return codes.select("vec_id", "code", "error", "label_error", F.lit(books.digest() if books else "").alias("codebooks_sha256"))
+
+
+# --- token files -------------------------------------------------------------
+
+@query("op12_token_files")
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from quillspark.llm.token_files import read_token_files, write_token_files
+    from quillspark.runtime import scratch_path
+
+    path = scratch_path(spark, "token-files")
+    docs = table(spark, sf_dir, "documents")
+    write_token_files(docs, path, str(public_tokenizers.path("byte_bpe_50k.json")), end=2)
+    return read_token_files(spark, path, ids=False).drop("ids")
+
+
+# --- Merkle manifest ---------------------------------------------------------
+
+def _op13_leaf(text: str) -> str:
+    parts = [
+        f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')" for c in ("doc_id", "source", "lang", "n_chars", text)
+    ]
+    return f"sha256({' || '.join(parts)})"
+
+
+OP13_SQL = f"""
+WITH RECURSIVE crc_table AS (
+  SELECT list_transform(range(256), lambda x: list_reduce(list_concat([x::BIGINT], range(8)),
+    lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+), x AS (
+  SELECT *, xor(list_reduce(list_concat([4294967295], list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+    lambda a, c: xor(a >> 8, t[(xor(a, c) & 255) + 1])), 4294967295) % 3 = 0 AS hit FROM documents, crc_table
+), d AS (
+  SELECT row_number() OVER () AS rid, *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
+    count(*) OVER (PARTITION BY lang) AS n
+  FROM (SELECT doc_id, lang, {_op13_leaf('text')} AS leaf,
+    CASE WHEN hit THEN {_op13_leaf(f'translate(text, {LOWER_SQL})')} ELSE {_op13_leaf('text')} END AS found FROM x)
+), nodes AS (
+  SELECT lang, 0 AS lvl, idx, leaf AS h, n FROM d
+  UNION ALL
+  SELECT lang, lvl + 1, idx // 8, sha256(string_agg(h, '' ORDER BY idx)), (max(n) + 7) // 8
+  FROM nodes WHERE n > 1 GROUP BY lang, lvl, idx // 8
+), subs AS (
+  SELECT lang, lvl, h, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS idx, count(*) OVER () AS n FROM nodes WHERE n = 1
+), tops AS (
+  SELECT 0 AS lvl, idx, h, n FROM subs
+  UNION ALL
+  SELECT lvl + 1, idx // 8, sha256(string_agg(h, '' ORDER BY idx)), (max(n) + 7) // 8 FROM tops WHERE n > 1 GROUP BY lvl, idx // 8
+), steps AS (
+  SELECT k, lang, lvl, idx,
+    coalesce(string_agg(h, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS pre,
+    coalesce(string_agg(h, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS post
+  FROM (SELECT 0 AS k, * FROM nodes WHERE n > 1 UNION ALL SELECT 1, NULL, * FROM tops WHERE n > 1)
+  WINDOW w AS (PARTITION BY k, lang, lvl, idx // 8 ORDER BY idx)
+), walk AS (
+  SELECT rid, lang, 0 AS lvl, idx, found AS h, '' AS proof FROM d
+  UNION ALL
+  SELECT rid, walk.lang, walk.lvl + 1, walk.idx // 8, sha256(pre || h || post), proof || pre || post
+  FROM walk JOIN steps s ON k = 0 AND walk.lang IS NOT DISTINCT FROM s.lang AND walk.lvl = s.lvl AND walk.idx = s.idx
+), over AS (
+  SELECT rid, 0 AS lvl, s.idx, walk.h, proof FROM walk JOIN subs s ON walk.lang IS NOT DISTINCT FROM s.lang AND walk.lvl = s.lvl
+  UNION ALL
+  SELECT rid, over.lvl + 1, over.idx // 8, sha256(pre || h || post), proof || pre || post
+  FROM over JOIN steps s ON k = 1 AND over.lvl = s.lvl AND over.idx = s.idx
+), root AS (SELECT lvl, h AS root FROM tops WHERE n = 1)
+SELECT d.doc_id, d.leaf, subs.h AS subroot, root, sha256(proof) AS proof_sha256, over.h AS folded_root, over.h = root AS verified
+FROM d JOIN subs ON d.lang IS NOT DISTINCT FROM subs.lang JOIN over ON d.rid = over.rid JOIN root ON over.lvl = root.lvl"""
+
+
+@query("op13_merkle_manifest", OP13_SQL)
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quillspark.llm import merkle
+    from quillspark.llm.common import ascii_lower, crc_remainder
+
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.when(crc_remainder(F.col("doc_id"), 3) == 0, ascii_lower(F.col("text"))).otherwise(F.col("text"))
+    return merkle.build(docs, found={"text": tampered}).proofs()

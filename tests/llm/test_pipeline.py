@@ -73,7 +73,7 @@ def test_registered_and_optional():
     import __spark_entry__ as entry
 
     assert QUERIES.keys() | {"pipeline"} <= entry.queries().keys() and ORACLES.keys() <= entry.oracle_sql().keys()
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     blocked = (
         "import sys\n"
         "class Gone:\n"
