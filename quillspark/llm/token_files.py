@@ -1,16 +1,18 @@
 """Token ids in binary files: frequency ranks in byte-aligned variable-length coding.
 
-Ids are replaced by their rank of frequency over the whole corpus, so frequent
-ids are small numbers. A number takes one to four bytes; its length is a code of
-two bits, and the codes of four numbers make a control byte. Control bytes and
-number bytes are stored apart, so a reader looks up a control byte's four lengths
-and byte positions in tables and gathers whole blocks at once with numpy.
-
-A file is a row of blocks in the order of documents. A block has a header (magic,
-documents, ids, control bytes, number bytes, check sum), the documents' ids and
-lengths, control bytes, number bytes and one end byte. Files are written by
-Spark's text sink as raw bytes (the end byte is its line separator), so they
-reach any store and a lost task leaves nothing behind. The ranks lie beside them.
+Ids are replaced by their rank of frequency, so frequent ids are small numbers. A
+number takes one to four bytes; its length is a code of two bits, and the codes of
+four numbers make a control byte. Control bytes and number bytes are stored apart,
+so a reader looks up a control byte's four lengths and byte positions in tables
+and gathers many numbers at once with numpy.
+
+A file is a row of segments in the order of documents. A segment of about two
+million ids has a header, its ids by rank, the documents' ids and lengths, control
+bytes, number bytes and one end byte. Ranks are counted over the segment they
+serve: texts are encoded once, nothing goes through the driver, and a file is read
+without any other. Files are written by Spark's text sink as raw bytes (the end
+byte is its line separator), so they reach any store and a lost task leaves
+nothing behind.
 """
 
 from __future__ import annotations
@@ -28,23 +30,30 @@ from pyspark.sql import functions as F
 from quillspark.llm.common import broadcast_bytes, per_process, portions, written
 
 MAGIC = b"QTI1"
-HEADER = struct.Struct("<4sIQQQI")  # magic, documents, ids, control bytes, number bytes, crc32
-BLOCK_IDS = 1 << 18
-KNOWN_WORDS, LONGEST_WORD = 200_000, 64
+# Magic, documents, ids, different ids, control bytes, number bytes, check sum of the rest.
+HEADER = struct.Struct("<4sIQIQQI")
+SEGMENT_IDS = 2 << 20
+GROUPS_AT_ONCE = 1 << 16
+KNOWN_WORDS, LONGEST_WORD = 800_000, 48
 MOST_TOKENIZER_BYTES = 64 << 20
-MOST_VOCABULARY = 1 << 24
 
 
 # --- encoding -----------------------------------------------------------------
 
-# A single blank between two other characters always starts a new piece of a byte-level
-# pre-tokenizer, so texts can be cut there and pieces encoded apart.
-_ODD = re.compile(r"\s | \s|\A | \Z")
-_CUT = re.compile(r"(?<=\S)(?= \S)")
+# Pieces that a byte-level pre-tokenizer always parts, so they can be encoded alone: a Latin
+# word with the blank before it, if a blank, a line break or one of a few marks follows;
+# such marks after a word up to white space; a single line break; and whatever is left
+# up to the next blank or line break, with the blanks and breaks before it.
+_PIECES = re.compile(
+    r" ?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f]+(?=[ \n,.;:!?)]|\Z)|[,.;:!?)]+(?=[ \n]|\Z)|\n(?=[^ \n])|[ \n]*[^ \n]+|[ \n]+")
+# With other white space the pieces are not safe; texts that hold it are encoded whole.
+_RARE = re.compile(r"[\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200f\u2028\u2029\u202f\u205f\u3000]")
+_SIMPLE = re.compile(r" ?[^ \n]+")
+JOINED = 20_000
 
 
 class WordEncoder:
-    """Ids of texts by the tokenizers library, which sees each different word once.
+    """Ids of texts by the tokenizers library, which sees a piece once while it is remembered.
 
     Only for byte-level pre-tokenizers without a normaliser or leading blank; with
     others every text goes to the library whole.
@@ -59,32 +68,52 @@ class WordEncoder:
             type(pre).__name__ == "ByteLevel" and self.tokenizer.normalizer is None
             and not pre.add_prefix_space and pre.use_regex
         )
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes | None] = {}
+        self.line_break = self._each(["\n"])[0]
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
+    def _each(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(f.ids, "<u4").tobytes() for f in found]
 
-    def pieces(self, text: str) -> list[str]:
-        if not self.by_word:
-            return [text]
-        if _ODD.search(text):
-            return _CUT.split(text)
-        head, *rest = text.split(" ")
-        return [head, *[" " + w for w in rest]]
+    def _together(self, pieces: list[str]) -> list[bytes]:
+        """One call for many pieces without line breaks, parted by the ids of line breaks."""
+        ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(pieces)], add_special_tokens=False)[0].ids, "<u4")
+        mark = np.frombuffer(self.line_break, "<u4")
+        cuts = np.flatnonzero(ids == mark[0]) if len(mark) == 1 else []
+        if len(cuts) != len(pieces) - 1:
+            return self._each(pieces)
+        data, ends = ids.tobytes(), [*(4 * cuts).tolist(), 4 * len(ids)]
+        return [data[a:b] for a, b in zip([0, *(4 * cuts + 4).tolist()], ends)]
+
+    def _learn(self, pieces: set[str]) -> None:
+        simple, other = [], []
+        for p in pieces:
+            if _RARE.search(p):
+                self.known[p] = None
+            else:
+                (simple if _SIMPLE.fullmatch(p) else other).append(p)
+        self.known.update(zip(other, self._each(other)))
+        for i in range(0, len(simple), JOINED):
+            part = simple[i:i + JOINED]
+            self.known.update(zip(part, self._together(part)))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit numbers."""
-        cut = [self.pieces(t) for t in texts]
-        known = self.known
-        if len(known) > KNOWN_WORDS:
-            known.clear()
-        new = list({p for c in cut for p in c}.difference(known))
-        found = dict(zip(new, self._ids(new)))
-        out = []
+        if not self.by_word:
+            return self._each(texts)
+        if len(self.known) > KNOWN_WORDS:
+            self.known.clear()
+        known, new, cut = self.known, set(), [_PIECES.findall(t) for t in texts]
         for c in cut:
-            out.append(b"".join([known[p] if p in known else found[p] for p in c]))
-        known.update((p, v) for p, v in found.items() if len(p) <= LONGEST_WORD)
+            new.update([p for p in c if p not in known])
+        self._learn(new)
+        out = []
+        for t, c in zip(texts, cut):
+            ids = list(map(known.__getitem__, c))
+            out.append(self._each([t])[0] if None in ids else b"".join(ids))
+        for p in new:
+            if len(p) > LONGEST_WORD:
+                del known[p]
         return out
 
 
@@ -93,7 +122,7 @@ def _encoded(stream: Iterator[pa.RecordBatch], column: int, data, end: int):
     encoder = per_process("token-ids", data.value, WordEncoder)
     tail = np.array([end], "<u4").tobytes()
     for batch in stream:
-        for rows in portions(batch, column):
+        for rows in portions(batch, column, rows=512, size=2 << 20):
             texts = [t or "" for t in rows.column(column).to_pylist()]
             yield rows, [np.frombuffer(x + tail, "<u4") for x in encoder.encode(texts)]
 
@@ -120,115 +149,105 @@ def pack(numbers: np.ndarray) -> tuple[bytes, bytes]:
     return control.tobytes(), stored.tobytes()
 
 
-def unpack(control: bytes, stored: bytes, n: int) -> np.ndarray:
+def unpack(control, stored, n: int) -> np.ndarray:
     """The ``n`` numbers, by table lookup. Numbers that fill the last control byte are not stored."""
     c = np.frombuffer(control, np.uint8)
-    data = np.frombuffer(stored + bytes(16), np.uint8)
-    starts = np.cumsum(STORED[c]) - STORED[c]
-    bytes_ = data[np.minimum(starts[:, None] + PLACES[c], len(data) - 1)] * PRESENT[c]
-    return np.ascontiguousarray(bytes_).view("<u4").ravel()[:n]
-
-
-def block_bytes(ids: list[int | None], counts: list[int], ranks: np.ndarray) -> bytes:
-    """One block without its end byte."""
+    data = np.concatenate([np.frombuffer(stored, np.uint8), np.zeros(16, np.uint8)])
+    sizes = STORED[c]
+    starts, out = np.cumsum(sizes) - sizes, np.empty((len(c), 4), "<u4")
+    for k in range(0, len(c), GROUPS_AT_ONCE):
+        part = c[k:k + GROUPS_AT_ONCE]
+        at = np.minimum(starts[k:k + GROUPS_AT_ONCE, None] + PLACES[part], len(data) - 1)
+        out[k:k + GROUPS_AT_ONCE] = (data[at] * PRESENT[part]).view("<u4")
+    return out.ravel()[:n]
+
+
+def by_frequency(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the different ids, most frequent first and then smallest, the rank of every id)."""
+    counts = np.bincount(ids)
+    table = np.flatnonzero(counts)
+    table = table[np.lexsort((table, -counts[table]))].astype("<u4")
+    rank = np.zeros(len(counts), "<u4")
+    rank[table] = np.arange(len(table))
+    return table, rank[ids]
+
+
+def segment_bytes(names: list[int | None], counts: list[int], ids: np.ndarray) -> bytes:
+    """One segment without its end byte."""
+    table, ranks = by_frequency(ids)
     control, stored = pack(ranks)
-    there = np.array([i is not None for i in ids], np.uint8).tobytes()
-    names = np.array([i or 0 for i in ids], "<i8").tobytes()
-    body = there + names + np.array(counts, "<u8").tobytes() + control + stored
-    return HEADER.pack(MAGIC, len(ids), len(ranks), len(control), len(stored), zlib.crc32(body)) + body
+    there = np.array([i is not None for i in names], np.uint8).tobytes()
+    places = np.array([i or 0 for i in names], "<i8").tobytes()
+    body = table.tobytes() + there + places + np.array(counts, "<u8").tobytes() + control + stored
+    return HEADER.pack(MAGIC, len(names), len(ids), len(table), len(control), len(stored), zlib.crc32(body)) + body
 
 
-def read_blocks(data) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
-    """(document ids, lengths, ranks) of each block of a file; damage raises ValueError."""
+def read_segments(data) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
+    """(document ids, lengths, token ids) of each segment of a file; damage raises ValueError."""
     at, data = 0, memoryview(data)
     while at < len(data):
         if len(data) - at < HEADER.size:
             raise ValueError(f"token file: cut off at {at}")
-        magic, docs, n, n_control, n_stored, crc = HEADER.unpack_from(data, at)
+        magic, docs, n, n_table, n_control, n_stored, crc = HEADER.unpack_from(data, at)
         at += HEADER.size
-        body = data[at:at + 17 * docs + n_control + n_stored]
+        sizes = [4 * n_table, docs, 8 * docs, 8 * docs, n_control, n_stored]
+        body = data[at:at + sum(sizes)]
         if magic != MAGIC or zlib.crc32(body) != crc:
-            raise ValueError(f"token file: damaged block before {at}")
-        there = np.frombuffer(body[:docs], np.uint8)
-        names = np.frombuffer(body[docs:9 * docs], "<i8").tolist()
-        counts = np.frombuffer(body[9 * docs:17 * docs], "<u8").astype(np.int64)
-        ranks = unpack(bytes(body[17 * docs:17 * docs + n_control]), bytes(body[17 * docs + n_control:]), n)
-        yield [i if t else None for i, t in zip(names, there)], counts, ranks
+            raise ValueError(f"token file: damaged segment before {at}")
+        ends = np.cumsum(sizes).tolist()
+        table, there, names, counts, control, stored = (body[b - s:b] for s, b in zip(sizes, ends))
+        there, names = np.frombuffer(there, np.uint8), np.frombuffer(names, "<i8").tolist()
+        ids = np.frombuffer(table, "<u4")[unpack(control, stored, n)]
+        yield [i if t else None for i, t in zip(names, there)], np.frombuffer(counts, "<u8").astype(np.int64), ids
         at += len(body) + 1
 
 
 # --- files --------------------------------------------------------------------
 
-def id_counts(docs: DataFrame, tokenizer, end: int, *, text: str = "text") -> DataFrame:
-    """(id, n) over all texts; a task sends one row per different id."""
-    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64)
-        for _, found in _encoded(stream, 0, tokenizer, end):
-            counted = np.bincount(np.concatenate(found))
-            if len(counted) > len(total):
-                total = np.pad(total, (0, len(counted) - len(total)))
-            total[:len(counted)] += counted
-        ids = np.flatnonzero(total)
-        if len(ids):
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total[ids])], ["id", "n"])
-
-    counted = docs.select(text).mapInArrow(run, "id long, n long")
-    return counted.groupBy("id").agg(F.sum("n").alias("n"))
-
-
 def write_token_files(
     docs: DataFrame, path: str, tokenizer_file: str, *, id: str = "doc_id", text: str = "text", end: int = 2,
-    ids_per_file: int = 16 << 20,
+    text_bytes_per_file: int = 32 << 20,
 ) -> None:
-    """Encode every text, append the id ``end`` and write the ids below ``path`` in ascending id order.
-
-    ``path/ids`` holds the files, part by part in order, ``path/ranks`` the ids by
-    rank (most frequent first, then smallest). Texts are encoded twice, once to
-    count and once to write, which moves texts in place of longer id lists. A
-    null text is empty; a null id comes first; rows of equal ids are ordered by a
-    hash of their text, and a third key splits those that are equal throughout.
-    Ids are whole numbers. Other columns are ignored; an empty table has no ids.
+    """Encode every text, append the id ``end`` and write the ids to files below ``path`` in ascending id order.
+
+    Part files are in order by name and hold about ``text_bytes_per_file`` bytes of
+    texts each. A null text is empty; a null id comes first; rows of equal ids are
+    ordered by a hash of their text, and a third key splits those that are equal
+    throughout. Ids are whole numbers. Other columns are ignored; an empty table
+    has files without segments.
     """
     spark = docs.sparkSession
     with open(tokenizer_file, "rb") as f:
         tokenizer = broadcast_bytes(spark, f.read(), MOST_TOKENIZER_BYTES, "tokenizer")
-    counts = written(id_counts(docs, tokenizer, end, text=text), "id-counts")
-    if counts.count() > MOST_VOCABULARY:
-        raise ValueError(f"more than {MOST_VOCABULARY} different ids")
-    rows = sorted(counts.collect(), key=lambda r: (-r.n, r.id))  # one row per id of the vocabulary
-    spark.createDataFrame([(k, r.id) for k, r in enumerate(rows)], "rank long, id long").coalesce(1).write.parquet(f"{path}/ranks")
-    ids = np.array([r.id for r in rows], np.int64)
-    rank_of = np.zeros(int(ids.max(initial=0)) + 1, "<u4")
-    rank_of[ids] = np.arange(len(ids))
-    ranks = broadcast_bytes(spark, rank_of.tobytes(), 4 * MOST_VOCABULARY, "ranks")
-    total = sum(r.n for r in rows)
-
-    def blocks(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.frombuffer(ranks.value, "<u4")
+    total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+
+    def segments(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, lengths, held, n = [], [], [], 0
 
-        def block():
-            data = block_bytes(names, lengths, table[np.concatenate(held)])
+        def segment():
+            data = segment_bytes(names, lengths, np.concatenate(held))
             return pa.RecordBatch.from_arrays([pa.array([data], pa.binary())], ["value"])
 
         for rows, found in _encoded(stream, 1, tokenizer, end):
             for name, x in zip(rows.column(0).to_pylist(), found):
-                names.append(name), lengths.append(len(x)), held.append(x)
+                names.append(name)
+                lengths.append(len(x))
+                held.append(x)
                 n += len(x)
-                if n >= BLOCK_IDS:
-                    yield block()
+                if n >= SEGMENT_IDS:
+                    yield segment()
                     names, lengths, held, n = [], [], [], 0
         if names:
-            yield block()
+            yield segment()
 
     keyed = docs.select(
         F.col(id).cast("long").alias("id"), F.col(text).alias("text"),
         F.xxhash64(text).alias("hash"), F.monotonically_increasing_id().alias("copy"))
     order = ["id", "hash", "copy"]
-    placed = keyed.repartitionByRange(max(1, -(-total // ids_per_file)), *order).sortWithinPartitions(*order)
+    placed = keyed.repartitionByRange(1 + total // text_bytes_per_file, *order).sortWithinPartitions(*order)
     (
-        placed.select("id", "text").mapInArrow(blocks, "value binary").select(F.col("value").cast("string"))
-        .write.option("lineSep", "\n").text(f"{path}/ids")
+        placed.select("id", "text").mapInArrow(segments, "value binary").select(F.col("value").cast("string"))
+        .write.option("lineSep", "\n").text(path)
     )
 
 
@@ -246,28 +265,23 @@ def read_token_files(spark: SparkSession, path: str, *, ids: bool = True, id: st
 
     ``start`` counts the ids of all documents before; ``ids_crc32`` is that of the
     ids as little-endian 32-bit numbers; ``ids=False`` leaves the lists null. A
-    file is read by one task; ``ids_per_file`` of the writer bounds its size.
+    file is read by one task; ``text_bytes_per_file`` of the writer bounds its size.
     """
-    table = sorted(spark.read.parquet(f"{path}/ranks").collect())  # (rank, id), one row per id of the vocabulary
-    by_rank = broadcast_bytes(spark, np.array([r.id for r in table], "<u4").tobytes(), 4 * MOST_VOCABULARY, "ranks")
-
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        id_of = np.frombuffer(by_rank.value, "<u4")
         for batch in stream:
             for i in range(batch.num_rows):
                 file, start = batch.column(0)[i].as_py(), 0
-                for names, counts, ranks in read_blocks(batch.column(1)[i].as_buffer()):
-                    found = id_of[ranks]
+                for names, counts, found in read_segments(batch.column(1)[i].as_buffer()):
                     cuts = np.cumsum(counts) - counts
-                    lists = [found[a:a + n] for a, n in zip(cuts, counts)]
+                    lists = [found[a:a + n] for a, n in zip(cuts.tolist(), counts.tolist())]
                     yield pa.RecordBatch.from_arrays([
                         pa.array([file] * len(names), pa.int32()), pa.array(names, pa.int64()), pa.array(cuts + start),
-                        pa.array(counts), pa.array([zlib.crc32(x.tobytes()) for x in lists], pa.int64()),
+                        pa.array(counts), pa.array([zlib.crc32(x) for x in lists], pa.int64()),
                         pa.array([x.astype(np.int32) for x in lists] if ids else [None] * len(names), pa.list_(pa.int32())),
                     ], ["file", "id", "at", "n_tokens", "ids_crc32", "ids"])
                     start += int(counts.sum())
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{path}/ids").filter("length > 0")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).filter("length > 0")
     part: Column = F.regexp_extract("path", r"part-(\d+)", 1).cast("int")
     rows = files.select(part.alias("file"), "content").mapInArrow(
         run, "file int, id long, at long, n_tokens long, ids_crc32 long, ids array<int>")

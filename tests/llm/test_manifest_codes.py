@@ -148,13 +148,14 @@ def plain_ids(text):
     return [*Tokenizer.from_file(BPE).encode(text or "", add_special_tokens=False).ids, 2]
 
 
-@pytest.mark.parametrize("ids_per_file", [200, 1 << 20])
-def test_files_hold_the_ids_in_order(spark, tmp_path, ids_per_file):
+@pytest.mark.parametrize("size,segment", [(200_000, 300), (1 << 20, 2 << 20)])
+def test_files_hold_the_ids_in_order(spark, tmp_path, monkeypatch, size, segment):
+    monkeypatch.setattr(token_files, "SEGMENT_IDS", segment)
     rows = [(100 - i, t) for i, t in enumerate(ODD)] + [(5, None), (5, "other"), (None, "no id"), (-3, "x")]
     rows += [(7, "same text again")] * 40 + [(8, "long text " * 100_000)]
     docs = spark.createDataFrame([(*r, 1, 2, "z") for r in rows], "doc_id long, text string, id int, n int, hash string")
     path = str(tmp_path / "ids")
-    token_files.write_token_files(docs.repartition(5), path, BPE, ids_per_file=ids_per_file)
+    token_files.write_token_files(docs.repartition(5), path, BPE, text_bytes_per_file=size)
     got = token_files.read_token_files(spark, path).collect()
     want = {}
     for i, t in rows:
@@ -175,12 +176,13 @@ def test_no_documents_and_damaged_files(spark, tmp_path):
     none = spark.createDataFrame([], "doc_id long, text string")
     token_files.write_token_files(none, str(tmp_path / "none"), BPE)
     assert token_files.read_token_files(spark, str(tmp_path / "none")).collect() == []
-    block = token_files.block_bytes([4, None], [2, 1], np.array([1, 2, 70_000], "<u4")) + b"\n"
-    (ids, counts, ranks), = token_files.read_blocks(block)
-    assert ids == [4, None] and counts.tolist() == [2, 1] and ranks.tolist() == [1, 2, 70_000]
-    for bad in (block[:-9], block[:20], block[:-5] + b"\xff" + block[-4:]):
+    segment = token_files.segment_bytes([4, None], [2, 3], np.array([1, 2, 70_000, 2, 9], "<u4")) + b"\n"
+    (names, counts, ids), = token_files.read_segments(segment)
+    assert names == [4, None] and counts.tolist() == [2, 3] and ids.tolist() == [1, 2, 70_000, 2, 9]
+    assert [x.tolist() for x in token_files.by_frequency(ids)] == [[2, 1, 9, 70_000], [1, 0, 3, 0, 2]]
+    for bad in (segment[:-9], segment[:20], segment[:-5] + b"\xff" + segment[-4:]):
         with pytest.raises(ValueError):
-            list(token_files.read_blocks(bad))
+            list(token_files.read_segments(bad))
 
 
 # --- vector codes -------------------------------------------------------------
