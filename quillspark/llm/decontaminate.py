@@ -73,6 +73,11 @@ def myers(pattern_bits: dict[str, int], size: int, text: str) -> tuple[int, int]
     return best, end
 
 
+def _apart(text: str, at: int) -> bool:
+    """Whether no word runs over the place ``at``."""
+    return at == 0 or at == len(text) or not (text[at - 1].isalnum() and text[at].isalnum())
+
+
 class Matcher:
     """The items of one block: (id, text) pairs."""
 
@@ -82,10 +87,11 @@ class Matcher:
         self.ids: dict[str, list] = {}
         for id, text in items:
             text = normal(text)
-            if len(text) >= min_chars:
+            if text:
                 self.ids.setdefault(text, []).append(id)
         self.texts = list(self.ids)
-        self.budgets = [int(len(t) * error_rate) for t in self.texts]
+        self.short = [len(t) < min_chars for t in self.texts]
+        self.budgets = [0 if short else int(len(t) * error_rate) for t, short in zip(self.texts, self.short)]
         self.cuts = [cuts_of(len(t), k) for t, k in zip(self.texts, self.budgets)]
         self.bits: dict[tuple[int, int, int], dict[str, int]] = {}
         places: dict[str, list[tuple[int, int]]] = {}
@@ -114,7 +120,10 @@ class Matcher:
         out = []
         for i, places in hits.items():
             item = self.texts[i]
-            if (at := text.find(item)) >= 0:
+            if self.short[i]:
+                ends = [at + len(item) for _, at in places]
+                found = min(((0, end) for end in ends if _apart(text, end - len(item)) and _apart(text, end)), default=None)
+            elif (at := text.find(item)) >= 0:
                 found = (0, at + len(item))
             else:
                 found = min((m for q, at in places if (m := self._verify(text, i, q, at))), default=None)
@@ -169,9 +178,9 @@ def find_leaks(
     """(id, item_id, distance, start, end): a row per row of ``docs`` and item it holds.
 
     An item is held if some stretch of the text is within ``error_rate`` edits a
-    character of it, both in lower case with single spaces. Items of fewer than
-    ``min_chars`` characters, null and empty ones name no text and match nothing;
-    equal items are all reported. Null and empty texts hold nothing; repeated
+    character of it, both in lower case with single spaces. An item of fewer than
+    ``min_chars`` characters has to be there exactly, as whole words. Null and
+    empty items name no text and match nothing; equal items are all reported. Null and empty texts hold nothing; repeated
     rows are reported each; null ids stay null; other columns are ignored; an
     empty table on either side gives no rows.
     """

@@ -141,26 +141,26 @@ def frequent_lines(
         runs.close()
 
 
-def _without_first(own: DataFrame, found: DataFrame, id: str, text: str) -> DataFrame:
-    """``found`` without the lines that the first of their mostly frequent documents keeps."""
-    solid = lambda x: F.char_length(F.translate(x, SPACE, ""))
-    me = ["__ld_id", "__ld_text"]
+def _first_of(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, id, text hash) of the smallest id, then text hash, per key; null ids last."""
+    first = F.min(F.struct(F.col("__ld_id").isNull().alias("n"), "__ld_id", "__ld_text")).alias("k")
+    return rows.groupBy(*keys).agg(first, F.count(F.lit(1)).alias("n")).select(*keys, "k.__ld_id", "k.__ld_text", "n")
+
+
+def _without_first(own: DataFrame, found: DataFrame, id: str, text: str, min_docs: int, min_chars: int) -> DataFrame:
+    """``found`` without a line's first document, and without the first of each group of whole copies."""
     found = written(found, "found-lines")
-    at = found.groupBy(*me).agg(F.collect_set("pos").alias("at"))
-    same = F.col(id).eqNullSafe(F.col("__ld_id")) & (F.xxhash64(F.col(text)) == F.col("__ld_text"))
-    lost = F.aggregate("at", F.lit(0), lambda n, i: n + solid(F.get("lines", i)))
-    mostly = (
-        own.join(at, same).withColumn("lines", text_lines(F.col(text)))
-        .filter(2 * lost >= solid(F.col(text))).select(*me).distinct()
-    )
-    known = lambda a, b: F.col(f"{a}.__ld_id").eqNullSafe(F.col(f"{b}.__ld_id")) & (
+    same = lambda a, b: F.col(f"{a}.__ld_id").eqNullSafe(F.col(f"{b}.__ld_id")) & (
         F.col(f"{a}.__ld_text") == F.col(f"{b}.__ld_text"))
-    copies = found.alias("f").join(mostly.alias("m"), known("f", "m"), "left_semi")
-    first = copies.groupBy(*KEYS).agg(
-        F.min(F.struct(F.col("__ld_id").isNull().alias("n"), *me)).alias("k")).select(*KEYS, "k.__ld_id", "k.__ld_text")
-    first = written(first, "first-lines")
+    lines = F.transform(line_hashes(F.col(text), min_chars), lambda x: x["h"])
+    whole = own.select(
+        F.col(id).alias("__ld_id"), F.xxhash64(F.col(text)).alias("__ld_text"),
+        F.xxhash64(lines).alias("w1"), F.xxhash64(F.lit("whole"), lines).alias("w2"))
+    copies = written(_first_of(whole, ["w1", "w2"]).filter(F.col("n") >= min_docs), "first-copies")
+    first = written(_first_of(found, KEYS), "first-lines")
     return found.alias("f").join(
-        first.alias("k"), known("f", "k") & (F.col("f.h1") == F.col("k.h1")) & (F.col("f.h2") == F.col("k.h2")), "left_anti")
+        first.alias("k"), same("f", "k") & (F.col("f.h1") == F.col("k.h1")) & (F.col("f.h2") == F.col("k.h2")), "left_anti",
+    ).alias("f").join(copies.alias("c"), same("f", "c"), "left_anti")
 
 
 def dedup_lines(
@@ -169,10 +169,10 @@ def dedup_lines(
 ) -> DataFrame:
     """Drop the lines found in many documents from every document.
 
-    With ``keep_first``, documents that would lose half of their characters or
-    more are taken for copies: of those that hold a frequent line, the one with
-    the smallest id (then the smallest text hash; null ids last) keeps it, so a
-    text with many copies stays whole in the first of them.
+    With ``keep_first``, a frequent line stays in the first document that holds it,
+    so every line is somewhere in the result; and of documents whose lines are the
+    same throughout, if there are ``min_docs`` of them, the first keeps them all.
+    The first has the smallest id, then the smallest text hash; null ids come last.
 
     Returns all columns of ``docs`` but with ``text`` replaced by the kept lines
     joined by newlines, plus ``n_lines`` (before) and ``n_dropped``; columns of
@@ -189,7 +189,7 @@ def dedup_lines(
     # Positions of frequent lines; repeated rows name the same positions.
     found = narrow.join(frequent, KEYS, "left_semi")
     if keep_first:
-        found = _without_first(own, found, id, text)
+        found = _without_first(own, found, id, text, min_docs, min_chars)
     dropped = found.groupBy("__ld_id", "__ld_text").agg(F.sort_array(F.collect_set("pos")).alias("__ld_drop"))
     joined = own.join(
         dropped,

@@ -2,8 +2,12 @@
 
 Every text becomes a vector of transformed statistics. For each language and
 source, location and scatter are estimated by the minimum covariance
-determinant: starting from medians and median absolute deviations, C-steps
-refit mean and covariance on the ``share`` of rows with the smallest distances.
+determinant: from three starts, C-steps refit mean and covariance on the
+``share`` of rows with the smallest distances, and the fit with the smallest
+determinant is taken. A group's fit is drawn to that of its language, and a
+language's to that of all rows, and that to fixed deviations, as if
+``prior_rows`` rows of the parent were in it; groups of any size are so judged by
+one rule, and no scatter is singular.
 Rows whose robust Mahalanobis distance is above a cut are rejected. All sums run
 over all rows and are combined before the shuffle, so a source that holds most
 of the rows costs no more than the others; only one row of moments per group is
@@ -171,83 +175,127 @@ def _distance() -> Column:
         diff[i] * diff[j] * F.get("inverse", F.lit(k)) * (1.0 if i == j else 2.0)
         for k, (i, j) in enumerate(PAIRS)
     ]
-    return reduce(lambda a, b: a + b, terms)
-
-
-def _fit(moments: DataFrame, factor: float) -> DataFrame:
-    """Centre and inverse scatter from n, sums and sums of products; one row per group."""
+    # Rounding may leave a row at the centre just below zero.
+    return F.greatest(reduce(lambda a, b: a + b, terms), F.lit(0.0))
+
+
+def drawn(own: tuple, parent: tuple, rows: float) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and scatter of (n, mean, scatter), drawn to a parent's as if by so many of its rows."""
+    n, mean, scatter = own
+    w = n / (n + rows)
+    return w * mean + (1 - w) * parent[0], w * scatter + (1 - w) * parent[1]
+
+
+def _spread_out(scatter: np.ndarray) -> np.ndarray:
+    """Where a statistic is constant, its variance is replaced; elsewhere the data rule."""
+    none = np.diag(scatter) < NO_SPREAD * _SPREAD
+    scatter = scatter.copy()
+    scatter[none, :] = scatter[:, none] = 0.0
+    scatter[none, none] = _SPREAD[none]
+    return scatter
+
+
+def _mean_scatter(n: float, sums: list, products: list, factor: float) -> tuple[float, np.ndarray, np.ndarray]:
+    mean, scatter = np.array(sums) / n, np.zeros((len(NAMES),) * 2)
+    for (i, j), v in zip(PAIRS, products):
+        scatter[i, j] = scatter[j, i] = v / n - mean[i] * mean[j]
+    return n, mean, _spread_out(scatter * factor)
+
+
+def _fit(moments: DataFrame, factor: float, prior_rows: float) -> DataFrame:
+    """(grp, parent, start, centre, inverse, logdet) from moments; one row per group and start."""
+    names = ["n", *[f"s{i}" for i in range(len(NAMES))], *[f"q{k}" for k in range(len(PAIRS))]]
+    added = [F.sum(c).alias(c) for c in names]
+    packed = lambda name: F.array(*names).alias(name)
+    above = moments.groupBy("parent", "start").agg(*added)
+    top = above.groupBy("start").agg(*added)
+    joined = (
+        moments.select("grp", "parent", "start", packed("own"))
+        .join(above.select("parent", "start", packed("up")), ["parent", "start"])
+        .join(top.select("start", packed("top")), "start")
+        .select("grp", "parent", "start", "own", "up", "top")
+    )
     p = len(NAMES)
 
     def invert(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
             out = []
-            for g, n, sums, products in zip(*(c.to_pylist() for c in batch.columns)):
-                mean = np.array(sums) / n
-                scatter = np.zeros((p, p))
-                for (i, j), v in zip(PAIRS, products):
-                    scatter[i, j] = scatter[j, i] = v / n - mean[i] * mean[j]
-                # Where a statistic is constant, its variance is replaced; elsewhere the data rule.
-                scatter *= factor
-                none = np.diag(scatter) < NO_SPREAD * _SPREAD
-                scatter[none, :] = scatter[:, none] = 0.0
-                scatter[none, none] = _SPREAD[none]
+            for g, parent, start, *levels in zip(*(c.to_pylist() for c in batch.columns)):
+                own, up, top = (_mean_scatter(m[0], m[1:p + 1], m[p + 1:], factor) for m in levels)
+                whole = drawn(top, (top[1], np.diag(_SPREAD)), prior_rows)
+                centre, scatter = drawn(own, drawn(up, whole, prior_rows), prior_rows)
                 inverse = np.linalg.inv(scatter)
-                out.append((g, mean.tolist(), [float(inverse[i, j]) for i, j in PAIRS]))
-            g, mean, inverse = zip(*out) if out else ((), (), ())
+                out.append((g, parent, start, centre.tolist(), [float(inverse[i, j]) for i, j in PAIRS],
+                            float(np.linalg.slogdet(scatter)[1])))
+            cols = list(zip(*out)) or [()] * 6
             floats = pa.list_(pa.float64())
+            types = [pa.string(), pa.string(), pa.int32(), floats, floats, pa.float64()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(g, pa.string()), pa.array(mean, floats), pa.array(inverse, floats)],
-                ["grp", "centre", "inverse"])
+                [pa.array(c, t) for c, t in zip(cols, types)], ["grp", "parent", "start", "centre", "inverse", "logdet"])
 
-    return moments.mapInArrow(invert, "grp string, centre array<double>, inverse array<double>")
+    return joined.mapInArrow(
+        invert, "grp string, parent string, start int, centre array<double>, inverse array<double>, logdet double")
 
 
 def _moments(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("grp").agg(
-        F.count(F.lit(1)).cast("double").alias("n"),
-        F.array(*[F.sum(f"x_{c}") for c in NAMES]).alias("sums"),
-        F.array(*[F.sum(F.col(f"x_{NAMES[i]}") * F.col(f"x_{NAMES[j]}")) for i, j in PAIRS]).alias("products"),
+    x = [F.col(f"x_{c}") for c in NAMES]
+    return rows.groupBy("grp", "parent", "start").agg(
+        F.count(F.lit(1)).cast("double").alias("n"), *[F.sum(v).alias(f"s{i}") for i, v in enumerate(x)],
+        *[F.sum(x[i] * x[j]).alias(f"q{k}") for k, (i, j) in enumerate(PAIRS)],
     )
 
 
-def estimate(rows: DataFrame, *, share: float = 0.75, steps: int = 4) -> DataFrame:
-    """(grp, centre, inverse) by ``steps`` C-steps over all rows of (grp, x_…)."""
+def _starts(rows: DataFrame, factor: float, prior_rows: float) -> DataFrame:
+    """Three first fits per group: scaled deviations without correlations, the moments of all
+    rows, and those of the half with the smallest distances by the first."""
     at = lambda cols, f: F.array(*[F.percentile_approx(f(c), F.lit(0.5), F.lit(1000)) for c in cols])
     middle = rows.groupBy("grp").agg(at(NAMES, lambda c: F.col(f"x_{c}")).alias("centre"))
     middle = written(middle, "medians")
     index = {c: i for i, c in enumerate(NAMES)}
     spread = rows.join(middle, "grp").groupBy("grp").agg(
-        F.first("centre").alias("centre"),
+        F.first("parent").alias("parent"), F.first("centre").alias("centre"),
         at(NAMES, lambda c: F.abs(F.col(f"x_{c}") - F.get("centre", F.lit(index[c])))).alias("mad"),
     )
-    # The start: scaled deviations, without correlations.
     floor = F.array(*[F.lit(float(v)) for v in _SPREAD])
     inverse = F.array(*[
         1 / let(F.pow(1.4826 * F.get("mad", F.lit(i)), 2), lambda v: F.when(
             v < NO_SPREAD * F.get(floor, F.lit(i)), F.get(floor, F.lit(i))).otherwise(v)) if i == j else F.lit(0.0)
         for i, j in PAIRS
     ])
-    fit = written(spread.select("grp", "centre", inverse.alias("inverse")), "mcd-start")
+    plain = written(spread.select("grp", "parent", F.lit(0).alias("start"), "centre", inverse.alias("inverse")), "mcd-start")
+    near = rows.join(plain.select("grp", "centre", "inverse"), "grp").withColumn("d2", _distance())
+    half = written(near.groupBy("grp").agg(F.percentile_approx("d2", F.lit(0.5), F.lit(2000)).alias("half")), "mcd-half")
+    chosen = near.join(half, "grp").withColumn("start", F.explode(
+        F.when(F.col("d2") <= F.col("half"), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))))
+    return plain.union(_fit(_moments(chosen), factor, prior_rows).drop("logdet").select(plain.columns))
+
+
+def estimate(
+    rows: DataFrame, *, share: float = 0.75, steps: int = 4, prior_rows: float = 40,
+) -> DataFrame:
+    """(grp, centre, inverse) by ``steps`` C-steps from each start over all rows of (grp, parent, x_…)."""
     factor = consistency(share, len(NAMES))
+    fit = written(_starts(rows, factor, prior_rows), "mcd-starts")
     for _ in range(steps):
-        near = rows.join(fit, "grp").withColumn("d2", _distance()).drop("centre", "inverse")
-        limit = near.groupBy("grp").agg(F.percentile_approx("d2", F.lit(share), F.lit(2000)).alias("limit"))
+        near = rows.join(fit.select("grp", "start", "centre", "inverse"), "grp").withColumn("d2", _distance()).drop("centre", "inverse")
+        limit = near.groupBy("grp", "start").agg(F.percentile_approx("d2", F.lit(share), F.lit(2000)).alias("limit"))
         limit = written(limit, "mcd-limit")
-        fit = written(_fit(_moments(near.join(limit, "grp").filter("d2 <= limit")), factor), "mcd-fit")
-    return fit
+        fit = written(_fit(_moments(near.join(limit, ["grp", "start"]).filter("d2 <= limit")), factor, prior_rows), "mcd-fit")
+    best = fit.groupBy("grp").agg(F.min(F.struct("logdet", "start", "centre", "inverse")).alias("b"))
+    return written(best.select("grp", "b.centre", "b.inverse"), "mcd-best")
 
 
 def quality(
     docs: DataFrame, *, id: str = "doc_id", text: str = "text", lang: str = "lang",
     source: str = "source", share: float = 0.75, steps: int = 4, tail: float = 1e-4,
-    min_rows: int = 40,
+    prior_rows: float = 40,
 ) -> DataFrame:
     """Base counts, base rule and the verdict on every row.
 
     Returns id, the base counts, ``base_failed``, ``distance`` (the squared
     robust distance; null for a row without words) and ``kept``. A group is a
-    language and source, null being a value of its own; groups of fewer than
-    ``min_rows`` rows are estimated together by language, since a scatter cannot
+    language and source, null being a value of its own; its estimate counts
+    ``prior_rows`` rows of its language's besides its own, since a scatter cannot
     be had from a handful of rows. A row is rejected above the chi-square quantile
     that normal rows exceed with probability ``tail``. Null and empty texts count no words and fail.
     Repeated rows count as often as they occur; other columns are ignored, and
@@ -259,17 +307,8 @@ def quality(
         F.col(source).cast("string").alias("source"), F.col(text).alias("text"),
     )
     rows = written(statistics(own, "text", ["id", "lang", "source"]), "text-statistics")
-    named = F.to_json(F.struct("lang", "source"))
-    pooled = F.to_json(F.struct("lang"))
-    sizes = rows.groupBy(named.alias("name")).agg(F.count(F.lit(1)).alias("rows_"))
-    small = written(sizes.filter(F.col("rows_") < min_rows).select("name"), "small-groups")
-    rows = (
-        rows.withColumn("name", named)
-        .join(small.withColumn("small", F.lit(True)), "name", "left")
-        .withColumn("grp", F.when(F.col("small"), F.concat(F.lit("pooled "), pooled)).otherwise(F.col("name")))
-        .drop("name", "small")
-    )
-    fit = estimate(rows.filter("n_words > 0"), share=share, steps=steps)
+    rows = rows.withColumn("grp", F.to_json(F.struct("lang", "source"))).withColumn("parent", F.to_json(F.struct("lang")))
+    fit = estimate(rows.filter("n_words > 0"), share=share, steps=steps, prior_rows=prior_rows)
     judged = rows.join(fit, "grp", "left").withColumn(
         "distance", F.when(F.col("n_words") > 0, _distance()))
     return judged.select(

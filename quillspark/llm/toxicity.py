@@ -150,9 +150,9 @@ def clause_vector(found: list[tuple[str, float]]) -> list[float]:
 # --- learning -----------------------------------------------------------------
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, id: str, text: str, bound: int) -> DataFrame:
-    """About ``bound`` labelled rows at most, chosen by a hash of the id."""
+    """About ``bound`` labelled rows at most, chosen by a hash of the id; of several labels of an id the largest counts."""
     rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text")).join(
-        labels.select(F.col(id).alias("label_id"), F.col("toxic").alias("label")).dropDuplicates(["label_id"]),
+        labels.groupBy(F.col(id).alias("label_id")).agg(F.max("toxic").alias("label")),
         F.col("id") == F.col("label_id"),
     ).filter("label IS NOT NULL AND text IS NOT NULL")
     there = labels.filter("toxic IS NOT NULL").count()

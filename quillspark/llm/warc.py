@@ -285,7 +285,9 @@ def read_warc(
     ranges = files.select(
         "path", "length",
         F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(split_bytes).cast("long"))).alias("start"),
-    ).repartition(F.col("path"), F.col("start"))
+    )
+    # One task per range: rows this small would otherwise be merged into a few tasks.
+    ranges = ranges.repartition(max(1, ranges.count()))
     names = [x.split()[0] for x in RECORD.split(", ")]
 
     def scan(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

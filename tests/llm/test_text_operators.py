@@ -1,4 +1,6 @@
 import random
+
+import numpy as np
 import re
 
 import pytest
@@ -273,8 +275,8 @@ def test_spread_of_the_data_sets_the_distance(spark):
     for i in range(400):
         t = rng.uniform(-1, 1)
         x = {"upper": 0.2 + 0.02 * t + rng.gauss(0, 0.002), "word_length": 0.1 + 0.03 * t + rng.gauss(0, 0.003)}
-        rows.append(("g", *[x.get(n, 0.0) for n in quality.NAMES]))
-    table = spark.createDataFrame(rows, ", ".join(["grp string"] + [f"x_{n} double" for n in quality.NAMES]))
+        rows.append(("g", "p", *[x.get(n, 0.0) for n in quality.NAMES]))
+    table = spark.createDataFrame(rows, ", ".join(["grp string, parent string"] + [f"x_{n} double" for n in quality.NAMES]))
     fit = quality.estimate(table).first()
     inverse = dict(zip(quality.PAIRS, fit.inverse))
     off = [0.0] * len(quality.NAMES)
@@ -283,3 +285,96 @@ def test_spread_of_the_data_sets_the_distance(spark):
     assert d2 > quality.chi2_quantile(1 - 1e-4, len(quality.NAMES))
     digits = quality.NAMES.index("digits")
     assert abs(inverse[digits, digits] - 1 / quality.FEATURES["digits"] ** 2) < 1e-6
+
+
+def plain_mcd(groups, share, steps, prior):
+    """Distances of the rows of each group by plain loops; groups: {(parent, name): rows}."""
+    spread = np.array(list(quality.FEATURES.values())) ** 2
+    factor = quality.consistency(share, len(spread))
+    rank = lambda v, q: sorted(v)[max(0, int(np.ceil(q * len(v))) - 1)]
+
+    def level(rows):
+        s = np.cov(rows.T, bias=True) * factor
+        none = np.diag(s) < quality.NO_SPREAD * spread
+        s[none, :] = s[:, none] = 0
+        s[none, none] = spread[none]
+        return len(rows), rows.mean(0), s
+
+    def draw(own, parent):
+        w = own[0] / (own[0] + prior)
+        return w * own[1] + (1 - w) * parent[0], w * own[2] + (1 - w) * parent[1]
+
+    def fit(chosen):
+        top = level(np.concatenate(list(chosen.values())))
+        whole = draw(top, (top[1], np.diag(spread)))
+        return {g: draw(level(x), draw(level(np.concatenate([v for k, v in chosen.items() if k[0] == g[0]])), whole))
+                for g, x in chosen.items()}
+
+    def apart(x, f):
+        return np.einsum("ij,jk,ik->i", x - f[0], np.linalg.inv(f[1]), x - f[0])
+
+    first = {}
+    for g, x in groups.items():
+        centre = np.array([rank(c, 0.5) for c in x.T])
+        var = (1.4826 * np.array([rank(c, 0.5) for c in abs(x - centre).T])) ** 2
+        first[g] = centre, np.diag(np.where(var < quality.NO_SPREAD * spread, spread, var))
+    halves = {g: x[apart(x, first[g]) <= rank(apart(x, first[g]), 0.5)] for g, x in groups.items()}
+    best = {}
+    for f in (first, fit(groups), fit(halves)):
+        for _ in range(steps):
+            f = fit({g: x[apart(x, f[g]) <= rank(apart(x, f[g]), share)] for g, x in groups.items()})
+        for g in groups:
+            det = np.linalg.slogdet(f[g][1])[1]
+            if g not in best or det < best[g][0] - 1e-9:
+                best[g] = det, apart(groups[g], f[g])
+    return {g: b[1] for g, b in best.items()}
+
+
+def test_fits_of_groups_of_any_size_equal_plain_loops(spark):
+    rng = np.random.default_rng(4)
+    k = len(quality.NAMES)
+    mix = rng.normal(0, 0.05, (k, k))
+    groups = {}
+    for n in (*range(1, 61, 3), 39, 40, 41, 300):
+        x = rng.normal(0, 1, (n, k)) @ mix + 0.3
+        x[:, 6] = 0.0  # one statistic never differs
+        x[: n // 8] += 3.0
+        groups[f"p{n % 3}", f"g{n}"] = x
+    rows = [(g, p, i, *map(float, v)) for (p, g), x in groups.items() for i, v in enumerate(x)]
+    table = spark.createDataFrame(rows, ", ".join(["grp string, parent string, i int"] + [f"x_{n} double" for n in quality.NAMES]))
+    got = table.join(quality.estimate(table), "grp").select("parent", "grp", "i", quality._distance().alias("d2")).collect()
+    want = plain_mcd(groups, 0.75, 4, 40)
+    assert len(got) == len(rows)
+    cut = quality.chi2_quantile(1 - 1e-4, k)
+    for r in got:
+        d2 = want[r.parent, r.grp][r.i]
+        assert r.d2 >= 0 and abs(r.d2 - d2) < 1e-4 * (1 + d2)
+        n = len(groups[r.parent, r.grp])
+        assert (r.d2 <= cut) == (r.i >= n // 8)  # planted rows go, all others stay
+
+
+def test_verdicts_of_small_groups(spark):
+    """From one row to sixty, plain texts stay and a text of symbols goes."""
+    rng = random.Random(12)
+    plain = lambda: " ".join("".join(rng.choices("abcdefghij", k=rng.randint(3, 7))) for _ in range(60)) + "."
+    rows = [(1000 * n + i, plain(), f"l{n}", "s") for n in (1, 2, 3, 5, 8, 12, 39, 40, 60) for i in range(n)]
+    rows += [(7, " ".join("#$%&*" for _ in range(60)) + " " + plain(), "l3", "s")]
+    got = {r.doc_id: r for r in quality.quality(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert [i for i, r in got.items() if not r.kept] == [7]
+    assert all(r.distance >= 0 for r in got.values())
+
+
+# --- short items, several labels ----------------------------------------------
+
+def test_short_items_are_found_as_whole_words(spark, docs):
+    items = spark.createDataFrame([(1, "Capital of  France?"), (2, "cat"), (3, " "), (4, None)], "item_id long, text string")
+    table = docs(["what is the capital of\nfrance? it is", "concatenate", "a CAT.", "capital of francs?", None, "cat", "caté"])
+    got = decontaminate.find_leaks(table, items).collect()
+    assert sorted((r.doc_id, r.item_id, r.distance) for r in got) == [(0, 1, 0), (2, 2, 0), (5, 2, 0)]
+    assert [r.doc_id for r in decontaminate.drop_leaks(table, items).collect()] == [1, 3, 4, 6]
+
+
+def test_the_largest_of_several_labels_counts(spark, docs):
+    labels = spark.createDataFrame([(0, 0), (0, 1), (0, None), (1, 0), (1, 0), (2, None), (None, 1)], "doc_id long, toxic int")
+    got = toxicity.labelled_sample(docs(["a", "b", "c"]), labels, "doc_id", "text", 100)
+    assert sorted((r.id, r.label) for r in got.collect()) == [(0, 1), (1, 0)]
