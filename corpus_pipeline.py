@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm import decontaminate, line_dedup, near_copies, pieces, toxicity
+from quillspark.llm import decontaminate, line_dedup, pieces, simhash, toxicity
 from quillspark.llm.common import written
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
@@ -24,14 +24,14 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines of ten documents or more go; the first of the documents made mostly of such lines keeps them."""
+    """Lines of ten documents or more stay in the first of them only, and whole in the first of ten copies or more."""
     out = line_dedup.dedup_lines(docs, keep_first=True)
     return out.withColumn("n_chars", F.char_length("text").cast("long")).select(docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of near copies (five-word Jaccard of 0.8 or more) the document with the smallest id stays."""
-    return near_copies.keep_one(docs)
+    """Of every group of near copies (four-word fingerprints within four bits) the document with the smallest id stays."""
+    return simhash.keep_one(docs, shingle=4, radius=4)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
