@@ -13,7 +13,7 @@ from quillspark.runtime import scratch_path
 from quillspark.sources import state
 from quillspark.sources.api import explode_docs
 from quillspark.sources.tables import read_records, require, union_sources
-from quillspark.streaming.ingest import retry_failed, start_ingest, stream_unseen
+from quillspark.streaming.ingest import first_of_visits, retry_failed, start_ingest, stream_unseen
 from quillspark.streaming.progress import start_progress
 from quillspark.streaming.training import start_training
 
@@ -436,6 +436,55 @@ def stream_progress(spark, sf_dir):
     return spark.read.parquet(f"{path}/out").drop("run", "batch_id")
 
 
+def _in_parts(frame, order, parts, path, start):
+    """Append ``frame`` in ``parts`` slices of ``order``; ``start`` runs its query again after each."""
+    low, high = frame.agg(F.min(order), F.max(order)).first()
+    slice_of = F.least(F.floor((F.col(order) - low) * parts / F.lit(max(high - low, 1))), F.lit(parts - 1))
+    for k in range(parts):
+        frame.filter(slice_of == k).write.mode("append").parquet(path)
+        start().awaitTermination()
+
+
+@query("stream_progress_restarted", _RISES_SQL)
+def stream_progress_restarted(spark, sf_dir):
+    """Three parts of the log, in order; the query is started anew for each and goes on from its state."""
+    path, log = scratch_path(spark, "progress"), _log(table(spark, sf_dir, "events"))
+    _in_parts(log, "line_no", 3, f"{path}/log", lambda: start_progress(
+        spark.readStream.schema(log.schema).parquet(f"{path}/log"), f"{path}/out", f"{path}/checkpoint"))
+    return spark.read.parquet(f"{path}/out").drop("run", "batch_id")
+
+
+@query(
+    "stream_watermark_expiry",
+    """WITH s AS (SELECT user_id, ts, event_id, CASE WHEN ts - lag(ts) OVER w < INTERVAL 12 HOUR THEN 0 ELSE 1 END AS new
+      FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+    v AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS visit FROM s)
+    SELECT user_id AS id, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS first_at,
+      strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS last_at, count(*)::BIGINT AS n, arg_min(event_id, ts) AS event_id
+    FROM v GROUP BY user_id, visit
+    HAVING max(ts) + INTERVAL 12 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY""",
+)
+def stream_watermark_expiry(spark, sf_dir):
+    """Visits over four parts in time order, the last with old rows again, which come too late."""
+    path = scratch_path(spark, "visits")
+    rows = table(spark, sf_dir, "events").select(
+        F.col("user_id").alias("id"), F.col("ts").cast("timestamp").alias("ts"), "event_id")
+    rows = rows.withColumn("second", F.unix_seconds("ts"))
+    late = rows.filter(F.col("second") < rows.agg(F.min("second") + 86400).first()[0])
+    late = late.withColumn("second", F.lit(rows.agg(F.max("second")).first()[0]))
+
+    def start():
+        stream = spark.readStream.schema(rows.schema).parquet(f"{path}/rows")
+        visits = first_of_visits(stream, "id", "ts", "12 hours", "1 day", ["event_id"])
+        return (
+            visits.writeStream.format("parquet").option("path", f"{path}/out")
+            .option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start())
+
+    _in_parts(rows.union(late), "second", 4, f"{path}/rows", start)
+    text = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(c)
+    return spark.read.parquet(f"{path}/out").select("id", text("first_at"), text("last_at"), "n", "event_id")
+
+
 @query(
     "stream_training",
     rf"""WITH e AS ({PAGE_ENTRIES_SQL}),

@@ -27,6 +27,33 @@ def stream_unseen(
     return timed.withWatermark(event_time, watermark).dropDuplicatesWithinWatermark([key])
 
 
+def first_of_visits(
+    stream: DataFrame, key: str, event_time: str, gap: str, delay: str, carry: list[str] | None = None,
+) -> DataFrame:
+    """The first row of every visit of a key: (key, first_at, last_at, n, carry…).
+
+    A visit ends when the key has no row for ``gap`` of event time; after that its
+    state is dropped and the key is new again. Rows may be up to ``delay`` late;
+    a visit is given out when the watermark, the greatest event time less ``delay``,
+    has passed its end, and rows older than that are left out (the query's progress
+    counts them as ``numRowsDroppedByWatermark``). State holds the open visits only,
+    so it is bounded by the keys of the last ``gap`` and ``delay``, not by the
+    stream. Visits are merged in the tasks before the shuffle, which also thins a
+    hot key. Rows without key are a key of their own; rows without event time are
+    left out. ``carry`` columns come from the earliest row, the smallest on ties.
+    """
+    carry = carry or []
+    timed = stream.select(key, F.col(event_time).cast("timestamp").alias("_at"), *carry).where("_at IS NOT NULL")
+    first = F.min(F.struct("_at", *carry)).alias("_first")
+    visits = (
+        timed.withWatermark("_at", delay)
+        .groupBy(key, F.session_window("_at", gap).alias("_visit"))
+        .agg(first, F.max("_at").alias("last_at"), F.count(F.lit(1)).alias("n"))
+    )
+    return visits.select(
+        key, F.col("_first._at").alias("first_at"), "last_at", "n", *[F.col(f"_first.{c}").alias(c) for c in carry])
+
+
 def run_id(spark: SparkSession, checkpoint: str) -> str:
     """The name of a checkpoint's run, made on first use and stored beside its offsets.
 

@@ -178,3 +178,73 @@ def test_csv_scan(spark, tmp_path):
 
     (tmp_path / "x.csv").write_text('a,b\n1,"two\nlines"\n')
     assert read_csv(spark, str(tmp_path / "x.csv")).collect()[0].b == "two\nlines"
+
+
+def test_progress_state_over_restarts_and_jobs(spark, tmp_path):
+    src, out, mark = (str(tmp_path / n) for n in ("src", "out", "mark"))
+    schema = "job string, line_no long, value string"
+    parts = [
+        [("a", 2, "7%|#| 7/100"), ("a", 1, "3%|#| 3/100"), ("b", 1, "noise"), (None, 5, "4%|#| 4/9"), ("a", 3, "7%|#| 8/100")],
+        [("a", 4, "5%|#| 5/100"), ("b", 2, "1%|#| 1/100"), (None, 6, "4%|#| 5/9")],
+        [("a", 5, "100%|#| 100/100"), ("a", 6, "120%|#| 1/1"), (None, 7, "9%|#| 9/9"), ("b", 3, "")],
+        [("a", 7, "130%|#| 1/1"), ("b", 4, "2%|#| 2/100"), ("b", 4, "2%|#| 2/100")],
+    ]
+    for rows in parts:
+        land(spark, src, rows, schema)
+        start_progress(spark.readStream.schema(schema).json(src), out, mark).awaitTermination()
+    got = spark.read.parquet(out)
+    assert "event" not in got.columns
+    assert sorted(((r.job, r.line_no, r.percent, r.current_step, r.total_steps, r.completed) for r in got.collect()), key=str) == sorted(
+        [("a", 1, 3, 3, 100, False), ("a", 2, 7, 7, 100, False), ("a", 5, 100, 100, 100, True), ("b", 2, 1, 1, 100, False),
+         ("b", 4, 2, 2, 100, False), (None, 5, 4, 4, 9, False), (None, 7, 9, 9, 9, False)], key=str)
+
+
+def test_a_replayed_progress_batch_reads_no_earlier_output(spark, tmp_path):
+    """The state alone carries the maximum: output that is gone does not bring rises back."""
+    src, mark = str(tmp_path / "src"), str(tmp_path / "mark")
+    schema = "job string, line_no long, value string"
+    for k, want in ((0, [50]), (1, []), (2, [60])):
+        land(spark, src, [("j", k, f"{(50, 40, 60)[k]}%|#| 1/2")], schema)
+        out = str(tmp_path / f"out{k}")
+        start_progress(spark.readStream.schema(schema).json(src), out, mark).awaitTermination()
+        assert [r.percent for r in spark.read.schema("percent long").parquet(out).collect()] == want
+
+
+def test_a_silent_job_is_reported_once(spark, tmp_path):
+    import time
+
+    src, out, mark = (str(tmp_path / n) for n in ("src", "out", "mark"))
+    schema = "job string, line_no long, value string"
+    land(spark, src, [("done", 1, "100%|#| 9/9"), ("stuck", 1, "20%|#| 2/9")], schema)
+    query = start_progress(spark.readStream.schema(schema).json(src), out, mark, every="1 second", silence_ms=2000)
+    try:
+        events = set()
+        for _ in range(60):
+            time.sleep(1)
+            if query.lastProgress and query.lastProgress["batchId"] > 0:
+                events = {(r.job, r.event, r.percent) for r in spark.read.parquet(out).collect()}
+                if len(events) == 3:
+                    break
+        assert query.exception() is None
+        assert events == {("done", "completed", 100), ("stuck", "progress", 20), ("stuck", "silent", 20)}
+    finally:
+        query.stop()
+
+
+def test_visits_expire(spark, tmp_path):
+    src, out, mark = (str(tmp_path / n) for n in ("src", "out", "mark"))
+    schema = "id string, ts timestamp, extra int, n int, last_at int"
+    at = lambda h: f"2024-01-{1 + h // 24:02d} {h % 24:02d}:00:00"
+
+    def run(rows):
+        land(spark, src, [(i, at(h) if h is not None else None, x, 0, 0) for i, h, x in rows], "id string, ts string, extra int, n int, last_at int")
+        query = ingest.first_of_visits(spark.readStream.schema(schema).json(src), "id", "ts", "2 hours", "3 hours", ["extra"]).writeStream.format(
+            "parquet").option("path", out).option("checkpointLocation", mark).trigger(availableNow=True).start()
+        query.awaitTermination()
+        return sum(s["numRowsDroppedByWatermark"] for p in query.recentProgress for s in p["stateOperators"])
+
+    run([("a", 1, 2), ("a", 0, 1), ("a", 0, 0), (None, 0, 5), ("b", 0, 6), ("b", None, 7)])
+    run([("a", 10, 3)])
+    assert run([("b", 1, 9), ("a", 30, 4)]) >= 1  # b's row is too late
+    got = sorted(((r.id, r.first_at.hour, r.last_at.hour, r.n, r.extra) for r in spark.read.parquet(out).collect()), key=str)
+    assert got == sorted([("a", 0, 1, 3, 0), ("a", 10, 10, 1, 3), ("b", 0, 0, 1, 6), (None, 0, 0, 1, 5)], key=str)
