@@ -436,6 +436,20 @@ def stream_progress(spark, sf_dir):
     return spark.read.parquet(f"{path}/out").drop("run", "batch_id")
 
 
+@query(
+    "open_ranges",
+    """WITH d AS (SELECT o_orderkey AS p FROM orders WHERE o_orderstatus = 'F' UNION SELECT 0
+      UNION SELECT max(o_orderkey) + 11 FROM orders),
+    g AS (SELECT lag(p) OVER (ORDER BY p) AS before, p FROM d)
+    SELECT (before + 1)::BIGINT AS first, (p - 1)::BIGINT AS last FROM g WHERE p > before + 1""",
+)
+def open_ranges(spark, sf_dir):
+    """Pages are order keys; those of finished orders are done."""
+    orders = table(spark, sf_dir, "orders")
+    last = orders.agg(F.max("o_orderkey")).first()[0] + 10
+    return state.open_ranges(orders.where("o_orderstatus = 'F'"), last, "o_orderkey", block=1024)
+
+
 def _in_parts(frame, order, parts, path, start):
     """Append ``frame`` in ``parts`` slices of ``order``; ``start`` runs its query again after each."""
     low, high = frame.agg(F.min(order), F.max(order)).first()

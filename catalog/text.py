@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from catalog.registry import (
@@ -19,7 +20,7 @@ from catalog.registry import (
 )
 from quillspark.functions import html
 from quillspark.functions import text as T
-from quillspark.operators import corpus, files, training
+from quillspark.operators import corpus, files, packing, training
 from quillspark.plans.training import page_entries, pages_to_training
 from quillspark.runtime import scratch_path
 from quillspark.sources import text as text_source
@@ -409,6 +410,47 @@ def packing_summary(spark, sf_dir):
     )
 
 
+_HASHED_SQL = r"""
+  SELECT md5(doc_id::VARCHAR) AS id, len(list_filter(regexp_split_to_array(text, '\s+'), lambda w: w <> ''))::BIGINT AS n_tokens
+  FROM documents"""
+
+
+def _packed_hashed(spark, sf_dir):
+    lengths = _lengths(spark, sf_dir).withColumn("id", F.md5(F.col("id").cast("string")))
+    return packing.pack_by_length(lengths)
+
+
+@query(
+    "pack_sequences_hashed_ids",
+    f"""SELECT id, n_tokens, n_tokens > 0 AS placed, true AS in_sample, true AS in_line FROM ({_HASHED_SQL})""",
+)
+def pack_sequences_hashed_ids(spark, sf_dir):
+    """Every row once; no sample overfull; rows of a sample follow each other without gap or overlap."""
+    ahead = Window.partitionBy("sample").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    fits = (F.col("start") + F.col("n_tokens") <= 2048) | (F.col("start") == 0)
+    checked = _packed_hashed(spark, sf_dir).where("sample IS NOT NULL").select(
+        "id", "n_tokens", F.lit(True).alias("placed"), fits.alias("in_sample"),
+        (F.col("start") == F.coalesce(F.sum("n_tokens").over(ahead), F.lit(0))).alias("in_line"))
+    rest = _packed_hashed(spark, sf_dir).where("sample IS NULL").select(
+        "id", "n_tokens", F.lit(False), F.lit(True), F.lit(True))
+    return checked.union(rest)
+
+
+@query(
+    "packing_fill",
+    f"""WITH n AS ({_HASHED_SQL})
+    SELECT sum(n_tokens) FILTER (WHERE n_tokens <= 2048)::BIGINT AS tokens,
+      count(*) FILTER (WHERE n_tokens > 2048)::BIGINT AS overlong, true AS well_filled FROM n""",
+)
+def packing_fill(spark, sf_dir):
+    """At least 0.97 of the samples' room is filled (but for the last two samples)."""
+    fill = packing.sample_fill(_packed_hashed(spark, sf_dir))
+    packed = F.col("fill") <= 2048
+    return fill.agg(
+        F.sum(F.when(packed, F.col("fill"))).alias("tokens"), F.count(F.when(~packed, 1)).alias("overlong"),
+        (F.sum(F.when(packed, F.col("fill"))) >= 0.97 * 2048 * (F.count(F.when(packed, 1)) - 2)).alias("well_filled"))
+
+
 @query(
     "csv_rows",
     """SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE

@@ -1,8 +1,12 @@
+import random
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
-from quillspark.operators import corpus, files, training
+from quillspark.operators import corpus, files, packing, training
 from quillspark.plans import training as plans
+from quillspark.sources import state
 from quillspark.sources import text as text_source
 from quillspark.sources import trees
 
@@ -204,3 +208,70 @@ def test_packing_never_overfills(spark):
     for r in training.packing_summary(packed).collect():
         assert r.fill <= 2048 or r.n_rows == 1
         assert r.padding == max(2048 - r.fill, 0)
+
+
+def fill_by_rows(lengths, capacity):
+    """Best fit, longest first, row by row: the number of samples."""
+    room = []
+    for n in sorted((x for x in lengths if 1 <= x <= capacity), reverse=True):
+        fits = [r for r in room if r >= n]
+        if fits:
+            room[room.index(min(fits))] -= n
+        else:
+            room.append(capacity - n)
+    return len(room)
+
+
+def test_plan_places_every_rank_once():
+    rng = random.Random(3)
+    for capacity in (1, 7, 50):
+        for size in (0, 1, 5, 60, 400):
+            lengths = [rng.choice([1, 2, 3, capacity // 2 + 1, rng.randint(0, capacity + 3)]) for _ in range(size)]
+            counts = Counter(lengths)
+            segments, samples = packing.plan(counts, capacity)
+            used, seen = Counter(), Counter()
+            for n, a, b, base, k, at in segments:
+                for rank in range(a, b):
+                    seen[n, rank] += 1
+                    sample = base + (rank - a) // k
+                    used[sample] += n
+                    assert sample < samples and at + ((rank - a) % k + 1) * n <= capacity
+            assert seen == Counter({(n, r): 1 for n, c in counts.items() if 1 <= n <= capacity for r in range(c)})
+            assert len(used) == samples and all(v <= capacity for v in used.values())
+            assert samples <= 1.1 * fill_by_rows(lengths, capacity) + 1
+
+
+def test_packing_is_full_whatever_the_ids(spark):
+    rng = random.Random(4)
+    rows = [(f"{rng.getrandbits(64):x}", 100) for _ in range(2000)]
+    fill = packing.sample_fill(packing.pack_by_length(spark.createDataFrame(rows, "id string, n_tokens int")))
+    assert fill.count() == 100  # twenty rows of a hundred tokens each
+    rows += [(str(i), rng.randint(1, 2048)) for i in range(1500)] + [("long", 9000), ("long", 9000), ("empty", 0), (None, None), (None, 5)]
+    table = spark.createDataFrame(rows, "id string, n_tokens int").selectExpr("*", "1 AS sample", "2 AS n", "3 AS kind", "4 AS rank", "5 AS base")
+    got = packing.pack_by_length(table).collect()
+    assert Counter((r.id, r.n_tokens) for r in got) == Counter(rows)
+    samples = {}
+    for r in got:
+        assert (r.sample is None) == (not r.n_tokens)
+        if r.sample is not None:
+            samples.setdefault(r.sample, []).append((r.start, r.n_tokens))
+    assert sorted(samples) == list(range(len(samples)))
+    packed = 0
+    for rows_ in samples.values():
+        at = 0
+        for start, n in sorted(rows_):
+            assert start == at
+            at += n
+        assert at <= 2048 or len(rows_) == 1
+        packed += at if at <= 2048 else 0
+    assert packed >= 0.97 * 2048 * (len(samples) - 2)
+    assert packing.pack_by_length(table.limit(0)).count() == 0
+
+
+def test_open_ranges(spark):
+    pages = spark.createDataFrame([(p,) for p in (3, 4, 4, 9, 10, 20, 99, None, -5, 0)], "page int")
+    for block in (1, 2, 5, 1 << 16):
+        got = sorted(map(tuple, state.open_ranges(pages, 21, block=block).collect()))
+        assert got == [(1, 2), (5, 8), (11, 19), (21, 21)]
+    assert state.open_ranges(pages.limit(0), 4).collect() == [(1, 4)]
+    assert state.open_ranges(pages.limit(0), 0).collect() == []
