@@ -55,9 +55,10 @@ def require(df: DataFrame, *columns: str) -> DataFrame:
     return df
 
 
-def preview(records: DataFrame, n: int = 3) -> DataFrame:
-    """A few records as titled lines."""
-    return records.limit(n).select(
+def preview(records: DataFrame, n: int = 3, *order: str) -> DataFrame:
+    """A few records as titled lines, the first by ``order``; without it, any."""
+    first = records.orderBy(*order) if order else records
+    return first.limit(n).select(
         F.format_string(
             "%s (%s)",
             F.coalesce("title", F.lit("No title")),

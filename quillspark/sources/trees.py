@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -41,6 +42,7 @@ def read_file_tree(
     own listing leaves out names that start with ``_`` or ``.``; those files are
     listed and read by tasks of their own.
     """
+    root = re.sub(r"^file:/+", "file:///", root)  # Hadoop also writes one slash
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if suffixes:
         reader = reader.option("pathGlobFilter", _glob(suffixes))
@@ -77,7 +79,9 @@ def _read_left_out(spark: SparkSession, root: str, suffixes: Sequence[str] | Non
     each; the found paths are then spread evenly, whichever repository they are in.
     """
     wanted = tuple(suffixes) if suffixes else None
-    uri = root if "://" in root else f"file://{root}"
+    # Hadoop's names of a store; the listing library knows it by one.
+    uri = re.sub(r"^s3[an]://", "s3://", root) if "://" in root else f"file://{root}"
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     system, base = fs.FileSystem.from_uri(uri)
     repos = [
         (f.base_name,)
@@ -107,8 +111,9 @@ def _read_left_out(spark: SparkSession, root: str, suffixes: Sequence[str] | Non
                     yield pd.DataFrame([(*row, f.read())], columns=[*batch.columns, "content"])
 
     names = spark.createDataFrame(repos, "repo string")
-    paths = names.repartition("repo").mapInPandas(found, "repo string, path string, length long")
-    return paths.repartition("repo", "path").mapInPandas(opened, FILE_SCHEMA)
+    # Explicit counts: rows as small as names would be merged into one task.
+    paths = names.repartition(tasks, "repo").mapInPandas(found, "repo string, path string, length long")
+    return paths.repartition(tasks, "repo", "path").mapInPandas(opened, FILE_SCHEMA)
 
 
 def read_text_files(
