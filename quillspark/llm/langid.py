@@ -30,7 +30,8 @@ from quillspark.llm.lattice import Lattice
 START = "▁"  # the vocabulary's mark of a word start
 WORDS = re.compile(r"[^\W\d_]+")
 HAS_LETTER = re.compile(r"[^\W\d_]")
-CHUNK = Lattice.LONGEST  # a longer word is scored in chunks of so many characters
+WINDOW = 256  # characters whose pieces are looked up at a time
+CELLS = 960_000  # words times characters in such a lookup
 
 
 def load_pieces(path: str) -> list[str]:
@@ -44,9 +45,10 @@ def load_pieces(path: str) -> list[str]:
     })
 
 
-def chunks(word: str) -> list[str]:
+def factors(lattice: Lattice, word: str) -> list[str]:
+    """The marked word; a long one in factors that no piece crosses."""
     word = START + word
-    return [word[i:i + CHUNK] for i in range(0, len(word), CHUNK)]
+    return [word] if len(word) <= Lattice.LONGEST else lattice.factors(word)
 
 
 class Scorer:
@@ -60,23 +62,32 @@ class Scorer:
         self.table = np.zeros((0, probs.shape[1]))
 
     def forward(self, words: list[str]) -> np.ndarray:
-        """Log probabilities of equally long chunks."""
-        size, langs = len(words[0]), self.probs.shape[1]
-        arcs = self.lattice.arcs(words)
-        alpha = [np.ones((len(words), langs))]
-        logs = [np.zeros((len(words), langs))]
-        for end in range(1, size + 1):
-            total = np.zeros((len(words), langs))
-            for start in range(max(0, end - self.lattice.longest), end):
-                ids = arcs.get((start, end))
-                if ids is not None:
-                    total += alpha[start] * self.probs[ids] * np.exp(logs[start] - logs[end - 1])
-            # A character may always be an unknown one, so no word is impossible.
-            total += alpha[end - 1] * self.unknown
-            # Kept near one: long words would leave the range of floats.
-            alpha.append(np.ones_like(total))
-            logs.append(logs[end - 1] + np.log(total))
-        return logs[-1]
+        """Log probabilities of words, summed over all their segmentations.
+
+        Shorter words are padded with a character that is in no piece, and read
+        off at their own length.
+        """
+        sizes = np.array([len(w) for w in words])
+        size, longest = int(sizes.max()), self.lattice.longest
+        words = [w.ljust(size, "\0") for w in words]
+        out = np.zeros((len(words), self.probs.shape[1]))
+        logs = {0: out.copy()}
+        for first in range(0, size, WINDOW):
+            low = max(0, first + 1 - longest)
+            arcs = self.lattice.arcs([w[low:first + WINDOW] for w in words])
+            for end in range(first + 1, min(size, first + WINDOW) + 1):
+                last = logs[end - 1]
+                # A character may always be an unknown one, so no word is impossible.
+                total = np.full(out.shape, self.unknown)
+                for start in range(max(0, end - longest), end):
+                    ids = arcs.get((start - low, end - low))
+                    if ids is not None:
+                        total += self.probs[ids] * np.exp(logs[start] - last)
+                logs[end] = last + np.log(total)
+                done = sizes == end
+                out[done] = logs[end][done]
+                logs.pop(end - longest, None)
+        return out
 
     def score(self, words: list[str]) -> np.ndarray:
         """A row of log probabilities per word; distinct new words are scored together."""
@@ -87,12 +98,15 @@ class Scorer:
                 new = words
             groups: dict[int, list[tuple[int, str]]] = {}
             for i, w in enumerate(new):
-                for c in chunks(w):
-                    groups.setdefault(len(c), []).append((i, c))
+                for c in factors(self.lattice, w):
+                    # Long factors share a group up to a power of two.
+                    size = len(c) if len(c) <= Lattice.LONGEST else 1 << (len(c) - 1).bit_length()
+                    groups.setdefault(size, []).append((i, c))
             rows = np.zeros((len(new), self.probs.shape[1]))
-            for group in groups.values():
-                for k in range(0, len(group), 20_000):
-                    part = group[k:k + 20_000]
+            for size, group in groups.items():
+                step = CELLS // min(size, WINDOW + self.lattice.longest)
+                for k in range(0, len(group), step):
+                    part = group[k:k + step]
                     np.add.at(rows, [i for i, _ in part], self.forward([c for _, c in part]))
             first = len(self.known)
             self.known.update((w, first + i) for i, w in enumerate(new))
@@ -105,26 +119,34 @@ class Scorer:
 def expected_counts(
     lattice: Lattice, words: list[str], weights: np.ndarray, probs: np.ndarray, unknown: float,
 ) -> np.ndarray:
-    """Expected piece counts of equally long chunks under one language's ``probs``."""
-    size, longest = len(words[0]), lattice.longest
-    arcs, padded = lattice.arcs(words), np.append(probs, 0.0)
-    n = len(words)
+    """Expected piece counts of equally long words under one language's ``probs``.
+
+    Forward and backward sums are kept as logarithms, pieces of one window at a time.
+    """
+    size, longest, n = len(words[0]), lattice.longest, len(words)
+    padded = np.append(probs, 0.0)
     fore, back = np.zeros((size + 1, n)), np.zeros((size + 1, n))
-    fore[0] = back[size] = 1.0
-    for end in range(1, size + 1):
-        fore[end] = fore[end - 1] * unknown
-        for start in range(max(0, end - longest), end):
-            if (ids := arcs.get((start, end))) is not None:
-                fore[end] += fore[start] * padded[ids]
-    for start in range(size - 1, -1, -1):
-        back[start] = back[start + 1] * unknown
-        for end in range(start + 1, min(size, start + longest) + 1):
-            if (ids := arcs.get((start, end))) is not None:
-                back[start] += back[end] * padded[ids]
+    arcs: dict = {}
+    for first in range(0, size, WINDOW):
+        low = max(0, first + 1 - longest)
+        arcs = lattice.arcs([w[low:first + WINDOW] for w in words])
+        for end in range(first + 1, min(size, first + WINDOW) + 1):
+            total = np.full(n, unknown)
+            for start in range(max(0, end - longest), end):
+                if (ids := arcs.get((start - low, end - low))) is not None:
+                    total += padded[ids] * np.exp(fore[start] - fore[end - 1])
+            fore[end] = fore[end - 1] + np.log(total)
     out = np.zeros(len(padded))
-    scale = weights / np.maximum(fore[size], 1e-300)
-    for (start, end), ids in arcs.items():
-        np.add.at(out, ids, scale * fore[start] * padded[ids] * back[end])
+    for first in reversed(range(0, size, WINDOW)):
+        if size > WINDOW:
+            arcs = lattice.arcs([w[first:first + WINDOW + longest] for w in words])
+        for start in reversed(range(first, min(size, first + WINDOW))):
+            total = np.full(n, unknown)
+            for end in range(start + 1, min(size, start + longest) + 1):
+                if (ids := arcs.get((start - first, end - first))) is not None:
+                    total += padded[ids] * np.exp(back[end] - back[start + 1])
+                    np.add.at(out, ids, weights * padded[ids] * np.exp(fore[start] + back[end] - fore[size]))
+            back[start] = back[start + 1] + np.log(total)
     return out[:-1]
 
 
@@ -184,7 +206,7 @@ def train(
             for batch in stream:
                 groups: dict = {}
                 for language, word, n in zip(*(c.to_pylist() for c in batch.columns)):
-                    for c in chunks(word):
+                    for c in factors(lattice, word):
                         groups.setdefault((language, len(c)), []).append((c, n))
                 for (language, _), part in groups.items():
                     k = langs.index(language)

@@ -28,7 +28,8 @@ class Lattice:
             self.tables.append(table)
             left = left[table[slots] != left]
         with np.errstate(over="ignore"):
-            self.power = np.cumprod(np.insert(np.repeat(_BASE, self.LONGEST + 1), 0, np.uint64(1)))
+            most = max(self.LONGEST, self.longest) + 1
+            self.power = np.cumprod(np.insert(np.repeat(_BASE, most), 0, np.uint64(1)))
 
     @staticmethod
     def _slots(hashes: np.ndarray, level: int) -> np.ndarray:
@@ -60,6 +61,25 @@ class Lattice:
             h = (h * int(_BASE) + ord(c) + 1) & 0xFFFFFFFFFFFFFFFF
         return h
 
+    def factors(self, word: str) -> list[str]:
+        """A word cut wherever no piece crosses: every segmentation passes there.
+
+        The product over the factors is the sum over all segmentations of the word.
+        """
+        codes = np.frombuffer(word.encode("utf-32-le"), np.uint32).astype(np.uint64) + np.uint64(1)
+        n = len(codes)
+        crossing = np.zeros(n + 1, np.int64)
+        hashes = codes
+        for length in range(2, min(self.longest, n) + 1):
+            with np.errstate(over="ignore"):
+                hashes = hashes[:-1] * _BASE + codes[length - 1:]
+            starts = np.flatnonzero(self.find(hashes) < len(self.pieces))
+            crossing[starts + 1] += 1
+            crossing[starts + length] -= 1
+        free = np.flatnonzero(np.cumsum(crossing)[1:n] == 0) + 1
+        edges = [0, *free.tolist(), n]
+        return [word[a:b] for a, b in zip(edges, edges[1:])]
+
     def arcs(self, words: list[str]) -> dict[tuple[int, int], np.ndarray]:
         """(start, end) -> piece per word, ``len(pieces)`` where there is none."""
         n, size = len(words), len(words[0])

@@ -1,6 +1,8 @@
 import hashlib
 import itertools
+import math
 import random
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -86,6 +88,61 @@ def test_expected_counts_are_those_of_all_segmentations():
     assert np.allclose(got, 3 * want / total)
 
 
+def by_recursion(word, probs, unknown):
+    """The sum over segmentations, one suffix at a time, in plain Python with exact fractions."""
+    ways = {len(word): Fraction(1)}
+    for at in reversed(range(len(word))):
+        ways[at] = Fraction(unknown) * ways[at + 1] + sum(
+            Fraction(p) * ways[at + len(x)] for x, p in probs.items() if word.startswith(x, at))
+    return ways[0]
+
+
+def logarithm(x):
+    return math.log(x.numerator) - math.log(x.denominator)
+
+
+def test_long_runs_sum_all_segmentations():
+    block = "abcdefghij"
+    known = ["▁", block, "abcde", "fghij", "ja", "bcdefghi", "abcdefghi", "j"]
+    probs = np.linspace(0.02, 0.2, len(known))
+    scorer = langid.Scorer(known, probs[:, None], 1e-30)
+    word = block * 6
+
+    def enumerated(at, text):
+        if at == len(text):
+            return 1.0
+        return sum(p * enumerated(at + len(x), text) for x, p in zip(known, probs) if text.startswith(x, at))
+
+    assert np.isclose(scorer.score([word])[0, 0], math.log(enumerated(0, "▁" + word)), rtol=1e-9)
+
+    # Runs with and without places that no piece crosses, over several windows, together in one batch.
+    rng = random.Random(3)
+    dense = {"▁": 0.1, "a": 0.2, "b": 0.1, "ab": 0.2, "ba": 0.15, "bab": 0.05, "aa": 0.1, "bb": 0.1}
+    scorer = langid.Scorer(list(dense), np.array(list(dense.values()))[:, None], 1e-7)
+    words = ["".join(rng.choices("ab", k=n)) for n in (3, 47, 48, 49, 60, 255, 256, 257, 700)]
+    words += ["".join(rng.choices("abc", k=n)) for n in (60, 300)] + ["c" * 120]
+    got = scorer.score(words)[:, 0]
+    assert np.allclose(got, [logarithm(by_recursion("▁" + w, dense, 1e-7)) for w in words], rtol=1e-9)
+
+
+def test_factors_are_cut_where_no_piece_crosses():
+    lattice = Lattice(["a", "ab", "bc", "▁"])
+    assert lattice.factors("abcab") == ["abc", "ab"]
+    assert lattice.factors("▁") == ["▁"] and lattice.factors("aaa") == ["a", "a", "a"]
+    assert langid.factors(lattice, "ab" * 3) == ["▁ababab"]
+
+
+def test_expected_counts_of_a_long_run_add_up():
+    known = ["▁", "a", "b", "ab", "ba"]
+    probs = np.array([0.2, 0.2, 0.2, 0.2, 0.2])
+    for size in (40, 255, 256, 257, 600):
+        word = "▁" + "ab" * size
+        got = langid.expected_counts(Lattice(known), [word, word], np.array([1.0, 2.0]), probs, 1e-300)
+        # Every character is in exactly one piece.
+        assert np.isclose(got @ [len(x) for x in known], 3 * len(word), rtol=1e-6)
+        assert np.isclose(got[1] + got[3] + got[4], 3 * size, rtol=1e-6)
+
+
 def test_languages_held_out_and_odd_rows(spark):
     rng = random.Random(1)
     roots = {"xx": "the of and ing tion er st re".split(), "yy": "der und sch lich ung ein keit ver".split()}
