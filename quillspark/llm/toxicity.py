@@ -3,7 +3,8 @@
 Words become symbols (insult, threat, target, negation, report, break, other)
 through lexicons; a small fixed grammar of five transducers, composed into one
 machine at the start, reads the symbols of a text and emits a match per clause
-that holds an insult or threat, typed by what stands around it. A text's score is
+that holds an insult or threat, typed by what stands around it. The target
+transducer also reads each text from its end, so that targets after a match count. A text's score is
 a logistic function of its matched clauses, not of isolated words: the weights
 of the clause types and the insult lexicon are learned from labels.
 """
@@ -13,7 +14,8 @@ from __future__ import annotations
 import json
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Hashable, Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -55,44 +57,114 @@ REACH = 6  # words within which target, negation and report act on a match
 
 # --- the grammar --------------------------------------------------------------
 
-def grammar() -> tuple[list[list[int]], list[list[int]]]:
-    """(next state, emission) per state and symbol, the five transducers composed.
+@dataclass(frozen=True)
+class Transducer:
+    """A deterministic letter transducer: (state, symbol) -> (next state, symbol written)."""
+
+    start: Hashable
+    moves: dict[tuple[Hashable, Hashable], tuple[Hashable, Hashable]]
+
+    def inputs(self) -> list[Hashable]:
+        return list(dict.fromkeys(symbol for _, symbol in self.moves))
+
+    def run(self, symbols: Iterable[Hashable]) -> list[Hashable]:
+        state, out = self.start, []
+        for symbol in symbols:
+            state, written = self.moves[state, symbol]
+            out.append(written)
+        return out
+
+
+def compose(first: Transducer, second: Transducer) -> Transducer:
+    """The transducer that gives ``second`` what ``first`` writes; reachable pairs of states only."""
+    start = (first.start, second.start)
+    moves, seen, left = {}, {start}, [start]
+    while left:
+        a, b = left.pop()
+        for symbol in first.inputs():
+            to_a, middle = first.moves[a, symbol]
+            to_b, written = second.moves[b, middle]
+            moves[(a, b), symbol] = (to_a, to_b), written
+            if (to_a, to_b) not in seen:
+                seen.add((to_a, to_b))
+                left.append((to_a, to_b))
+    return Transducer(start, moves)
+
+
+# A symbol on the inner tapes is a word's symbol with the marks it has got so far.
+TARGETED, NEGATED, REPORTED = 1, 2, 4
+TAPE = [(word, marks) for word in range(7) for marks in (range(8) if word in (INSULT, THREAT) else [0])]
+
+
+def marking(modifier: int, mark: int, reach: int = REACH) -> Transducer:
+    """Marks the insults and threats within ``reach`` words after a ``modifier`` of the same clause."""
+    moves = {}
+    for left in range(reach + 1):
+        for word, marks in TAPE:
+            on = left > 0 and word in (INSULT, THREAT)
+            following = 0 if word == BREAK else reach if word == modifier else max(0, left - 1)
+            moves[left, (word, marks)] = following, (word, marks | mark if on else marks)
+    return Transducer(0, moves)
+
+
+def insults() -> Transducer:
+    """Writes the type of every insult: a report goes before a negation, a negation before a target."""
+    def typed(marks: int) -> str:
+        if marks & REPORTED:
+            return "reported"
+        if marks & NEGATED:
+            return "negated"
+        return "targeted" if marks & TARGETED else "insult"
+
+    return Transducer(0, {
+        (0, (word, marks)): (0, typed(marks) if word == INSULT else (word, marks)) for word, marks in TAPE})
+
+
+def threats() -> Transducer:
+    """Writes the type of every threat that has a target; without one it is no match. Types pass."""
+    def typed(marks: int) -> str | None:
+        if not marks & TARGETED:
+            return None
+        return "reported" if marks & REPORTED else "negated" if marks & NEGATED else "threat"
+
+    moves = {(0, s): (0, typed(s[1]) if s[0] == THREAT else None) for s in TAPE}
+    return Transducer(0, moves | {(0, kind): (0, kind) for kind in MATCHES})
+
+
+@dataclass(frozen=True)
+class Machine:
+    """The composed grammar as tables.
+
+    ``ahead`` and ``typing`` hold (next state, written) per state and input. An
+    input of ``ahead`` is a word's symbol; an input of ``typing`` is twice that,
+    plus one if a target follows. ``typing`` writes 0 or k + 1 for ``MATCHES[k]``.
+    """
+
+    ahead: list[list[tuple[int, int]]]
+    typing: list[list[tuple[int, int]]]
+
+
+def grammar() -> Machine:
+    """The five transducers composed, and the target transducer for the way back.
 
-    Each modifier transducer counts down from ``REACH`` after its word and is off
-    at zero; a break resets it. The insult and threat transducers emit where
-    their words occur, and the composition types the emission by the modifiers
-    that are on: a report before a negation, a negation before a target. A
-    threat needs a target; without one it is no match. State is the triple of
-    the counters; emission 0 is none, k + 1 is ``MATCHES[k]``.
+    A sequential machine cannot see what follows; so the target transducer first
+    reads the text from its end, and the composition reads what it has marked.
     """
-    n = REACH + 1
-    states = [(t, g, r) for t in range(n) for g in range(n) for r in range(n)]
-    index = {s: i for i, s in enumerate(states)}
-
-    def counter(value: int, on: bool, symbol: int) -> int:
-        if symbol == BREAK:
-            return 0
-        return REACH if on else max(0, value - 1)
-
-    def emit(t: int, g: int, r: int, symbol: int) -> int:
-        if symbol not in (INSULT, THREAT) or (symbol == THREAT and not t):
-            return 0
-        if r:
-            return 1 + MATCHES.index("reported")
-        if g:
-            return 1 + MATCHES.index("negated")
-        if symbol == THREAT:
-            return 1 + MATCHES.index("threat")
-        return 1 + MATCHES.index("targeted" if t else "insult")
-
-    moves, emissions = [], []
-    for t, g, r in states:
-        moves.append([
-            index[counter(t, s == TARGET, s), counter(g, s == NEGATION, s), counter(r, s == REPORT, s)]
-            for s in range(7)
-        ])
-        emissions.append([emit(t, g, r, s) for s in range(7)])
-    return moves, emissions
+    target = marking(TARGET, TARGETED)
+    whole = target
+    for part in (marking(NEGATION, NEGATED), marking(REPORT, REPORTED), insults(), threats()):
+        whole = compose(whole, part)
+    at = {state: i for i, state in enumerate(dict.fromkeys(s for s, _ in whole.moves))}
+    at = {whole.start: 0} | {s: i for i, s in enumerate((s for s in at if s != whole.start), 1)}
+    typing: list[list] = [[(0, 0)] * 14 for _ in at]
+    for (state, (word, marks)), (to, kind) in whole.moves.items():
+        if marks <= TARGETED:  # the only mark of the way back
+            typing[at[state]][2 * word + marks] = (at[to], 1 + MATCHES.index(kind) if kind else 0)
+    ahead = [
+        [(to, 2 * word + marks) for to, (word, marks) in (target.moves[left, (w, 0)] for w in range(7))]
+        for left in range(REACH + 1)
+    ]
+    return Machine(ahead, typing)
 
 
 class Lexicon:
@@ -124,18 +196,21 @@ class Lexicon:
         return OTHER, 0.0
 
 
-def matches(text: str, lexicon: Lexicon, machine) -> list[tuple[str, float]]:
+def matches(text: str, lexicon: Lexicon, machine: Machine) -> list[tuple[str, float]]:
     """The typed clause matches of a text with the weights of their words."""
     tokens = TOKEN.findall(text.lower())
     symbols = list(map(lexicon, tokens))
     if not any(s in (INSULT, THREAT) for s, _ in set(symbols)):
         return []
-    moves, emissions = machine
+    state, marked = 0, []
+    for symbol, _ in reversed(symbols):
+        state, written = machine.ahead[state][symbol]
+        marked.append(written)
     state, out = 0, []
-    for symbol, weight in symbols:
-        if emitted := emissions[state][symbol]:
+    for read, (_, weight) in zip(reversed(marked), symbols):
+        state, emitted = machine.typing[state][read]
+        if emitted:
             out.append((MATCHES[emitted - 1], weight or 1.0))
-        state = moves[state][symbol]
     return out
 
 

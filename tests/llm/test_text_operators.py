@@ -191,10 +191,59 @@ def test_clauses_are_typed(machine):
     assert kinds("she said: idiot") == ["reported"]
     assert kinds("I will hurt it. I like you. you: I will hurt you") == ["threat"]
     assert kinds("not now. an idiot") == ["insult"]
+    assert kinds("an idiot is what you are") == ["targeted"]
+    assert kinds("I hurt you. hurt it") == ["threat"] and kinds("idiot. you") == ["insult"]
     assert kinds("der grobian grobheit gro") == ["insult", "insult"]
     assert kinds("") == [] and kinds("you they not said") == []
 
 
+def typed_by_hand(symbols):
+    """What stands within reach of every insult and threat in its clause, looked up one by one."""
+    out = []
+    for i, s in enumerate(symbols):
+        if s not in (toxicity.INSULT, toxicity.THREAT):
+            continue
+
+        def near(kind, step):
+            for j in range(i + step, i + step * (toxicity.REACH + 1), step):
+                if not 0 <= j < len(symbols) or symbols[j] == toxicity.BREAK:
+                    return False
+                if symbols[j] == kind:
+                    return True
+            return False
+
+        target = near(toxicity.TARGET, -1) or near(toxicity.TARGET, 1)
+        if s == toxicity.THREAT and not target:
+            continue
+        if near(toxicity.REPORT, -1):
+            out.append("reported")
+        elif near(toxicity.NEGATION, -1):
+            out.append("negated")
+        else:
+            out.append("threat" if s == toxicity.THREAT else "targeted" if target else "insult")
+    return out
+
+
+def test_composed_grammar_equals_looking_around(machine):
+    rng = random.Random(11)
+    words = {toxicity.INSULT: "idiot", toxicity.THREAT: "hurt", toxicity.TARGET: "you", toxicity.NEGATION: "not",
+             toxicity.REPORT: "said", toxicity.BREAK: ".", toxicity.OTHER: "tree"}
+    lexicon = toxicity.Lexicon({"idiot": 1.0}, {})
+    for _ in range(3000):
+        symbols = rng.choices(range(7), weights=[3, 2, 2, 2, 1, 1, 9], k=rng.randint(0, 40))
+        got = toxicity.matches(" ".join(words[s] for s in symbols), lexicon, machine)
+        assert [k for k, _ in got] == typed_by_hand(symbols)
+
+
+def test_composition_runs_one_transducer_after_the_other():
+    rng = random.Random(12)
+    one, two = toxicity.marking(toxicity.NEGATION, toxicity.NEGATED), toxicity.marking(toxicity.REPORT, toxicity.REPORTED, 2)
+    both = toxicity.compose(one, two)
+    for _ in range(200):
+        tape = rng.choices(toxicity.TAPE, k=30)
+        assert both.run(tape) == two.run(one.run(tape))
+
+
 def test_learned_words_and_scores(spark, docs):
     rng = random.Random(4)
     words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(300)]
