@@ -31,7 +31,7 @@ START = "▁"  # the vocabulary's mark of a word start
 WORDS = re.compile(r"[^\W\d_]+")
 HAS_LETTER = re.compile(r"[^\W\d_]")
 WINDOW = 256  # characters whose pieces are looked up at a time
-CELLS = 960_000  # words times characters in such a lookup
+CELLS = 240_000  # words times characters in such a lookup
 
 
 def load_pieces(path: str) -> list[str]:
@@ -104,7 +104,7 @@ class Scorer:
                     groups.setdefault(size, []).append((i, c))
             rows = np.zeros((len(new), self.probs.shape[1]))
             for size, group in groups.items():
-                step = CELLS // min(size, WINDOW + self.lattice.longest)
+                step = min(20_000, CELLS // min(size, WINDOW + self.lattice.longest))
                 for k in range(0, len(group), step):
                     part = group[k:k + step]
                     np.add.at(rows, [i for i, _ in part], self.forward([c for _, c in part]))
