@@ -8,10 +8,11 @@ from catalog.registry import documents, query, table
 from catalog.web import BFS_SQL, _crawl
 from quillspark.functions import text as T
 from quillspark.operators import graph
+from quillspark.operators.corpus import parse_header
 from quillspark.operators.ordering import write_in_order
 from quillspark.runtime import scratch_path
 from quillspark.sources import tables
-from quillspark.sources.text import read_log_lines
+from quillspark.sources.text import read_corpus_text, read_log_lines, write_corpus_text
 from quillspark.sources.trees import read_csv, read_text_files
 from quillspark.streaming.ingest import pending_retries, retry_failed, start_ingest
 
@@ -69,6 +70,35 @@ def csv_file(spark, sf_dir):
     return read_csv(spark, path)
 
 
+@query("csv_quoted_splits", "SELECT doc_id::VARCHAR AS doc_id, text, source FROM documents")
+def csv_quoted_splits(spark, sf_dir):
+    """Whole texts as quoted fields, with doubled quotes; their lines are read in splits."""
+    path = scratch_path(spark, "csv-quoted")
+    documents(spark, sf_dir).select("doc_id", "text", "source").write.options(
+        header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+    return read_csv(spark, path, escape='"')
+
+
+@query(
+    "corpus_large_entry",
+    """SELECT 'source=' || coalesce(source, '') AS repo, count(*) AS entries, sum(length(text) + 1)::BIGINT AS chars
+    FROM (SELECT source, replace(replace(text, chr(13), ''), '[', '(') AS text FROM documents WHERE text IS NOT NULL)
+    GROUP BY source""",
+)
+def corpus_large_entry(spark, sf_dir):
+    """A corpus whose entries are whole texts, read back without gathering: counts and sizes per repository."""
+    path = scratch_path(spark, "corpus-large")
+    docs = documents(spark, sf_dir).where("text IS NOT NULL").select(
+        F.concat(F.lit("source="), F.coalesce("source", F.lit(""))).alias("repo"), F.col("doc_id").cast("string").alias("path"),
+        F.replace(F.replace("text", F.lit("\r"), F.lit("")), F.lit("["), F.lit("(")).alias("content"))
+    write_corpus_text(docs, path)
+    entry = read_corpus_text(spark, path).select("entry")
+    head = F.substring_index("entry", "\n", 1)
+    return entry.groupBy(parse_header(head)["repo"].alias("repo")).agg(
+        F.count(F.lit(1)).alias("entries"),
+        F.sum(F.length(F.rtrim("entry", F.lit("\n"))) - F.length(head)).cast("long").alias("chars"))
+
+
 @query("graph_csv", f"{BFS_SQL} SELECT url, depth::VARCHAR AS depth, rank::VARCHAR AS rank FROM nodes")
 def graph_csv(spark, sf_dir):
     path = scratch_path(spark, "graph")

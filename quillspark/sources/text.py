@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillspark.operators.corpus import HEADER_LINE, RULE, format_entry
-from quillspark.operators.ordering import running_max, write_in_order
+from quillspark.operators.ordering import write_in_order
 from quillspark.runtime import cut_lineage
+from quillspark.sources.splits import read_records
 
 
 def positioned_text(spark: SparkSession, path: str, sep: str = "\n") -> DataFrame:
@@ -51,30 +54,22 @@ def read_separated(spark: SparkSession, path: str, sep: str = RULE) -> DataFrame
 
 
 def read_corpus_text(spark: SparkSession, path: str) -> DataFrame:
-    """(file, line_no, entry) of a text corpus, however large the file is.
+    """(file, begin, line, entry) of a text corpus, however large the file is.
 
     The text is read in pieces that start with ``[`` at a line start. A piece with
     a full header line starts an entry; the others belong to the entry before.
-    Text before the first header names no file and is left out.
+    Text before the first header names no file and is left out. ``begin`` and
+    ``line`` give the order of a file's entries.
     """
-    pieces = positioned_text(spark, path, sep="\n[")
-    whole = F.when(F.col("line_no") == 0, F.col("value")).otherwise(
-        F.concat(F.lit("["), F.col("value"))
-    )
-    pieces = pieces.select("file", "line_no", whole.alias("value"))
-    starts = F.when(F.concat("value", F.lit("\n")).rlike(HEADER_LINE), F.col("line_no"))
-    owned = running_max(pieces, starts, "line_no", ["file"], "_entry")
-    parts = F.array_sort(F.collect_list(F.struct("line_no", "value")))
-    return (
-        owned.where(F.col("_entry").isNotNull())
-        .groupBy("file", "_entry")
-        .agg(parts.alias("_parts"))
-        .select(
-            "file",
-            F.col("_entry").alias("line_no"),
-            F.array_join(F.transform("_parts", lambda p: p["value"]), "\n").alias("entry"),
-        )
-    )
+    header = re.compile(HEADER_LINE.removeprefix("(?d)"))
+
+    def step(first: bool, piece: str, state: int) -> tuple[bool, int]:
+        return bool(header.match(f"{piece}\n" if first else f"[{piece}\n")), 0
+
+    entries = read_records(spark, path, step, sep="\n[")
+    opened = (F.col("begin") == 0) & (F.col("line") == 0)  # the only piece whose bracket is in it
+    whole = F.when(opened, F.col("text")).otherwise(F.concat(F.lit("["), F.col("text")))
+    return entries.select("file", "begin", "line", whole.alias("entry"))
 
 
 def write_corpus_text(entries: DataFrame, path: str) -> None:

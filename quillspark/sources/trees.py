@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+import io
 import re
 from collections.abc import Iterator, Sequence
 
@@ -10,6 +12,8 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillspark.sources.splits import read_records
+
 TREE_SUFFIXES = (".md", ".txt", ".csv", ".json", ".yaml", ".yml")
 FILE_SCHEMA = "repo string, path string, length long, content binary"
 
@@ -125,6 +129,66 @@ def read_text_files(
     )
 
 
-def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """One large delimited file with a header row; quoted line breaks allowed."""
-    return spark.read.option("header", True).option("multiLine", True).csv(path)
+def quoted_lines(escape: str = "\\", sep: str = ","):
+    """The step of delimited text: a line starts a record unless a quoted field is open.
+
+    A quote opens a field only at the field's start; what follows a closing quote
+    belongs to the field up to the separator.
+    """
+    inner = r'(?:[^"]|"")' if escape == '"' else rf'(?:[^"{re.escape(escape)}]|{re.escape(escape)}(?:.|$))'
+    closing = re.compile(rf'{inner}*+"[^{re.escape(sep)}]*', re.S)
+
+    def step(first: bool, line: str, state: int) -> tuple[bool, int]:
+        starts = state == 0
+        if '"' not in line:
+            return starts, state
+        at, is_open = 0, state == 1
+        while True:
+            if not is_open:
+                if not line.startswith('"', at):
+                    at = line.find(sep + '"', at) + 1
+                    if not at:
+                        return starts, 0
+                at, is_open = at + 1, True
+            closed = closing.match(line, at)
+            if closed is None:
+                return starts, 1
+            at, is_open = closed.end() + 1, False
+            if at > len(line):
+                return starts, 0
+
+    return step
+
+
+def _column_names(header: str, escape: str) -> list[str]:
+    double = escape == '"'
+    cells = next(csv.reader(
+        io.StringIO(header, newline=""), doublequote=double, escapechar=None if double else escape), [])
+    lowered = [c.lower() for c in cells]
+    return [
+        f"_c{i}" if not c else f"{c}{i}" if lowered.count(c.lower()) > 1 else c
+        for i, c in enumerate(cells)
+    ]
+
+
+def read_csv(spark: SparkSession, path: str, escape: str = "\\") -> DataFrame:
+    """Large delimited files with a header row, read in splits; quoted line breaks allowed.
+
+    All columns are strings. ``escape`` stands before a quote inside a quoted field:
+    a backslash, as Spark writes it, or a second quote. Every file's first record is
+    its header, the names are those of one of them. Blank lines are no rows, missing
+    cells are null, surplus ones are left out; an unquoted empty cell is null, a quoted one empty.
+    """
+    records = read_records(spark, path, quoted_lines(escape))
+    is_header = (F.col("begin") == 0) & (F.col("line") == 0)
+    header = records.where(is_header).first()
+    names = _column_names(header["text"].removesuffix("\r"), escape) if header else []
+    schema = ", ".join(f"c{i} string" for i in range(len(names)))
+    if not names:
+        return spark.createDataFrame([], schema="struct<>")
+    # With a character of no text for null, a quoted empty cell stays apart from a missing one.
+    options = {"escape": escape, "multiLine": "true", "maxCharsPerColumn": "-1", "nullValue": "\ufffe"}
+    text = F.regexp_replace("text", "\r$", "")
+    rows = records.where(~is_header).select(text.alias("text")).where(F.col("text") != "")
+    cells = rows.select(F.from_csv("text", F.lit(schema), options).alias("c"))
+    return cells.select(*(F.col(f"c.c{i}").alias(n) for i, n in enumerate(names)))
