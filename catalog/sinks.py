@@ -11,7 +11,7 @@ from quillspark.operators import graph
 from quillspark.operators.corpus import parse_header
 from quillspark.operators.ordering import write_in_order
 from quillspark.runtime import scratch_path
-from quillspark.sources import tables
+from quillspark.sources import tables, winners
 from quillspark.sources.text import read_corpus_text, read_log_lines, write_corpus_text
 from quillspark.sources.trees import read_csv, read_text_files
 from quillspark.streaming.ingest import pending_retries, retry_failed, start_ingest
@@ -144,6 +144,49 @@ def collapsed_text(spark, sf_dir):
     return documents(spark, sf_dir).select("doc_id", T.collapse_ws(F.col("text")).alias("text"))
 
 
+# --- first-wins by increments ----------------------------------------------------
+
+_INCREMENTS = 5
+
+
+def _taken_in(spark, sf_dir, compact_at=None):
+    """All events in five increments that come out of order; later ones take keys from earlier ones."""
+    path, base, changes = scratch_path(spark, "winners"), -1, []
+    found = table(spark, sf_dir, "events").select(
+        F.col("user_id").alias("id"), F.col("event_type").alias("query"), "event_id")
+    for k in reversed(range(_INCREMENTS)):
+        part = found.where(F.pmod("event_id", F.lit(_INCREMENTS)) == k)
+        number = _INCREMENTS - 1 - k
+        changes.append(winners.add_increment(path, part, ["id"], ["event_id"], number, base))
+        if number == compact_at:
+            base = winners.compact(spark, path, ["id"], ["event_id"], number)
+    return path, base, changes
+
+
+@query(
+    "first_wins_increments",
+    "SELECT user_id AS id, arg_min(event_type, event_id) AS query, min(event_id) AS event_id FROM events GROUP BY user_id",
+)
+def first_wins_increments(spark, sf_dir):
+    path, base, _ = _taken_in(spark, sf_dir, compact_at=2)
+    return winners.winners(spark, path, ["id"], ["event_id"], _INCREMENTS, base)
+
+
+@query(
+    "query_stats_increments",
+    """SELECT event_type AS query, (count(*) FILTER (WHERE first))::BIGINT AS new_items FROM (
+      SELECT event_type, event_id = min(event_id) OVER (PARTITION BY user_id) AS first FROM events)
+    GROUP BY event_type HAVING count(*) FILTER (WHERE first) > 0""",
+)
+def query_stats_increments(spark, sf_dir):
+    """Items per query that was first to find them, as the sum of what each increment changed."""
+    _, _, changes = _taken_in(spark, sf_dir)
+    net = winners.net_counts(changes[0], "query")
+    for c in changes[1:]:
+        net = net.unionByName(winners.net_counts(c, "query"))
+    return net.groupBy("query").agg(F.sum("n").alias("new_items")).where("new_items > 0")
+
+
 # --- ingest that goes on, and failed rows ---------------------------------------
 
 _FIRST_SQL = "SELECT user_id AS id, arg_min(value, event_id) AS value, min(event_id) AS event_id FROM events GROUP BY user_id"
