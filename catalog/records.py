@@ -13,7 +13,14 @@ from quillspark.runtime import scratch_path
 from quillspark.sources import state
 from quillspark.sources.api import explode_docs
 from quillspark.sources.tables import read_records, require, union_sources
-from quillspark.streaming.ingest import first_of_visits, retry_failed, start_ingest, stream_unseen
+from quillspark.streaming.ingest import (
+    first_of_visits,
+    generation_folders,
+    reset_ingest,
+    retry_failed,
+    start_ingest,
+    stream_unseen,
+)
 from quillspark.streaming.progress import start_progress
 from quillspark.streaming.training import start_training
 
@@ -221,6 +228,31 @@ def recordings_old(spark, sf_dir):
     )
 
 
+@query(
+    "recordings_old_lists",
+    """SELECT o_custkey::VARCHAR AS identifier,
+      string_agg('No ' || o_orderkey || ' & ' || trim(o_orderpriority), '|' ORDER BY o_orderkey) AS setlist,
+      count(*)::INT AS n, 'at ' || o_custkey AS description
+    FROM orders GROUP BY o_custkey""",
+)
+def recordings_old_lists(spark, sf_dir):
+    """Recordings whose track lists hold markup in every element, cleaned one by one."""
+    track = F.concat(
+        F.lit(" <b>No "), F.col("o_orderkey").cast("string"), F.lit("</b> &amp; <i>"),
+        F.trim("o_orderpriority"), F.lit("</i>\n"),
+    )
+    tracks = F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", track.alias("t")))), lambda x: x["t"])
+    doc = F.to_json(F.struct(
+        tracks.alias("tracklist"), F.concat(F.lit("<p>at "), F.col("o_custkey").cast("string")).alias("description")))
+    items = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(doc.alias("doc")).select(
+        F.col("o_custkey").cast("string").alias("identifier"), F.parse_json("doc").alias("metadata")
+    )
+    return records.extract_recording_old(items, lists=True).select(
+        "identifier", F.array_join("setlist", "|").alias("setlist"), F.size("setlist").alias("n"),
+        F.get("description", F.lit(0)).alias("description"),
+    )
+
+
 @query(
     "api_pages",
     """SELECT floor(o_orderkey / 100)::BIGINT AS page, (o_orderkey % 100)::INT AS rank,
@@ -532,6 +564,25 @@ def stream_ingest(spark, sf_dir):
     return union_sources(ok, failed).drop("run", "batch_id")
 
 
+@query(
+    "stream_ingest_reset",
+    """SELECT user_id AS id, arg_min(value, event_id) AS value, min(event_id) AS event_id
+    FROM events GROUP BY user_id""",
+)
+def stream_ingest_reset(spark, sf_dir):
+    """The later half of the events, a reset, then all of them: nothing of the first run is left."""
+    path = scratch_path(spark, "reset")
+    rows = table(spark, sf_dir, "events").select(F.col("user_id").alias("id"), "value", "event_id")
+    middle = rows.agg(F.median("event_id")).first()[0] or 0
+    good = lambda batch: batch.withColumn("error", F.lit(None).cast("string"))
+    for k, part in enumerate([rows.filter(F.col("event_id") >= middle), rows]):
+        part.write.parquet(f"{path}/source{k}")
+        data, mark = reset_ingest(spark, f"{path}/out") if k else generation_folders(spark, f"{path}/out")
+        arrivals = spark.readStream.schema(rows.schema).parquet(f"{path}/source{k}")
+        start_ingest(arrivals, good, data, mark, order=["event_id"]).awaitTermination()
+    return spark.read.parquet(f"{data}/records").select("id", "value", "event_id")
+
+
 @query(
     "stream_ingest_resumed",
     """WITH e AS (SELECT user_id AS id, value, event_id, event_id % 2 AS half FROM events),

@@ -131,6 +131,11 @@ def html_text(c: Column, sep: str | None = " ") -> Column:
     return text_of(visible(F.replace(c, F.lit(MARK))), sep)
 
 
+def html_texts(c: Column, sep: str | None = " ") -> Column:
+    """``html_text`` of every element of a list; null elements stay, a null list is null."""
+    return F.transform(c, lambda x: html_text(x, sep))
+
+
 def _raw_attribute(tag: Column, name: str) -> Column:
     """The attribute's text, found by passing over the attributes before it one by one."""
     value = r"""(?:"[^"]*+"|'[^']*+'|[^\s>]*+)"""

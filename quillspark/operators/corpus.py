@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.functions.text import blank_to_null, let, strip, thousands
-from quillspark.operators.ordering import number_rows
+from quillspark.operators.ordering import number_by
 
 # The entry header line and the episode rule.
 HEADER_AHEAD = r"(?d)\n(?=\[.+?\] :: \[.+?\]\n)"
@@ -52,8 +52,8 @@ def parse_entries(entries: DataFrame, text: str = "entry", shortest: int = 100)
 
 def number_episodes(transcripts: DataFrame, tie: str) -> DataFrame:
     """Episode numbers in title order, missing titles first; ``tie`` is the input position."""
-    return number_rows(
-        transcripts.withColumn("title", F.coalesce("title", F.lit(""))), ["title", tie], "episode"
+    return number_by(
+        transcripts.withColumn("title", F.coalesce("title", F.lit(""))), ["title"], tie, "episode"
     )
 
 

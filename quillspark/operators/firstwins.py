@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +24,35 @@ def dedup_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(first).select(*keys, "_first.*").select(*df.columns)
 
 
+def first_rows(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """``dedup_first`` for rows with large columns: the winners' keys and orders pick them.
+
+    The aggregate sees ``keys`` and ``order`` only; the rows are read a second time and
+    meet the winners in a semi-join, sent to all tasks where they are small. A hot key
+    is spread by its orders. ``order`` must be unique within a key, nulls included.
+    """
+    if not set(df.columns) - {*keys, *order}:
+        return dedup_first(df, keys, order)
+    winners = dedup_first(df.select(*dict.fromkeys([*keys, *order])), keys, order)
+    return _matching(df, winners)
+
+
+def unseen_rows(
+    new: DataFrame, seen: DataFrame, key: str, order: list[str]
+) -> DataFrame:
+    """``unseen`` with ``order``, for rows with large columns: only keys and orders are aggregated."""
+    narrow = new.select(*dict.fromkeys([key, *order]))
+    return _matching(new, unseen(narrow, seen, key, order))
+
+
+def _matching(df: DataFrame, chosen: DataFrame) -> DataFrame:
+    """Rows of ``df`` that agree with a row of ``chosen`` in all its columns, null being a value."""
+    names = {c: f"_chosen_{i}" for i, c in enumerate(chosen.columns)}
+    right = chosen.withColumnsRenamed(names)
+    same = [F.col(c).eqNullSafe(F.col(n)) for c, n in names.items()]
+    return df.join(right, reduce(and_, same), "left_semi")
+
+
 def unseen(
     new: DataFrame, seen: DataFrame, key: str = "id", order: list[str] | None = None
 ) -> DataFrame:

@@ -45,9 +45,39 @@ def distinct_links(links: DataFrame) -> DataFrame:
     return dedup_first(links, ["page_id", "url"], ["pos"])
 
 
+def first_targets(links: Column, order: Sequence[str] = ("pos",)) -> Column:
+    """The links of one page, each ``url`` once, the first in ``order``, which is unique in the array.
+
+    Sorted inside the row and kept where the target changes, so nothing is shuffled
+    and a page with very many links costs no square of them.
+    """
+    rest = ("pos", "title", "text")
+    keyed = F.transform(links, lambda x: F.struct(
+        x["url"].alias("url"), F.struct(*[x[o].alias(o) for o in order]).alias("at"),
+        F.struct(*[x[r].alias(r) for r in rest]).alias("rest")))
+    return let(F.array_sort(keyed), lambda s: F.filter(
+        s, lambda x, i: (i == 0) | ~x["url"].eqNullSafe(F.get(s, i - 1)["url"])))
+
+
+def _absolute(base: Column, link: Column, title: Column, *more: Column) -> Column:
+    return F.struct(
+        urls.url_join(base, link["href"]).alias("url"), link["pos"].alias("pos"), title.alias("title"),
+        link["text"].alias("text"), *more)
+
+
 def item_links(pages: DataFrame, pattern: str = r"/items/show/(\d+)", base: Column | None = None):
-    """Distinct item links of listing pages."""
-    return distinct_links(extract_links(pages, base, pattern))
+    """Distinct item links of listing pages; a page is one row, so no shuffle is needed.
+
+    Null markup has no links. Rows that repeat a page repeat its links.
+    """
+    base = F.col("url") if base is None else base
+    found = F.filter(html.links_of(F.col("html")), lambda x: x["href"].rlike(pattern))
+    made = F.transform(found, lambda x: _absolute(F.col("_base"), x, x["title"]))
+    return (
+        pages.select("page_id", base.alias("_base"), "html")
+        .select("page_id", F.explode(first_targets(made)).alias("_l"))
+        .select("page_id", "_l.rest.pos", "_l.url", "_l.rest.title", "_l.rest.text")
+    )
 
 
 def episode_links(
@@ -82,32 +112,28 @@ def link_candidates(
     """Links of several selectors, the earlier selector first; title attribute before text.
 
     ``href_contains`` stays in the JVM; ``selectors`` may look at the element tree.
-    A target is listed once per page, after the title gate.
+    A target is listed once per page, after the title gate; a page is one row, so
+    nothing is shuffled.
     """
     base = F.col("url") if base is None else base
     if selectors:
         found = markup.select_links(F.col("html"), selectors, container)
-        links = pages.select("page_id", base.alias("_base"), F.explode(found).alias("_l"))
-        links = links.withColumn("sel", F.col("_l.sel"))
     else:
-        links = pages.select(
-            "page_id", base.alias("_base"), F.explode(html.links_of(F.col("html"))).alias("_l")
-        )
-        tests = [
-            F.when(F.contains(F.col("_l.href"), F.lit(part)), F.lit(i))
-            for i, part in enumerate(href_contains or [""])
-        ]
-        links = links.withColumn("sel", F.coalesce(*tests)).where(F.col("sel").isNotNull())
-    title = F.coalesce(F.nullif(F.col("_l.title"), F.lit("")), F.col("_l.text"))
-    gated = links.select(
-        "page_id",
-        "sel",
-        F.col("_l.pos").alias("pos"),
-        urls.url_join(F.col("_base"), F.col("_l.href")).alias("url"),
-        title.alias("title"),
-        F.col("_l.text").alias("text"),
-    ).where((F.length("title") > longer_than) & ~F.lower("title").isin(*stop_titles))
-    return dedup_first(gated, ["page_id", "url"], ["sel", "pos"])
+        tests = lambda x: F.coalesce(*[
+            F.when(F.contains(x["href"], F.lit(part)), F.lit(i)) for i, part in enumerate(href_contains or [""])])
+        found = F.transform(html.links_of(F.col("html")), lambda x: x.withField("sel", tests(x)))
+
+    def made(x: Column) -> Column:
+        title = F.coalesce(F.nullif(x["title"], F.lit("")), x["text"])
+        return _absolute(F.col("_base"), x, title, x["sel"].alias("sel"))
+
+    gated = F.filter(F.transform(found, made), lambda x: (
+        x["sel"].isNotNull() & (F.length(x["title"]) > longer_than) & ~F.lower(x["title"]).isin(*stop_titles)))
+    return (
+        pages.select("page_id", base.alias("_base"), "html")
+        .select("page_id", F.explode(first_targets(gated, ("sel", "pos"))).alias("_l"))
+        .select("page_id", "_l.at.sel", "_l.rest.pos", "_l.url", "_l.rest.title", "_l.rest.text")
+    )
 
 
 def bracket_links(

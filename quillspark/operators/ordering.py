@@ -44,6 +44,18 @@ def number_rows(df: DataFrame, order: list, name: str = "n") -> DataFrame:
     return number_and_count(df, order, name)[0]
 
 
+def number_by(df: DataFrame, order: list[str], tie: str, name: str = "n") -> DataFrame:
+    """``number_rows`` for rows with large columns: only ``order`` and ``tie`` are sorted.
+
+    ``tie`` is unique, nulls included, and brings the numbers back to the rows. They
+    are sent to all tasks where they are small, and the large columns then stay where they are.
+    """
+    keys = dict.fromkeys([*order, tie])
+    numbered = number_rows(df.select(*keys), [*order, tie], name)
+    numbers = numbered.select(F.col(tie).alias("_tie"), name)
+    return df.join(numbers, F.col(tie).eqNullSafe(F.col("_tie"))).drop("_tie")
+
+
 def running_max(
     df: DataFrame,
     value: Column,

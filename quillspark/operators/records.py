@@ -232,22 +232,42 @@ def extract_recording(items: DataFrame, metadata: str = "metadata") -> DataFrame
     )
 
 
-def extract_recording_old(items: DataFrame, metadata: str = "metadata") -> DataFrame:
-    """The earlier recording record: first setlist field, raw text, download counters."""
+def variant_list(v: Column, path: str) -> Column:
+    """A list field as strings, a scalar as a list of one; null when empty or absent."""
+    found = F.coalesce(
+        F.try_variant_get(v, path, "array<string>"),
+        F.array(variant_text(v, path)),
+    )
+    return F.when((F.size(found) > 0) & F.exists(found, lambda x: x.isNotNull()), found)
+
+
+def extract_recording_old(
+    items: DataFrame, metadata: str = "metadata", lists: bool = False
+) -> DataFrame:
+    """The earlier recording record: first setlist field, raw text, download counters.
+
+    ``lists`` gives description and setlist as lists whose elements are cleaned one
+    by one, a single text as a list of one, [] where there is none.
+    """
     v = F.col(metadata)
 
     def number(field: str, kind: str) -> Column:
         return F.coalesce(F.try_variant_get(v, f"$.{field}", kind), F.lit(0).cast(kind))
 
-    setlist = F.coalesce(*(variant_words(v, f"$.{f}") for f in OLD_SETLIST_FIELDS))
+    def cleaned(*fields: str) -> Column:
+        if lists:
+            found = F.coalesce(*(variant_list(v, f"$.{f}") for f in fields))
+            return F.coalesce(html.html_texts(found, None), F.expr("cast(array() as array<string>)"))
+        return html.html_text(F.coalesce(*(variant_words(v, f"$.{f}") for f in fields)), None)
+
     error = F.when(v.isNull(), F.lit("no metadata"))
     records = empty_for_null(
         items.select(
             "identifier",
             *(variant_text(v, f"$.{f}").alias(f) for f in ("title", "date", "venue")),
-            html.html_text(variant_words(v, "$.description"), None).alias("description"),
+            cleaned("description").alias("description"),
             as_string_array(v, "$.subject").alias("subject"),
-            html.html_text(setlist, None).alias("setlist"),
+            cleaned(*OLD_SETLIST_FIELDS).alias("setlist"),
             variant_text(v, "$.creator").alias("creator"),
             as_string_array(v, "$.collection").alias("collection"),
             *(variant_text(v, f"$.{f}").alias(f) for f in ("mediatype", "year", "source", "uploader")),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.operators.firstwins import dedup_first, unseen
+from quillspark.operators.firstwins import first_rows, unseen, unseen_rows
 from quillspark.operators.links import item_links
 from quillspark.operators.ordering import limit_first
 from quillspark.operators.records import extract_item, extract_transcript
@@ -27,7 +27,7 @@ def items_from_pages(
     title_suffix: str | None = None,
 ) -> DataFrame:
     """Records of unseen item pages; the filter runs before any parsing."""
-    fresh = unseen(pages, seen.withColumnRenamed("id", "url"), "url", ["page_id"])
+    fresh = unseen_rows(pages, seen.withColumnRenamed("id", "url"), "url", ["page_id"])
     return extract_item(fresh, creator_phrase, title_suffix)
 
 
@@ -35,10 +35,10 @@ def transcripts_from_pages(
     pages: DataFrame, seen: DataFrame, scraped_at: str | None = None
 ) -> DataFrame:
     """Transcript records of unseen episode pages."""
-    fresh = unseen(pages, seen.withColumnRenamed("id", "url"), "url", ["page_id"])
+    fresh = unseen_rows(pages, seen.withColumnRenamed("id", "url"), "url", ["page_id"])
     return extract_transcript(fresh, scraped_at=scraped_at)
 
 
 def crawl_inputs(pages: DataFrame) -> DataFrame:
     """Each URL once, at its first landing."""
-    return dedup_first(pages, ["url"], ["page_id"])
+    return first_rows(pages, ["url"], ["page_id"])

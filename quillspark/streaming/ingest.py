@@ -166,6 +166,25 @@ def retry_failed(
         ingest_batch(extract, out, key, order, f"retry-{uuid.uuid4().hex}")(again, 0)
 
 
-def reset_state(out: str, generation: int) -> tuple[str, str]:
-    """(output, checkpoint) folders of a new generation, so nothing old is appended to."""
-    return f"{out}/generation={generation}/data", f"{out}/generation={generation}/checkpoint"
+def _newest(spark: SparkSession, out: str) -> int:
+    known = read_if_there(spark, f"{out.rstrip('/')}/generations")
+    return 0 if known is None else known.agg(F.max("generation")).first()[0]
+
+
+def generation_folders(spark: SparkSession, out: str) -> tuple[str, str]:
+    """(output, checkpoint) folders of the newest generation under ``out``; 0 before any reset."""
+    at = f"{out.rstrip('/')}/generation={_newest(spark, out)}"
+    return f"{at}/data", f"{at}/checkpoint"
+
+
+def reset_ingest(spark: SparkSession, out: str) -> tuple[str, str]:
+    """Forget all progress under ``out``: the folders of a new, empty generation.
+
+    Records, errors, seen keys and offsets all start anew, since they live in those
+    folders. Every reader that asks ``generation_folders`` follows; the older
+    generations stay to be read or deleted by hand. One caller may reset at a time.
+    """
+    number = _newest(spark, out) + 1
+    spark.range(number, number + 1, numPartitions=1).toDF("generation").write.mode("append").parquet(
+        f"{out.rstrip('/')}/generations")
+    return generation_folders(spark, out)

@@ -25,6 +25,20 @@ def test_episode_links_keep_the_first_title(pages):
     assert got == [("https://h/e/1", "First one"), ("https://h/e/3", "Sixsix")]
 
 
+def test_links_of_a_page_are_distinct_without_a_shuffle(spark, pages):
+    got = rows(links.item_links(pages, r"^/e/"), "pos", "url", "text")
+    assert got == [(0, "https://h/e/1", "First one"), (2, "https://h/e/2", "Short"), (3, "https://h/e/3", "Sixsix")]
+    assert got == rows(links.distinct_links(links.extract_links(pages, pattern=r"^/e/")), "pos", "url", "text")
+    for found in (links.item_links(pages), links.link_candidates(pages, href_contains=["/"])):
+        assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    empty = spark.createDataFrame([(2, "https://h/", None), (3, None, "<a href='/e/1'>Long title</a>")], pages.schema)
+    assert rows(links.item_links(empty, "^/e/"), "page_id") == [(3,)]
+    # Many links to few targets: sorted once, not compared in pairs.
+    html = "".join(f'<a href="/e/{i % 7}">number {i}</a>' for i in range(20_000))
+    many = spark.createDataFrame([(4, "https://h/", html)], pages.schema)
+    assert rows(links.item_links(many, "^/e/"), "pos") == [(i,) for i in range(7)]
+
+
 def test_candidates_gate_titles_and_prefer_earlier_selectors(pages):
     got = rows(links.link_candidates(pages, href_contains=["/e/3", "/"]), "sel", "url")
     assert (0, "https://h/e/3") in got and all(u != "https://h/m" for _, u in got)
@@ -158,3 +172,11 @@ def test_running_max_over_blocks(spark):
     for g, i, v in data:
         best[g] = max((x for x in (best.get(g), v) if x is not None), default=None)
         assert got[(g, i)] == best[g]
+
+
+def test_numbers_of_narrow_rows_come_back_to_the_texts(spark):
+    data = [(None if i == 3 else i, "t" if i % 2 else None, "x" * 50) for i in range(40)]
+    df = spark.createDataFrame(data, "id int, title string, body string").repartition(5)
+    got = {r.id: (r.n, r.body) for r in ordering.number_by(df, ["title"], "id").collect()}
+    want = sorted(data, key=lambda r: (r[1] is not None, r[1] or "", r[0] is not None, r[0] or 0))
+    assert got == {r[0]: (k, r[2]) for k, r in enumerate(want, 1)}

@@ -97,8 +97,26 @@ def test_a_replayed_batch_overwrites_itself(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/records").count() == 1
 
 
-def test_reset_uses_a_new_generation():
-    assert ingest.reset_state("o", 1) != ingest.reset_state("o", 2)
+def test_reset_forgets_records_errors_and_offsets(spark, tmp_path):
+    src, out = str(tmp_path / "src"), str(tmp_path / "out")
+    schema = "id string, pos int, bad boolean"
+    land(spark, src, [("a", 1, False), ("b", 2, True)])
+
+    def run():
+        data, mark = ingest.generation_folders(spark, out)
+        stream = spark.readStream.schema(schema).json(src)
+        ingest.start_ingest(stream, fail_bad, data, mark, order=["pos"]).awaitTermination()
+        return data
+
+    first = run()
+    assert run() == first and spark.read.parquet(f"{first}/records").count() == 1
+    land(spark, src, [("a", 0, False)])
+    second, _ = ingest.reset_ingest(spark, out)
+    assert run() == second != first
+    assert [(r.id, r.pos) for r in spark.read.parquet(f"{second}/records").collect()] == [("a", 0)]
+    assert [r.id for r in ingest.pending_retries(spark, second).collect()] == ["b"]
+    assert [(r.id, r.pos) for r in spark.read.parquet(f"{first}/records").collect()] == [("a", 1)]
+    assert ingest.reset_ingest(spark, out)[0] not in (first, second)
 
 
 def test_stream_unseen_equals_batch(spark, tmp_path):

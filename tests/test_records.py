@@ -55,11 +55,11 @@ def test_transcript_blocks_fall_back_to_main_content(spark):
 
 @pytest.fixture
 def recording(spark):
-    def run(doc, old=False):
+    def run(doc, old=False, **options):
         df = spark.createDataFrame([("i", json.dumps(doc))], "identifier string, j string").select(
             "identifier", F.parse_json("j").alias("metadata")
         )
-        return (records.extract_recording_old if old else records.extract_recording)(df).collect()[0]
+        return (records.extract_recording_old if old else records.extract_recording)(df, **options).collect()[0]
 
     return run
 
@@ -81,6 +81,15 @@ def test_old_recordings(recording):
     assert (got.setlist, got.downloads, got.avg_rating, got.error) == ("a b", 5, 0.0, None)
 
 
+def test_old_recordings_clean_lists_element_by_element(recording):
+    got = recording(
+        {"tracklist": [], "setlist": [" <b>a</b> x", None, "<i>b</i>", ""], "description": "<p>one</p>"},
+        old=True, lists=True)
+    assert (got.setlist, got.description) == (["a x", None, "b", ""], ["one"])
+    got = recording({"setlist": [], "lineage": "c<br>d"}, old=True, lists=True)
+    assert (got.setlist, got.description) == (["cd"], [])
+
+
 def test_manifest_defaults_and_document(spark, tmp_path):
     repos = spark.createDataFrame(
         [(1, "o/a", None, "c1", 5, None), (2, "o/b", "d", "c2", 9, ("MIT",)), (3, "o/c", "e", "c3", 5, None)],

@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+from quillspark.operators import firstwins
 from quillspark.operators.firstwins import dedup_first
 from quillspark.sources import winners
 
@@ -56,3 +57,15 @@ def test_empty_and_clashing(spark, tmp_path):
     assert winners.add_increment(str(tmp_path), spark.createDataFrame([("a", 1, 5, "x")], SCHEMA), KEYS, ORDER, 1).count() == 1
     with pytest.raises(ValueError, match="op"):
         winners.add_increment(str(tmp_path), empty.selectExpr("*", "1 AS op"), KEYS, ORDER, 2)
+
+
+def test_first_rows_pick_wide_rows_by_narrow_winners(spark):
+    data = [("a", 2, "later"), ("a", 1, "first"), (None, 3, "null key"), (None, 4, "again"), ("b", None, "null order"), ("b", 5, "b")]
+    df = spark.createDataFrame(data, "k string, pos int, body string")
+    same = lambda x, y: sorted(map(tuple, x.collect()), key=str) == sorted(map(tuple, y.collect()), key=str)
+    got = firstwins.first_rows(df, ["k"], ["pos"])
+    assert same(got, firstwins.dedup_first(df, ["k"], ["pos"])) and got.count() == 3
+    aggregates = [line for line in got._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Aggregate" in line]
+    assert aggregates and not any("body" in line for line in aggregates)
+    seen = spark.createDataFrame([("a",)], "k string")
+    assert same(firstwins.unseen_rows(df, seen, "k", ["pos"]), firstwins.unseen(df, seen, "k", ["pos"]))
