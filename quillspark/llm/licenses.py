@@ -1,12 +1,13 @@
 """Licence scans: a trained paragraph classifier, confirmed by templates.
 
 Paragraphs become sparse counts of the word n-grams that occur in licence
-templates. A multinomial logistic regression, with a class of its own for text that is
-no licence, is trained on variants of the templates and on a bounded sample of
-paragraphs that resemble none; a temperature fitted on held-out variants
-calibrates its probabilities. A paragraph is reported if the calibrated
-probability of a family is high enough and its n-grams agree with a template of
-that family. Everything runs as DataFrame operations inside the JVM.
+templates. A multinomial logistic regression with a class of its own for everything
+that is none of the families is trained on variants of the templates, on notices of
+licences outside the families, and on a bounded sample of paragraphs that resemble no
+template; a temperature fitted on held-out variants calibrates its probabilities. A
+paragraph is reported if the calibrated probability of a family is high enough and
+its n-grams agree most with a template of that family; a licence of the unknown
+class is reported as ``unknown``. Everything runs as DataFrame operations inside the JVM.
 """
 
 from __future__ import annotations
@@ -33,6 +34,9 @@ TEMPLATES: dict[str, list[str]] = {
         "See the License for the specific language governing permissions and limitations under the License.",
         "Licensed under the Apache License, Version 2.0.",
         "This project is released under the Apache License 2.0.",
+        "Licensed under Apache 2.0.",
+        "Licensed under the Apache-2.0 license.",
+        "SPDX-License-Identifier: Apache-2.0",
     ],
     "mit": [
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
@@ -44,6 +48,14 @@ TEMPLATES: dict[str, list[str]] = {
         "portions of the Software.",
         "Released under the MIT License.",
         "This project is licensed under the terms of the MIT license.",
+        'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT '
+        "LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN "
+        "NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, "
+        "WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE "
+        "SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+        "Licensed under the MIT license.",
+        "MIT licensed.",
+        "SPDX-License-Identifier: MIT",
     ],
     "gpl": [
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
@@ -52,12 +64,23 @@ TEMPLATES: dict[str, list[str]] = {
         "You should have received a copy of the GNU General Public License along with this program. If not, see",
         "This work is licensed under the GNU General Public License, version 3.",
         "Released under the GNU General Public License, version 2 or later.",
+        "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even "
+        "the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public "
+        "License for more details.",
+        "Licensed under the GPL version 2.",
+        "Licensed under GPLv3.",
+        "SPDX-License-Identifier: GPL-2.0-only",
+        "SPDX-License-Identifier: GPL-3.0-or-later",
     ],
     "lgpl": [
         "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
         "General Public License as published by the Free Software Foundation; either version 2.1 of the License, or "
         "(at your option) any later version.",
         "This work is licensed under the GNU Lesser General Public License, version 3.",
+        "You should have received a copy of the GNU Lesser General Public License along with this library. If "
+        "not, see",
+        "Licensed under the LGPL version 2.1 or later.",
+        "SPDX-License-Identifier: LGPL-2.1-or-later",
     ],
     "bsd": [
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
@@ -68,35 +91,138 @@ TEMPLATES: dict[str, list[str]] = {
         "products derived from this software without specific prior written permission.",
         "Released under the BSD 3-Clause License.",
         "Licensed under the 2-clause BSD license.",
+        'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED '
+        "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A "
+        "PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR "
+        "ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT "
+        "LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS "
+        "INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY.",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and "
+        "the following disclaimer in the documentation and/or other materials provided with the distribution.",
+        "BSD licensed.",
+        "SPDX-License-Identifier: BSD-3-Clause",
+        "SPDX-License-Identifier: BSD-2-Clause",
     ],
     "mpl-2.0": [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was "
         "not distributed with this file, You can obtain one at",
         "Licensed under the Mozilla Public License, version 2.0.",
+        "Licensed under MPL 2.0.",
+        "SPDX-License-Identifier: MPL-2.0",
     ],
     "cc-by": [
         "This work is licensed under a Creative Commons Attribution 4.0 International License.",
         "Licensed under CC BY 4.0.",
         "This content is available under the Creative Commons Attribution License.",
+        "SPDX-License-Identifier: CC-BY-4.0",
     ],
     "cc-by-sa": [
         "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
         "Licensed under CC BY-SA 4.0.",
         "Text is available under the Creative Commons Attribution-ShareAlike License.",
+        "SPDX-License-Identifier: CC-BY-SA-4.0",
     ],
     "cc-by-nc": [
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
         "Licensed under CC BY-NC 4.0.",
         "Available under the Creative Commons Attribution-NonCommercial License.",
+        "SPDX-License-Identifier: CC-BY-NC-4.0",
     ],
     "cc0": [
         "To the extent possible under law, the author has waived all copyright and related or neighboring rights to "
         "this work.",
         "Released into the public domain under CC0 1.0 Universal.",
+        "Licensed under CC0 1.0.",
+        "SPDX-License-Identifier: CC0-1.0",
+    ],
+    "agpl": [
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+        "Affero General Public License as published by the Free Software Foundation, either version 3 of the "
+        "License, or (at your option) any later version.",
+        "You should have received a copy of the GNU Affero General Public License along with this program. If "
+        "not, see",
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "Licensed under the AGPL version 3.",
+        "SPDX-License-Identifier: AGPL-3.0-or-later",
+    ],
+    "isc": [
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+        "hereby granted, provided that the above copyright notice and this permission notice appear in all "
+        "copies.",
+        'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE '
+        "INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS.",
+        "Released under the ISC License.",
+        "This project is licensed under the terms of the ISC license.",
+        "SPDX-License-Identifier: ISC",
+    ],
+    "cc-by-nd": [
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+        "Licensed under CC BY-ND 4.0.",
+        "Available under the Creative Commons Attribution-NoDerivatives License.",
+        "SPDX-License-Identifier: CC-BY-ND-4.0",
+    ],
+    "cc-by-nc-sa": [
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International "
+        "License.",
+        "Licensed under CC BY-NC-SA 4.0.",
+        "Available under the Creative Commons Attribution-NonCommercial-ShareAlike License.",
+        "SPDX-License-Identifier: CC-BY-NC-SA-4.0",
+    ],
+    "cc-by-nc-nd": [
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 "
+        "International License.",
+        "Licensed under CC BY-NC-ND 4.0.",
+        "Available under the Creative Commons Attribution-NonCommercial-NoDerivatives License.",
+        "SPDX-License-Identifier: CC-BY-NC-ND-4.0",
+    ],
+    "unlicense": [
+        "This is free and unencumbered software released into the public domain.",
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in "
+        "source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any "
+        "means.",
+        "Released under the Unlicense.",
+        "SPDX-License-Identifier: Unlicense",
     ],
 }
+# Notices of licences outside the families; they teach the unknown class what a licence of its own looks like.
+OTHERS: list[str] = [
+    "This program and the accompanying materials are made available under the terms of the Eclipse Public "
+    "License 2.0 which accompanies this distribution.",
+    "Licensed under the EUPL, version 1.2 only.",
+    "The contents of this file are subject to the terms of the Common Development and Distribution License.",
+    "This Font Software is licensed under the SIL Open Font License, Version 1.1.",
+    "Released under the NCSA Open Source License.",
+    "Released under the Artistic License 2.0.",
+    "Released under the zlib License.",
+    "Released under the PostgreSQL License.",
+    "Licensed under the Boost Software License, version 1.0.",
+    "Licensed under the Python Software Foundation License.",
+    "This software is licensed under the Microsoft Public License.",
+    "Licensed under the Open Database License, version 1.0.",
+    "This software is proprietary and confidential. Unauthorized copying of this file, via any medium, is "
+    "strictly prohibited.",
+    "All rights reserved. No part of this publication may be reproduced without the prior permission of the "
+    "publisher.",
+    "Use of this software is governed by the Business Source License, version 1.1.",
+    "Released under the terms of our commercial license.",
+    "This project is licensed under the terms of the Elastic License.",
+    "This work is licensed under the Free Art License, version 1.3.",
+    "SPDX-License-Identifier: EPL-2.0",
+    "SPDX-License-Identifier: Zlib",
+    "SPDX-License-Identifier: Artistic-2.0",
+    "SPDX-License-Identifier: LicenseRef-Proprietary",
+]
+# A paragraph of the unknown class without any of these is no licence.
+MARKERS = ("license", "licence", "licensed", "licenced", "spdx", "copyright", "permission", "rights", "proprietary")
+# The words that tell one family from its relatives.
+NAMES = (
+    "apache", "mit", "affero", "agpl", "gpl", "gplv3", "lesser", "lgpl", "bsd", "mozilla", "mpl", "isc", "unlicense",
+    "cc", "cc0", "by", "sa", "nc", "nd", "attribution", "sharealike", "noncommercial", "noderivatives",
+)
 FAMILIES = sorted(TEMPLATES)
+# The last class, which also wins ties of agreement.
 UNKNOWN = float(len(FAMILIES))
+LABELLED = [(i, t) for i, f in enumerate(FAMILIES) for t in TEMPLATES[f]] + [(int(UNKNOWN), t) for t in OTHERS]
 GRAMS = (1, 2, 3)
 ODDMENTS = "the of and a to in is you for it this work file copy version terms see at".split()
 
@@ -134,20 +260,22 @@ def paragraphs(docs: DataFrame, *, id: str, text: str, separator: str) -> DataFr
     ).filter(F.col("body").rlike(r"[\p{L}\p{N}]"))
 
 
-def variants(spark: SparkSession, copies: int = 24) -> DataFrame:
-    """(label, split, words): the templates and ``copies`` damaged variants of each.
+def variants(spark: SparkSession, copies: int = 24, others: bool = False) -> DataFrame:
+    """(label, held_out, words): the templates and ``copies`` damaged variants of each; with ``others`` those of OTHERS.
 
     Words are dropped, replaced by oddments and cut off at both ends, by hashes of
-    the variant's number: about one word in twelve each. A third is held out.
+    the variant's number: about one word in twelve each. Words of ``NAMES`` are spared
+    unless cut off, for a notice without its name is another family's notice ("CC BY-NC"
+    without "NC") and its label would be wrong. A third is held out.
     """
-    rows = [(FAMILIES.index(f), t) for f, texts in TEMPLATES.items() for t in texts]
+    rows = [r for r in LABELLED if (r[0] == int(UNKNOWN)) == others]
     base = spark.createDataFrame(rows, "label int, text string")
     n = F.col("copy")
     odd = F.array(*map(F.lit, ODDMENTS))
     roll = lambda i, salt: F.pmod(F.xxhash64(F.lit(salt), "text", n, i), F.lit(1200)) / 1200.0
     damaged = F.transform(
         F.col("w"),
-        lambda w, i: F.when(n == 0, w).when(roll(i, "drop") < 0.08, F.lit("")).when(
+        lambda w, i: F.when((n == 0) | w.isin(*NAMES), w).when(roll(i, "drop") < 0.08, F.lit("")).when(
             roll(i, "odd") < 0.08, F.element_at(odd, (roll(i, "which") * len(ODDMENTS)).cast("int") + 1)).otherwise(w),
     )
     cut = F.floor(F.size("w") * 0.15 * roll(F.lit(-1), "cut")).cast("int")
@@ -171,15 +299,13 @@ class LicenceModel:
 
 def _template_grams(spark: SparkSession) -> DataFrame:
     """(family, grams) of every template: its word pairs and triples."""
-    rows = [(FAMILIES.index(f), t) for f, texts in TEMPLATES.items() for t in texts]
-    return spark.createDataFrame(rows, "family int, text string").select(
+    return spark.createDataFrame(LABELLED, "family int, text string").select(
         "family", F.array_distinct(grams_of(words_of(F.col("text")), (2, 3))).alias("grams"))
 
 
 def _vocabulary(spark: SparkSession) -> list[str]:
     """All n-grams of the templates: a few thousand strings, by the fixed list above."""
-    rows = [(t,) for texts in TEMPLATES.values() for t in texts]
-    grams = spark.createDataFrame(rows, "text string").select(
+    grams = spark.createDataFrame(LABELLED, "family int, text string").select(
         F.explode(grams_of(words_of(F.col("text")))).alias("g")).distinct()
     return sorted(r["g"] for r in grams.collect())
 
@@ -233,7 +359,7 @@ def train(
         .select(F.lit(UNKNOWN).alias("label"), (F.pmod("h", F.lit(3)) == 0).alias("held_out"), "words")
     )
     oddments = spark.createDataFrame([(UNKNOWN, i % 3 == 0, ODDMENTS[i:]) for i in range(12)], "label double, held_out boolean, words array<string>")
-    data = variants(spark, copies).union(unlike).union(oddments).withColumn("grams", grams_of(F.col("words"), known=known))
+    data = variants(spark, copies).union(variants(spark, copies, others=True)).union(unlike).union(oddments).withColumn("grams", grams_of(F.col("words"), known=known))
     data = written(vectors.transform(data).select("label", "held_out", "features"), "licence-training").coalesce(4)
     logistic = LogisticRegression(
         family="multinomial", regParam=0.002, elasticNetParam=0.3, maxIter=60, standardization=False)
@@ -257,7 +383,10 @@ def scan(
     ``paragraph`` counts from 0 in the text split by ``separator``. A paragraph is
     reported when the calibrated probability of its best family is ``at`` or more
     and it shares ``agree`` of its word pairs and triples, or of a template's,
-    with the closest template, which must be of that family. Null, empty and
+    with the closest template, which must be of that family. A paragraph of the
+    unknown class is reported as ``unknown`` if it holds a word of ``MARKERS`` and its
+    closest template is a licence outside the families; of a list of several SPDX
+    identifiers the closest one counts. Null, empty and
     wordless texts have none; null ids and repeated rows are reported as they
     come; other columns are ignored; an empty table gives no rows.
     """
@@ -272,11 +401,11 @@ def scan(
     raw = compute_once(
         scored.select("id", "paragraph", "words", vector_to_array("rawPrediction").alias("margins")), "raw", F.col("margins"),
     ).withColumn("family", (F.array_position("raw", F.array_max("raw")) - 1).cast("int")).filter(
-        F.col("family") != int(UNKNOWN))
+        (F.col("family") != int(UNKNOWN)) | F.exists("words", lambda w: w.isin(*MARKERS)))
     likely = raw.withColumn("probability", F.get(_softmax(model.temperature), F.col("family"))).filter(
         F.col("probability") >= at)
     judged = compute_once(likely, "closest", _agreement(spark))
-    names = F.array(*map(F.lit, FAMILIES))
+    names = F.array(*map(F.lit, [*FAMILIES, "unknown"]))
     return judged.filter(
         (F.col("closest.similarity") >= agree) & (F.col("closest.family") == F.col("family"))
     ).select(

@@ -243,3 +243,41 @@ def test_scan_of_odd_rows(docs, licence_model):
     got = sorted(((r.doc_id, r.paragraph, r.family) for r in licenses.scan(table, licence_model).collect()), key=str)
     assert got == sorted([(1, 1, "mit"), (1, 3, "cc-by-nc"), (1, 0, "mit"), (None, 0, "mit"), (5, 1, "mit")], key=str)
     assert licenses.scan(table.filter("false"), licence_model).count() == 0
+
+
+def test_other_licences_are_unknown(spark, docs, licence_model):
+    held = licenses.variants(spark, 8, others=True).filter("held_out AND size(words) >= 6").selectExpr(
+        "array_join(words, ' ') AS text", "monotonically_increasing_id() AS doc_id")
+    rows = held.count()
+    named = [r for r in licenses.scan(held, licence_model).collect() if r.family != "unknown"]
+    assert rows > 30 and len(named) <= 0.05 * rows
+    # Licences that no template mentions, and odd relatives of those that are.
+    strange = [
+        "Released under the Foo License.", "Licensed under the Acme Public License, version 3.",
+        "This project is licensed under the terms of the Widget license.", "SPDX-License-Identifier: Sleepycat",
+        "This work is licensed under the Company Internal License, version 2.",
+    ]
+    got = licenses.scan(docs(list(enumerate(strange))), licence_model).collect()
+    assert {r.family for r in got} <= {"unknown"}
+
+
+def test_short_names_and_relatives(docs, licence_model):
+    texts = {
+        "SPDX-License-Identifier: MIT": "mit", "# SPDX-License-Identifier: Apache-2.0": "apache-2.0",
+        "// SPDX-License-Identifier: GPL-2.0-only": "gpl", "SPDX-License-Identifier: CC-BY-NC-SA-4.0": "cc-by-nc-sa",
+        "Licensed under Apache 2.0": "apache-2.0", "Released under the ISC License.": "isc",
+        "This work is licensed under the GNU Affero General Public License, version 3.": "agpl",
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.": "cc-by-nd",
+        "Licensed under CC BY 4.0.": "cc-by", "Licensed under CC BY-SA 4.0.": "cc-by-sa",
+        licenses.TEMPLATES["isc"][0]: "isc", licenses.TEMPLATES["bsd"][2]: "bsd",
+    }
+    rows = list(enumerate(texts))
+    got = {r.doc_id: r.family for r in licenses.scan(docs(rows), licence_model).collect()}
+    assert got == {i: texts[t] for i, t in rows}
+
+
+def test_every_template_is_its_own_family(docs, licence_model):
+    rows = list(enumerate(licenses.LABELLED))
+    got = {r.doc_id: r.family for r in licenses.scan(docs([(i, t) for i, (_, t) in rows]), licence_model).collect()}
+    names = [*licenses.FAMILIES, "unknown"]
+    assert {i: (got.get(i), t) for i, (f, t) in rows if got.get(i) != names[f]} == {}
