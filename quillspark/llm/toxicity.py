@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import broadcast_bytes, crc_remainder
+from quillspark.llm.common import broadcast_bytes, crc_remainder, portions
 
 # Closed word classes of the four languages.
 TARGETS = (
@@ -168,10 +168,13 @@ def grammar() -> Machine:
 
 
 class Lexicon:
-    """Words to symbols and weights: whole words first, then the longest known stem."""
+    """Words to symbols and weights: whole words first, then the longest known stem.
 
-    def __init__(self, insults: dict[str, float], stems: dict[str, float]):
-        self.insults, self.stems = insults, stems
+    Answers for ``remembered`` words are kept, then looked up anew.
+    """
+
+    def __init__(self, insults: dict[str, float], stems: dict[str, float], remembered: int = 100_000):
+        self.insults, self.stems, self.remembered = insults, stems, remembered
         closed = {BREAK: ".!?;\n", TARGET: TARGETS, NEGATION: NEGATIONS, REPORT: REPORTS, THREAT: THREATS}
         self.closed = {w: s for s, words in closed.items() for w in words}
         self.known: dict[str, tuple[int, float]] = {}
@@ -180,7 +183,7 @@ class Lexicon:
         got = self.known.get(word)
         if got is None:
             got = self._look(word)
-            if len(self.known) > 400_000:
+            if len(self.known) >= self.remembered:
                 self.known.clear()
             self.known[word] = got
         return got
@@ -325,7 +328,7 @@ def train(
         raw = json.loads(shared.value)
         lexicon, machine = Lexicon(raw["insults"], raw["stems"]), grammar()
         for batch in stream:
-            x = [clause_vector(matches(t, lexicon, machine)) for t in batch.column(1).to_pylist()]
+            x = [clause_vector(matches(t.as_py(), lexicon, machine)) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(x, pa.list_(pa.float64()))], ["label", "x"])
 
@@ -392,12 +395,13 @@ def drop_toxic(docs: DataFrame, model: dict, *, text: str = "text", at: float =
     def clean(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw = json.loads(shared.value)
         lexicon, machine = Lexicon(raw["insults"], raw["stems"]), grammar()
-        for batch in stream:
-            keep = [
-                probability(matches(t.as_py() or "", lexicon, machine), raw["weights"]) < at
-                for t in batch.column(place)
-            ]
-            yield batch.filter(pa.array(keep, pa.bool_()))
+        for whole in stream:
+            for batch in portions(whole, place):
+                keep = [
+                    probability(matches(t.as_py() or "", lexicon, machine), raw["weights"]) < at
+                    for t in batch.column(place)
+                ]
+                yield batch.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(clean, docs.schema)
 
