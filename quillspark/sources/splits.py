@@ -10,7 +10,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -23,6 +25,23 @@ _SUMMARY = "file string, begin long, after0 int, last0 long, after1 int, last1 l
 _PIECES = "file string, begin long, line long, part long, whole boolean, text string"
 
 
+PORTION_BYTES = 1 << 20
+
+
+def _portions(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """Slices of about a megabyte of text, at least a row each.
+
+    Spark's batches have a fixed number of rows, so their bytes grow with the length of
+    records; only a slice is turned into Python strings at a time.
+    """
+    ends = np.cumsum(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False))
+    start = done = 0
+    while start < batch.num_rows:
+        end = max(start + 1, int(np.searchsorted(ends, done + PORTION_BYTES, side="right")))
+        yield batch.slice(start, end - start)
+        start, done = end, int(ends[end - 1])
+
+
 def _lines(spark: SparkSession, path: str, sep: str) -> DataFrame:
     return spark.read.option("lineSep", sep).text(path).select(
         F.col("_metadata.file_path").alias("file"),
@@ -36,7 +55,7 @@ def _summaries(lines: DataFrame, step: Step) -> DataFrame:
     """A row per split: for each state it may begin in, the state after it and its last start."""
     def scan(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split, rows = None, []
-        for batch in stream:
+        for batch in (part for whole in stream for part in _portions(whole, 2)):
             for file, begin, value in zip(*(batch.column(c).to_pylist() for c in range(3))):
                 if (file, begin) != split:
                     split, n = (file, begin), 0
@@ -85,7 +104,7 @@ def read_records(
     0. Lines of a record are joined by ``sep``; lines before a file's first record are
     left out. ``begin`` is the split's offset, ``line`` the number within the split.
 
-    A task holds one record at a time; a record over many splits comes together as
+    A task holds one batch of lines and, as Python strings, about a megabyte of it and one record; a record over many splits comes together as
     one row, since it is one. Up to ``most_broadcast`` splits, the row per split goes
     to every task; beyond, lines are joined with it by split. A file that changes
     between the two scans ends the job.
@@ -119,7 +138,7 @@ def read_records(
             return pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(columns, kinds)], ["file", "begin", "line", "part", "whole", "text"])
 
-        for batch in stream:
+        for batch in (part for whole in stream for part in _portions(whole, 2)):
             out = []
             for file, begin, value, given, *owner in zip(*(c.to_pylist() for c in batch.columns)):
                 if (file, begin) != split:

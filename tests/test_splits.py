@@ -5,10 +5,12 @@ import io
 import random
 
 import pytest
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from quillspark.operators import corpus
 from quillspark.sources import text as text_source
+from quillspark.sources import splits as splits_module
 from quillspark.sources.splits import read_records
 from quillspark.sources.trees import quoted_lines, read_csv
 
@@ -98,3 +100,13 @@ def test_one_entry_over_many_splits(spark, tmp_path):
         assert entries.where(F.length("entry") > 1_000_000).count() == 1
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_portions_are_bounded_by_bytes():
+    lengths = [300_000] * 9 + [0, 3_000_000, 1, 0]
+    batch = pa.record_batch({"file": ["f"] * 13, "value": ["x" * n for n in lengths]}).slice(1)
+    parts = list(splits_module._portions(batch, 1))
+    assert pa.Table.from_batches(parts).to_pydict() == batch.to_pydict()
+    sizes = [sum(map(len, p.column(1).to_pylist())) for p in parts]
+    assert all(s <= splits_module.PORTION_BYTES or p.num_rows == 1 for s, p in zip(sizes, parts))
+    assert list(splits_module._portions(batch.slice(0, 0), 1)) == []
