@@ -1,3 +1,4 @@
+import pandas as pd
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -6,7 +7,7 @@ from quillspark.operators import progress
 from quillspark.sources import state, tables
 from quillspark.sources import text as text_source
 from quillspark.streaming import ingest
-from quillspark.streaming.progress import start_progress
+from quillspark.streaming.progress import _rises, start_progress
 from quillspark.streaming.training import start_training
 from quillspark.plans.training import pages_to_training
 
@@ -266,3 +267,25 @@ def test_visits_expire(spark, tmp_path):
     assert run([("b", 1, 9), ("a", 30, 4)]) >= 1  # b's row is too late
     got = sorted(((r.id, r.first_at.hour, r.last_at.hour, r.n, r.extra) for r in spark.read.parquet(out).collect()), key=str)
     assert got == sorted([("a", 0, 1, 3, 0), ("a", 10, 10, 1, 3), ("b", 0, 0, 1, 6), (None, 0, 0, 1, 5)], key=str)
+
+
+class _State:
+    hasTimedOut = False
+
+    def __init__(self, value=None):
+        self.get, self.exists = value, value is not None
+
+    def update(self, value):
+        self.get, self.exists = value, True
+
+
+def test_rises_of_a_job_without_data_frames_for_nothing():
+    fields = ["percent", "line_no", "current_step", "total_steps"]
+    frames = [pd.DataFrame([(5, 9, 1, 2), (7, 3, 1, 2)], columns=fields), pd.DataFrame([(4, 1, 1, 2), (120, 8, 1, 2)], columns=fields)]
+    state, run = _State(), _rises("job", None)
+    (rows,) = run((3,), iter(frames), state)
+    assert rows.columns.tolist() == ["job", *fields, "event", "completed"]
+    assert rows[["job", "percent", "line_no", "event", "completed"]].values.tolist() == [
+        [3, 4, 1, "progress", False], [3, 7, 3, "progress", False], [3, 120, 8, "completed", True]]
+    assert state.get == (120, 8, 1, 2)
+    assert list(run((3,), iter(frames), state)) == []
