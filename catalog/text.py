@@ -490,7 +490,9 @@ def file_normalise(spark, sf_dir):
     as_csv = F.format_string('venue,n\n%s,%s\nshort\n"a,b",c\n', venue, n)
     as_yaml = F.format_string("%s: %s\nn: '%s'\n", key, venue, n)
     kind = k % 3
-    tree = table(spark, sf_dir, "customer").select(
+    # The table is a few megabytes where parsing takes minutes: rows go to every core, not by bytes.
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    tree = customers.repartition(4 * spark.sparkContext.defaultParallelism).select(
         F.lit("r").alias("repo"),
         F.concat(
             k.cast("string"),

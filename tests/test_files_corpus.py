@@ -4,6 +4,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from catalog.text import file_normalise
 from quillspark.operators import corpus, files, packing, training
 from quillspark.plans import training as plans
 from quillspark.sources import state
@@ -275,3 +276,13 @@ def test_open_ranges(spark):
         assert got == [(1, 2), (5, 8), (11, 19), (21, 21)]
     assert state.open_ranges(pages.limit(0), 4).collect() == [(1, 4)]
     assert state.open_ranges(pages.limit(0), 0).collect() == []
+
+
+def test_structured_files_are_parsed_by_every_core(spark, tmp_path):
+    rows = [(k, f"name {k}", "BUILDING" if k % 5 == 0 else "FURNITURE") for k in range(30)] + [(None, None, None), (1, "again", "X")]
+    customers = spark.createDataFrame(rows, "c_custkey long, c_name string, c_mktsegment string").coalesce(1)
+    customers.write.parquet(str(tmp_path / "customer.parquet"))
+    found = file_normalise(spark, str(tmp_path))
+    assert found.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    assert found.count() == 32
+    assert found.where("path LIKE '%.yaml' AND status = 'ok'").count() == 8
