@@ -22,6 +22,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +35,8 @@ BPE = 2  # model type of the format
 NONE = -2  # no piece
 MIX = np.uint64(0x9E3779B97F4A7C15)
 ARC_BITS = 21  # slots for the weights of arcs seen before
+PORTION_ROWS, PORTION_BYTES = 1024, 2 << 20  # texts worked on at once
+UNITS_AT_ONCE = 8_000  # units whose lattices are held at once
 
 
 # --- the model file -----------------------------------------------------------
@@ -91,7 +94,7 @@ def load_model(path: str) -> dict:
 class Transducer:
     START = -1
 
-    def __init__(self, model: dict, cache: int = 600_000):
+    def __init__(self, model: dict, cache: int = 300_000):
         self.prefix, self.squeeze = model["prefix"], model["squeeze"]
         self.text: list[bytes] = []
         self.arcs: dict[str, int] = {}
@@ -112,6 +115,7 @@ class Transducer:
                 self.text[i] = b""
         if not model["byte_fallback"]:
             self.bytes = {}
+        self.text_array = pa.array(self.text, pa.large_binary())
         self.names = [p for p, _, _ in model["pieces"]]
         self.piece_chars = np.fromiter(map(len, self.names), np.int64)
         self.longest = max(map(len, self.arcs))
@@ -165,7 +169,7 @@ class Transducer:
         if kept is None:
             names = [self.names[piece]] if before == self.START else [self.names[before], self.names[piece]]
             kept = self._merge("".join(names)) == names
-            if len(self.joined) >= 500_000:
+            if len(self.joined) >= 250_000:
                 self.joined.clear()
             self.joined[key] = kept
         return kept
@@ -227,8 +231,8 @@ class Transducer:
             groups.setdefault(0 if alone else len(u), []).append(u)
         flat, sizes, order = [self.flat], [], []
         for size, group in groups.items():
-            for k in range(0, len(group), 20_000):
-                part = group[k:k + 20_000]
+            for k in range(0, len(group), UNITS_AT_ONCE):
+                part = group[k:k + UNITS_AT_ONCE]
                 if size:
                     ids, counts = self.shortest_paths(part)
                 else:
@@ -297,6 +301,16 @@ class Transducer:
     def encode(self, text: str) -> list[int]:
         return self.encode_all([text])[0].tolist()
 
+    def decode_all(self, ids: pa.ListArray) -> pa.Array:
+        """The bytes of ``decode`` of many lists of ids, null for a null list."""
+        starts = ids.offsets.to_numpy()
+        pieces = self.text_array.take(ids.values.slice(starts[0], starts[-1] - starts[0]))
+        lists = pa.ListArray.from_arrays(pa.array(starts - starts[0]), pieces)
+        data = pc.binary_join(lists, pa.scalar(b"", pa.large_binary()))
+        if self.prefix:
+            data = pc.if_else(pc.starts_with(data, b" "), pc.binary_replace_slice(data, 0, 1, b""), data)
+        return data if not ids.null_count else pc.if_else(ids.is_valid(), data, None)
+
     def decode(self, ids) -> str:
         """The text of ids: marks become spaces, byte pieces join, the space in front goes."""
         text = b"".join(map(self.text.__getitem__, ids)).decode("utf-8", "replace")
@@ -327,8 +341,8 @@ def encode(
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = per_process("pieces", shared.value, lambda d: Transducer(pickle.loads(d)))
         for whole in stream:
-            for batch in portions(whole, 1):
-                ids = _id_list(machine, [t.as_py() or "" for t in batch.column(1)])
+            for batch in portions(whole, 1, PORTION_ROWS, PORTION_BYTES):
+                ids = _id_list(machine, [t or "" for t in batch.column(1).to_pylist()])
                 yield pa.RecordBatch.from_arrays([batch.column(0), ids], ["id", "ids"])
 
     return docs.select(id, text).mapInArrow(run, f"id {kind}, ids array<int>").withColumnRenamed("id", id)
@@ -364,12 +378,11 @@ def encode_checked(
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = per_process("pieces", shared.value, lambda d: Transducer(pickle.loads(d)))
         for whole in stream:
-            for batch in portions(whole, 1):
-                texts = [t or "" for t in batch.column(1).to_pylist()]
-                ids = _id_list(machine, texts)
-                same = [machine.decode(i.values.tolist()) == t for i, t in zip(ids, texts)]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), ids, pa.array(same, pa.bool_())], ["id", "ids", "same"])
+            for batch in portions(whole, 1, PORTION_ROWS, PORTION_BYTES):
+                texts = pc.fill_null(batch.column(1), "")
+                ids = _id_list(machine, texts.to_pylist())
+                same = pc.equal(machine.decode_all(ids), texts.cast(pa.large_binary()))
+                yield pa.RecordBatch.from_arrays([batch.column(0), ids, same], ["id", "ids", "same"])
 
     out = docs.select(id, text).mapInArrow(run, f"id {kind}, ids array<int>, same boolean")
     return out.select(F.col("id").alias(id), "ids", F.size("ids").cast("long").alias("n_ids"), F.col("same").alias("round_trip"))

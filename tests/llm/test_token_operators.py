@@ -5,6 +5,7 @@ import random
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 
@@ -26,6 +27,16 @@ def transducer():
     return pieces.Transducer(pieces.load_model(PIECES), cache=500)
 
 
+def test_many_lists_are_decoded_at_once(transducer):
+    texts = [t or "" for t in ODD]
+    lists = [transducer.encode(t) for t in texts] + [[], [transducer.bytes[0xE6]], [0, 1]]
+    one_by_one = [b"".join(map(transducer.text.__getitem__, x)) for x in lists]
+    wanted = [x[1:] if x.startswith(b" ") else x for x in one_by_one]
+    ids = pa.array([[7], *lists, None], pa.list_(pa.int32())).slice(1)
+    assert transducer.decode_all(ids).to_pylist() == [*wanted, None]
+    assert transducer.decode_all(ids.slice(0, 0)).to_pylist() == []
+
+
 def test_encoding_is_the_models_own(transducer):
     sp = sentencepiece.SentencePieceProcessor(model_file=PIECES)
     rng = random.Random(0)
