@@ -62,12 +62,12 @@ _BUILT: dict[tuple, object] = {}
 def per_process(kind: str, data: bytes, build):
     """What ``build`` makes of a model, kept in a Python worker between its tasks.
 
-    One object per kind is kept, so a worker holds no more than the models in use.
+    One object is kept, the last in use: a worker that goes on to the next operator
+    gives up what it held for the one before.
     """
     key = (kind, zlib.crc32(data), len(data))
     if key not in _BUILT:
-        for old in [k for k in _BUILT if k[0] == kind]:
-            del _BUILT[old]
+        _BUILT.clear()
         _BUILT[key] = build(data)
     return _BUILT[key]
 

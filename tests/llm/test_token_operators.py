@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 import sentencepiece
 
-from quillspark.llm import chat, langid, licenses, pieces
+from quillspark.llm import chat, common, langid, licenses, pieces
 from quillspark.llm.lattice import Lattice
 
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
@@ -37,6 +37,13 @@ def test_many_lists_are_decoded_at_once(transducer):
     assert transducer.decode_all(ids.slice(0, 0)).to_pylist() == []
 
 
+def test_a_worker_keeps_the_last_model_only():
+    first = common.per_process("one", b"a", bytes.upper)
+    assert common.per_process("one", b"a", bytes.upper) is first
+    assert common.per_process("two", b"b", bytes.upper) == b"B"
+    assert len(common._BUILT) == 1
+
+
 def test_encoding_is_the_models_own(transducer):
     sp = sentencepiece.SentencePieceProcessor(model_file=PIECES)
     rng = random.Random(0)
